@@ -162,10 +162,12 @@ def clean_and_curate(transactions: DataFrame, customers: DataFrame, products: Da
         config = replace(config, min_date=min_date or config.min_date,
                          max_date=max_date or config.max_date)
     typed = standardize(transactions, config)
+    if ceiling is None:
+        # From the persisted frame when there is one, else from the typed
+        # rows (the reference joins do not change the amounts).
+        ceiling = amount_ceiling(checked if checked is not None else typed, config)
     if checked is None:
         checked = check_references(typed, customers, products, config)
-    if ceiling is None:
-        ceiling = amount_ceiling(checked, config)
     tagged = validate(checked, ceiling, config)
     valid, invalid = split(tagged)
     curated = to_curated(dedupe_valid(valid, config), run_id)
