@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-DEFAULT_BUCKETS = 1 << 16
+DEFAULT_BUCKETS = 1 << 18
 DEFAULT_ACCURACY = 10_000
 
 

@@ -19,6 +19,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition a scan that has fewer splits than the cluster has
+    cores (a file with one row group is one task however large it is), so
+    the per-row work above it runs on every core. A large input already has
+    many splits and is left alone: no shuffle is added at scale."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys)
+
+
 def _s(c: str | Column) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("string")
 
@@ -45,7 +56,7 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _table(spark, sf_dir, "lineitem")
+    li = spread(_table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
     o = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     b = li.join(o, li.l_orderkey == o.o_orderkey).withColumn(
         "h", F.col("l_orderkey") * 31 + F.col("l_linenumber") * 17 + F.col("l_partkey"))
