@@ -106,3 +106,10 @@ def test_streaming_ingest(spark, tmpdir_path):
     for t in ("curated.transactions", "curated.customers", "curated.products",
               "rejected.transactions", "curated.run_metrics"):
         spark.sql(f"DROP TABLE IF EXISTS {t}")
+
+
+def test_run_batch_all_rows_rejected(spark, tmpdir_path):
+    paths = landing(tmpdir_path, [txn("T1", amount="x"), txn("T2", cust="")])
+    c = run_batch(spark, paths, "bad", register=False, materialize="persist")
+    assert (c["raw_count"], c["rejected_count"], c["curated_count"]) == (2, 2, 0)
+    assert read_rejected(spark, paths.rejected).count() == 2

@@ -91,13 +91,18 @@ def merge_existing(spark: SparkSession, curated: DataFrame, path: str, run_id: s
 def run_batch(spark: SparkSession, paths: BatchPaths, run_id: str,
               config: CurationConfig | None = None, *, register: bool = True,
               merge: bool = False, publish: bool = True,
-              transactions: DataFrame | None = None,
+              transactions: DataFrame | None = None, materialize: str = "staged",
               storage_level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> dict:
     """Read, clean, validate, dedupe and write one batch; record its counts;
     republish the dimensions; register and repair the tables.
 
-    ``transactions`` may be given instead of the raw path (the streaming
-    ingest passes each micro-batch). Returns the counts.
+    The checked frame is computed once and read by every later step:
+    ``materialize="staged"`` (default) writes it as Parquet under the
+    session's checkpoint folder, which cuts the lineage, survives lost
+    executors without recomputation, and lets the ceiling passes read the
+    amount column alone; ``"persist"`` keeps it in executor memory and disk
+    instead. ``transactions`` may be given instead of the raw path (the
+    streaming ingest passes each micro-batch). Returns the counts.
     """
     config = config or CurationConfig()
     txns = transactions if transactions is not None else \
@@ -106,8 +111,15 @@ def run_batch(spark: SparkSession, paths: BatchPaths, run_id: str,
     products = read_raw_csv(spark, paths.raw_products, schemas.RAW_PRODUCTS)
 
     obs_cur = Observation("curated")
-    checked = (check_references(standardize(txns, config), customers, products, config)
-               .persist(storage_level))
+    checked = check_references(standardize(txns, config), customers, products, config)
+    if materialize == "staged":
+        staging = f"{ensure_checkpoint_dir(spark).rstrip('/')}/verity-staging/{run_id}/checked"
+        checked.write.mode("overwrite").parquet(staging)
+        checked = spark.read.schema(checked.schema).parquet(staging)
+    elif materialize == "persist":
+        checked = checked.persist(storage_level)
+    else:
+        raise ValueError(f"unknown materialize mode {materialize!r}")
     try:
         ceiling = amount_ceiling(checked, config)  # first pass fills the cache
         result = clean_and_curate(txns, customers, products, run_id, config=config,
