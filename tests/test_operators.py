@@ -120,3 +120,17 @@ def test_schema_profile(spark):
     rows = {r["column_name"]: r.asDict() for r in schema_profile(df).collect()}
     assert rows["a"]["n_bigint"] == 1 and rows["a"]["n_double"] == 2 and rows["a"]["n_null"] == 1
     assert rows["b"]["n_date"] == 1 and rows["b"]["n_timestamp"] == 1
+
+
+@pytest.mark.parametrize("sketch", [True, False])
+def test_exact_percentile_without_sketch(spark, sketch):
+    rnd = random.Random(11)
+    vals = [Decimal(rnd.randint(-10**6, 10**8)) / 100 for _ in range(4000)] + [Decimal("5.00")] * 2000
+    df = spark.createDataFrame([(v,) for v in vals], "x decimal(10,2)").repartition(6)
+    limit = 10_000 if sketch else 0  # 0 forces the type-range histogram path
+    for p in (0.0, 0.2, 0.5, 0.99, 1.0):
+        got = exact_percentile_disc(df, "x", p, sketch_max_partitions=limit)
+        assert got == _disc(vals, p)
+    ints = spark.createDataFrame([(i * 7 % 1001,) for i in range(3000)], "x long")
+    assert exact_percentile_disc(ints, "x", 0.99, sketch_max_partitions=0) == \
+        _disc([i * 7 % 1001 for i in range(3000)], 0.99)

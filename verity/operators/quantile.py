@@ -3,18 +3,24 @@
 ``percentile_disc`` as an aggregate keeps a map of every distinct value in a
 single final task, which does not survive a 100 TB input. The exact mode here
 gives the same answer (the first value whose cumulative share reaches ``p``)
-from a few passes of fixed-size histograms instead:
-
-1. one pass: count, min, max and a ``percentile_approx`` bracket around ``p``;
-2. each further pass: a histogram of at most ``buckets`` + 2 cells over the
-   current bracket (partial aggregation on every task, a few KB to the
-   driver), which narrows the bracket ``buckets``-fold, until a cell is one
-   value wide.
-
-The bracket from the sketch is verified by the counts of the next pass; if
-it missed, the search restarts over ``[min, max]``. The answer does not
-depend on partitioning, so reruns agree. Values are handled as exact
-integers (a decimal's unscaled value), so no rounding enters.
+from a few passes of histograms with a bounded number of cells instead. Each
+pass is a ``groupBy(cell)``: partial counts on every map task (at most
+``buckets`` + 2 rows each), spread over the reducers by cell, a few thousand
+rows to the driver. Each pass narrows the search range ``buckets``-fold until
+a cell is one value wide.
+
+The first range comes from:
+
+* a ``percentile_approx`` bracket around ``p`` when the input has at most
+  ``sketch_max_partitions`` partitions (its partial sketches are merged in
+  one task, so their number must stay bounded), else
+* the declared range of the decimal type (no pass needed), or ``min``/``max``
+  for integers.
+
+The bracket is verified by the counts of the next pass; if it missed, the
+search restarts over the full range. The answer does not depend on
+partitioning, so reruns agree. Values are handled as exact integers (a
+decimal's unscaled value), so no rounding enters.
 """
 from __future__ import annotations
 
@@ -25,8 +31,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-DEFAULT_BUCKETS = 1 << 18
 DEFAULT_ACCURACY = 10_000
+SKETCH_MAX_PARTITIONS = 10_000
+MIN_BUCKETS, MAX_BUCKETS = 1 << 12, 1 << 18
+# Bound on histogram rows leaving all map tasks of one pass together.
+MAP_OUTPUT_ROWS = 1 << 26
 
 
 def _rank(p: float, n: int) -> int:
@@ -39,56 +48,82 @@ def _rank(p: float, n: int) -> int:
     return k
 
 
-def _as_long(df: DataFrame, col: str) -> tuple[Column, int]:
+def _as_long(df: DataFrame, col: str) -> tuple[Column, int, tuple[int, int] | None]:
+    """The column as exact integers, its decimal scale, and the type's range
+    when the type bounds it tightly (decimals)."""
     dt = df.schema[col].dataType
     if isinstance(dt, T.DecimalType):
         if dt.precision > 18:
             raise TypeError(f"{col}: decimals above precision 18 are not supported")
-        return (F.col(col) * F.lit(10 ** dt.scale)).cast("long"), dt.scale
+        bound = 10 ** dt.precision - 1
+        return (F.col(col) * F.lit(10 ** dt.scale)).cast("long"), dt.scale, (-bound, bound)
     if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        return F.col(col).cast("long"), 0
+        return F.col(col).cast("long"), 0, None
     raise TypeError(f"{col}: exact percentile needs an integral or decimal column, got {dt}")
 
 
+def _bucket_count(partitions: int) -> int:
+    return max(MIN_BUCKETS, min(MAX_BUCKETS, MAP_OUTPUT_ROWS // max(1, partitions)))
+
+
 def exact_percentile_disc(df: DataFrame, col: str, p: float, *,
-                          buckets: int = DEFAULT_BUCKETS,
-                          accuracy: int = DEFAULT_ACCURACY):
+                          buckets: int | None = None,
+                          accuracy: int = DEFAULT_ACCURACY,
+                          sketch_max_partitions: int = SKETCH_MAX_PARTITIONS):
     """Exact ``percentile_disc(p)`` of a decimal or integral column (NULLs
-    ignored). Returns ``Decimal`` for decimals, ``int`` otherwise, ``None`` for
-    no values."""
+    ignored). Returns ``Decimal`` for decimals, ``int`` otherwise, ``None``
+    when there is no value."""
     if not 0.0 <= p <= 1.0:
         raise ValueError("p must be within [0, 1]")
-    v, scale = _as_long(df, col)
+    v, scale, type_range = _as_long(df, col)
     x = df.select(v.alias("v")).where(F.col("v").isNotNull())
-    eps = 2.0 / accuracy
-    first = x.agg(
-        F.count(F.lit(1)).alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx"),
-        F.percentile_approx("v", F.array(F.lit(max(0.0, p - eps)), F.lit(min(1.0, p + eps))),
-                            accuracy).alias("br"),
-    ).first()
-    n = first["n"]
-    if n == 0:
-        return None
-    k = _rank(p, n)
-    mn, mx = first["mn"], first["mx"]
-    lo, hi = first["br"][0], first["br"][1]
-    widened = False
+    parts = x.rdd.getNumPartitions()
+    buckets = buckets or _bucket_count(parts)
+
+    n = None
+    if parts <= sketch_max_partitions:
+        eps = 2.0 / accuracy
+        first = x.agg(
+            F.count(F.lit(1)).alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx"),
+            F.percentile_approx("v", F.array(F.lit(max(0.0, p - eps)), F.lit(min(1.0, p + eps))),
+                                accuracy).alias("br"),
+        ).first()
+        n = first["n"]
+        if n == 0:
+            return None
+        full = (first["mn"], first["mx"])
+        lo, hi = first["br"][0], first["br"][1]
+    elif type_range is not None:
+        full = type_range
+        lo, hi = full
+    else:
+        first = x.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("mn"),
+                      F.max("v").alias("mx")).first()
+        n = first["n"]
+        if n == 0:
+            return None
+        full = (first["mn"], first["mx"])
+        lo, hi = full
+
+    widened = (lo, hi) == full
     while True:
-        if lo == hi:
-            # A one-value bracket still has to be confirmed by counts.
-            w = 1
-        else:
-            w = -(-(hi - lo + 1) // buckets)
+        w = 1 if lo == hi else -(-(hi - lo + 1) // buckets)
         cell = (F.when(F.col("v") < lo, F.lit(-1))
                  .when(F.col("v") > hi, F.lit(buckets))
                  .otherwise(F.floor((F.col("v") - F.lit(lo)) / F.lit(w)).cast("long")))
         hist = {r["b"]: r["c"] for r in
                 x.groupBy(cell.alias("b")).agg(F.count(F.lit(1)).alias("c")).collect()}
+        if n is None:
+            n = sum(hist.values())
+            if n == 0:
+                return None
+        k = _rank(p, n)
         below, above = hist.get(-1, 0), hist.get(buckets, 0)
         if not (below < k <= n - above):
             if widened:
                 raise RuntimeError("percentile search lost its bracket")
-            lo, hi, widened = mn, mx, True
+            lo, hi = full
+            widened = True
             continue
         cum = below
         for b in sorted(b for b in hist if 0 <= b < buckets):
@@ -99,10 +134,13 @@ def exact_percentile_disc(df: DataFrame, col: str, p: float, *,
         if w == 1:
             return Decimal(new_lo).scaleb(-scale) if scale else new_lo
         lo, hi = new_lo, min(hi, new_lo + w - 1)
+        widened = True  # inside a verified cell the answer cannot be missed
 
 
 def approx_percentile(df: DataFrame, col: str, p: float, accuracy: int = DEFAULT_ACCURACY):
-    """``percentile_approx`` in one mergeable-sketch pass."""
+    """``percentile_approx`` in one sketch pass. The partial sketches of all
+    map tasks are merged in one task: meant for inputs of moderate task
+    counts."""
     return df.agg(F.percentile_approx(col, p, accuracy).alias("q")).first()["q"]
 
 

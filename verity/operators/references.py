@@ -31,8 +31,13 @@ def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def _maybe_broadcast(keys: DataFrame, max_rows: int) -> DataFrame:
-    return F.broadcast(keys) if fits_broadcast(keys, max_rows) else keys
+def _maybe_broadcast(keys: DataFrame, max_rows: int, dim: DataFrame | None = None,
+                     dim_key: str | None = None) -> DataFrame:
+    """Broadcast the key set when it is at most ``max_rows``. With the
+    dimension given, its row count (an upper bound on its distinct keys) is
+    checked instead: a single scan stage instead of an aggregation."""
+    probe = dim.select(dim_key) if dim is not None else keys
+    return F.broadcast(keys) if fits_broadcast(probe, max_rows) else keys
 
 
 def check_reference(df: DataFrame, col: str, dim: DataFrame, dim_key: str | None = None,
@@ -43,7 +48,8 @@ def check_reference(df: DataFrame, col: str, dim: DataFrame, dim_key: str | None
     set, so a row is never multiplied."""
     flag = flag or f"valid_{col}_ref"
     probe = f"__known_{col}"
-    keys = _maybe_broadcast(distinct_keys(dim, dim_key or col, probe), broadcast_max_rows)
+    keys = _maybe_broadcast(distinct_keys(dim, dim_key or col, probe), broadcast_max_rows,
+                            dim, dim_key or col)
     joined = df.join(keys, F.col(col) == F.col(probe), "left")
     return joined.withColumn(flag, F.col(probe).isNotNull()).drop(probe)
 
@@ -62,7 +68,8 @@ def orphans(df: DataFrame, checks: dict[str, tuple[str, DataFrame, str]],
         per_key = (df.select(F.trim(F.col(col)).alias("key"))
                      .where(F.col("key").isNotNull() & (F.col("key") != ""))
                      .groupBy("key").agg(F.count(F.lit(1)).alias("rows")))
-        known = _maybe_broadcast(distinct_keys(dim, dim_key, "key"), broadcast_max_rows)
+        known = _maybe_broadcast(distinct_keys(dim, dim_key, "key"), broadcast_max_rows,
+                                 dim, dim_key)
         parts.append(per_key.join(known, "key", "left_anti")
                      .select(F.lit(side).alias("side"), "key", "rows"))
     out = parts[0]

@@ -14,6 +14,14 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from verity.operators.references import DEFAULT_BROADCAST_MAX_ROWS, fits_broadcast
+
+
+def _dim(df: DataFrame, max_rows: int) -> DataFrame:
+    """A dimension projection, broadcast only when counted below the bound;
+    otherwise the join of two per-key aggregates is a plain shuffle join."""
+    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+
 
 
 def _date_range(curated: DataFrame, start=None, end=None) -> DataFrame:
@@ -69,7 +77,8 @@ MEASURES = {"revenue": "revenue", "orders": "transaction_count", "units": "units
 
 
 def top_products(curated: DataFrame, products: DataFrame, k: int | None = 10,
-                 measure: str = "revenue", by: str = "name") -> DataFrame:
+                 measure: str = "revenue", by: str = "name",
+                 broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
     """Q2 and the volume / units variants.
 
     ``by="name"`` groups on product name as the reference does (products
@@ -80,7 +89,7 @@ def top_products(curated: DataFrame, products: DataFrame, k: int | None = 10,
     col = MEASURES[measure]
     keys = ["product_name"] if by == "name" else ["product_id", "product_name"]
     per_id = _per_product(curated).select("product_id", col)
-    dim = products.select("product_id", "product_name")
+    dim = _dim(products.select("product_id", "product_name"), broadcast_max_rows)
     out = per_id.join(dim, "product_id").groupBy(*keys).agg(F.sum(col).alias(col))
     if measure == "revenue":
         out = out.withColumn(col, _money(col))
@@ -88,11 +97,12 @@ def top_products(curated: DataFrame, products: DataFrame, k: int | None = 10,
     return ordered.limit(k) if k else ordered
 
 
-def top_customers(curated: DataFrame, customers: DataFrame, k: int | None = 20) -> DataFrame:
+def top_customers(curated: DataFrame, customers: DataFrame, k: int | None = 20,
+                  broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
     """Q3 (k=20) and the k=10 variant: lifetime spend and orders."""
     per_id = curated.groupBy("customer_id").agg(
         F.sum("amount").alias("lifetime_spend"), F.count(F.lit(1)).alias("orders"))
-    dim = customers.select("customer_id", "customer_name")
+    dim = _dim(customers.select("customer_id", "customer_name"), broadcast_max_rows)
     out = (per_id.join(dim, "customer_id").groupBy("customer_id", "customer_name")
            .agg(F.sum("lifetime_spend").alias("lifetime_spend"), F.sum("orders").alias("orders"))
            .select("customer_id", "customer_name", _money("lifetime_spend").alias("lifetime_spend"),
@@ -102,11 +112,13 @@ def top_customers(curated: DataFrame, customers: DataFrame, k: int | None = 20)
     return ordered.limit(k) if k else ordered
 
 
-def avg_order_value(curated: DataFrame, products: DataFrame) -> DataFrame:
+def avg_order_value(curated: DataFrame, products: DataFrame,
+                    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
     """Q4: average amount per category, rounded to cents, from an exact sum
     and count (engines disagree on the type of a decimal AVG)."""
     per_id = curated.groupBy("product_id").agg(F.sum("amount").alias("s"), F.count(F.lit(1)).alias("n"))
-    out = (per_id.join(products.select("product_id", "category"), "product_id")
+    dim = _dim(products.select("product_id", "category"), broadcast_max_rows)
+    out = (per_id.join(dim, "product_id")
            .groupBy("category").agg(F.sum("s").alias("s"), F.sum("n").alias("orders")))
     return (out.select("category",
                        F.round(_money("s") / F.col("orders"), 2).alias("avg_order_value"),

@@ -7,7 +7,13 @@ from pyspark.sql import SparkSession
 
 # Settings the library relies on. AQE re-plans joins and splits skewed
 # partitions at run time; UTC keeps text <-> timestamp conversions stable.
+# No broadcast is planned from size *estimates* (a compressed file can be
+# many times larger in memory): the library broadcasts only row-counted
+# frames, and AQE may still broadcast a side whose measured shuffle output is
+# small.
 RECOMMENDED_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

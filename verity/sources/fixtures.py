@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from verity.operators.references import DEFAULT_BROADCAST_MAX_ROWS, fits_broadcast
+
 FIXTURE_MIN_DATE = "1995-01-01"
 FIXTURE_MAX_DATE = "2001-12-31"
 
@@ -30,14 +32,19 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(cores, *keys)
 
 
+def _small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast a join side only when it is counted below the bound."""
+    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+
+
 def _s(c: str | Column) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("string")
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = _table(spark, sf_dir, "customer")
-    n = _table(spark, sf_dir, "nation")
-    r = _table(spark, sf_dir, "region")
+    n = _small(_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey"))
+    r = _small(_table(spark, sf_dir, "region").select("r_regionkey", "r_name"))
     return (c.join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
             .select(F.concat(F.lit("C"), _s("c_custkey")).alias("customer_id"),
                     F.col("c_name").alias("customer_name"),
@@ -57,7 +64,7 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = spread(_table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
-    o = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    o = _small(_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"))
     b = li.join(o, li.l_orderkey == o.o_orderkey).withColumn(
         "h", F.col("l_orderkey") * 31 + F.col("l_linenumber") * 17 + F.col("l_partkey"))
     h = F.col("h")
