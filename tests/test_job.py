@@ -113,3 +113,37 @@ def test_run_batch_all_rows_rejected(spark, tmpdir_path):
     c = run_batch(spark, paths, "bad", register=False, materialize="persist")
     assert (c["raw_count"], c["rejected_count"], c["curated_count"]) == (2, 2, 0)
     assert read_rejected(spark, paths.rejected).count() == 2
+
+
+def test_catalog_sql_matches_dataframe_analytics(spark, tmpdir_path):
+    from verity.plans import analytics as A
+    from verity.plans.sql import CATALOG_QUERIES, run_catalog_query
+    rows = [txn(f"T{i}", date=f"2025-0{1 + i % 3}-1{i % 9}", amount=f"{10 + i * 3}.50",
+                cust=f"C{1 + i % 2}", src=f"s{i % 2}.csv") for i in range(40)]
+    rows += [txn("X1", amount="-1"), txn("X2", cust="C9"), txn("X3", date="bad")]
+    paths = landing(tmpdir_path, rows)
+    run_batch(spark, paths, "sqlrun")
+    cur = spark.table("curated.transactions")
+    prod, cust = spark.table("curated.products"), spark.table("curated.customers")
+    frames = {
+        "monthly_revenue": A.monthly_revenue(cur), "mom_growth": A.mom_growth(cur),
+        "top_products": A.top_products(cur, prod, 10, "revenue"),
+        "top_products_by_volume": A.top_products(cur, prod, 10, "orders"),
+        "top_products_by_units": A.top_products(cur, prod, 10, "units"),
+        "top_customers": A.top_customers(cur, cust, 20), "avg_order_value": A.avg_order_value(cur, prod),
+        "reject_rate": A.reject_rate(spark.table("rejected.transactions")),
+        "run_health": A.run_health(spark.table("curated.run_metrics")),
+        "curated_count": A.curated_count(cur),
+    }
+    assert set(frames) == set(CATALOG_QUERIES)
+    for name, df in frames.items():
+        assert [tuple(r) for r in df.collect()] == \
+            [tuple(r) for r in run_catalog_query(spark, name).collect()], name
+    # A year filter prunes partitions at the scan.
+    plan = A.monthly_revenue(cur, start="2025-02-01")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan
+    assert A.curated_count(cur, start="2025-02-01", end="2025-02-28").first()[0] == \
+        cur.where("month = '02'").count()
+    for t in ("curated.transactions", "curated.customers", "curated.products",
+              "rejected.transactions", "curated.run_metrics"):
+        spark.sql(f"DROP TABLE IF EXISTS {t}")

@@ -78,7 +78,8 @@ MEASURES = {"revenue": "revenue", "orders": "transaction_count", "units": "units
 
 def top_products(curated: DataFrame, products: DataFrame, k: int | None = 10,
                  measure: str = "revenue", by: str = "name",
-                 broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+                 broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+                 start=None, end=None) -> DataFrame:
     """Q2 and the volume / units variants.
 
     ``by="name"`` groups on product name as the reference does (products
@@ -88,7 +89,7 @@ def top_products(curated: DataFrame, products: DataFrame, k: int | None = 10,
     """
     col = MEASURES[measure]
     keys = ["product_name"] if by == "name" else ["product_id", "product_name"]
-    per_id = _per_product(curated).select("product_id", col)
+    per_id = _per_product(_date_range(curated, start, end)).select("product_id", col)
     dim = _dim(products.select("product_id", "product_name"), broadcast_max_rows)
     out = per_id.join(dim, "product_id").groupBy(*keys).agg(F.sum(col).alias(col))
     if measure == "revenue":
@@ -98,9 +99,10 @@ def top_products(curated: DataFrame, products: DataFrame, k: int | None = 10,
 
 
 def top_customers(curated: DataFrame, customers: DataFrame, k: int | None = 20,
-                  broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+                  broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+                  start=None, end=None) -> DataFrame:
     """Q3 (k=20) and the k=10 variant: lifetime spend and orders."""
-    per_id = curated.groupBy("customer_id").agg(
+    per_id = _date_range(curated, start, end).groupBy("customer_id").agg(
         F.sum("amount").alias("lifetime_spend"), F.count(F.lit(1)).alias("orders"))
     dim = _dim(customers.select("customer_id", "customer_name"), broadcast_max_rows)
     out = (per_id.join(dim, "customer_id").groupBy("customer_id", "customer_name")
@@ -113,10 +115,12 @@ def top_customers(curated: DataFrame, customers: DataFrame, k: int | None = 20,
 
 
 def avg_order_value(curated: DataFrame, products: DataFrame,
-                    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+                    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+                    start=None, end=None) -> DataFrame:
     """Q4: average amount per category, rounded to cents, from an exact sum
     and count (engines disagree on the type of a decimal AVG)."""
-    per_id = curated.groupBy("product_id").agg(F.sum("amount").alias("s"), F.count(F.lit(1)).alias("n"))
+    per_id = _date_range(curated, start, end).groupBy("product_id").agg(
+        F.sum("amount").alias("s"), F.count(F.lit(1)).alias("n"))
     dim = _dim(products.select("product_id", "category"), broadcast_max_rows)
     out = (per_id.join(dim, "product_id")
            .groupBy("category").agg(F.sum("s").alias("s"), F.sum("n").alias("orders")))
@@ -136,8 +140,8 @@ def reject_rate(rejected: DataFrame) -> DataFrame:
             .orderBy(F.col("rows_rejected").desc(), F.col("reject_reason").asc()))
 
 
-def curated_count(curated: DataFrame) -> DataFrame:
-    return curated.agg(F.count(F.lit(1)).alias("curated_count"))
+def curated_count(curated: DataFrame, start=None, end=None) -> DataFrame:
+    return _date_range(curated, start, end).agg(F.count(F.lit(1)).alias("curated_count"))
 
 
 def run_health(run_metrics: DataFrame) -> DataFrame:
