@@ -68,9 +68,13 @@ def orphans(df: DataFrame, checks: dict[str, tuple[str, DataFrame, str]],
         per_key = (df.select(F.trim(F.col(col)).alias("key"))
                      .where(F.col("key").isNotNull() & (F.col("key") != ""))
                      .groupBy("key").agg(F.count(F.lit(1)).alias("rows")))
-        known = _maybe_broadcast(distinct_keys(dim, dim_key, "key"), broadcast_max_rows,
+        known = _maybe_broadcast(distinct_keys(dim, dim_key, "__known"), broadcast_max_rows,
                                  dim, dim_key)
-        parts.append(per_key.join(known, "key", "left_anti")
+        # A left join with an IS NULL filter rather than a left anti join:
+        # Catalyst pushes anti joins below an aggregate on the join key, which
+        # would make the join see every fact row instead of one per key.
+        parts.append(per_key.join(known, F.col("key") == F.col("__known"), "left")
+                     .where(F.col("__known").isNull())
                      .select(F.lit(side).alias("side"), "key", "rows"))
     out = parts[0]
     for p in parts[1:]:
