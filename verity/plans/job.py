@@ -73,11 +73,10 @@ def merge_existing(spark: SparkSession, curated: DataFrame, path: str, run_id: s
         existing.limit(1).count()
     except Exception:  # noqa: BLE001 - no table yet
         return curated
-    cond = None
-    for y, m, d in days:
-        c = (F.col("year") == y) & (F.col("month") == m) & (F.col("day") == d)
-        cond = c if cond is None else cond | c
-    old = existing.where(cond)
+    # A predicate on partition columns only: resolved against the folder
+    # names, so only the batch's days are listed and read.
+    day_key = F.concat_ws("-", *[F.col(c) for c in K.PARTITION_COLUMNS])
+    old = existing.where(day_key.isin(["-".join(d) for d in days]))
     both = curated.unionByName(old.select(*curated.columns))
     merged = dedupe(both, list(config.dedupe_keys),
                     [F.col("ingestion_timestamp").desc_nulls_last(),

@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from verity import constants as K
 from verity import schemas
@@ -149,8 +150,8 @@ def q_conform_types(spark, sf_dir):
     raw = _raw(spark, sf_dir)
     text = raw.select(*[F.col(c).cast("string").alias(c) for c in raw.columns])
     target = schemas.CURATED_TRANSACTIONS
-    sub = type(target)([target["transaction_id"], target["quantity"], target["ingestion_timestamp"]])
-    return conform(text, sub)
+    return conform(text, T.StructType([target[c] for c in
+                                       ("transaction_id", "quantity", "ingestion_timestamp")]))
 
 
 def q_flag_missing_required(spark, sf_dir):

@@ -49,10 +49,13 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the configured checkpoint folder; only when none is set (tests,
-    local runs) create one under the local temp directory."""
+    """The configured checkpoint folder. Only a local-mode session without
+    one (tests, local runs) gets a folder under the local temp directory; on
+    a cluster a machine-local folder would not be shared, so it is an error."""
     d = checkpoint_dir(spark)
     if d is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         d = tempfile.mkdtemp(prefix="verity-ckpt-")
     spark.sparkContext.setCheckpointDir(d)
     return d
