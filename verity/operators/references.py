@@ -1,16 +1,26 @@
 """Foreign-key checks against dimension tables.
 
 The fact table is never shuffled for a check whose dimension fits a
-broadcast: the key set is measured first (``fits_broadcast``) and broadcast
-only below a fixed row bound. Above it the check is a sort-merge left join;
-AQE splits a skewed key (one id holding a large share of the rows) on the
-fact side, which left outer joins allow.
+broadcast: the dimension is counted first (``fits_broadcast``) and its key set
+broadcast only below a fixed row bound. Above it the check is a sort-merge
+left join, and a key holding a large share of the fact rows must be split
+across tasks by AQE's skew-join handling. That handling needs both join
+inputs to come straight from shuffles that the join itself requires; an
+aggregate (the ``distinct``) directly under the join hides the key side's
+shuffle from it. So above the bound the key set is first written as Parquet
+under the checkpoint folder and read back: the join then plans its own
+shuffles, and a hot fact key is split (the plan shows
+``SortMergeJoin(skew=true)``).
 """
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from verity.session import ensure_checkpoint_dir
+
 # A key set up to this many rows is broadcast (about 40 bytes a row in the
 # hashed relation, so well under 100 MB).
 DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
@@ -31,13 +41,25 @@ def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def stage_keys(keys: DataFrame) -> DataFrame:
+    """Write a key set under the checkpoint folder and read it back: cuts
+    its lineage and leaves no partitioning for the join to inherit."""
+    spark = keys.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/verity-keys/{uuid.uuid4().hex}"
+    keys.write.parquet(path)
+    return spark.read.schema(keys.schema).parquet(path)
+
+
 def _maybe_broadcast(keys: DataFrame, max_rows: int, dim: DataFrame | None = None,
-                     dim_key: str | None = None) -> DataFrame:
+                     dim_key: str | None = None, stage: bool = False) -> DataFrame:
     """Broadcast the key set when it is at most ``max_rows``. With the
     dimension given, its row count (an upper bound on its distinct keys) is
-    checked instead: a single scan stage instead of an aggregation."""
+    checked instead: a single scan stage instead of an aggregation. Above the
+    bound the key set is staged when ``stage`` (fact-row joins, see above)."""
     probe = dim.select(dim_key) if dim is not None else keys
-    return F.broadcast(keys) if fits_broadcast(probe, max_rows) else keys
+    if fits_broadcast(probe, max_rows):
+        return F.broadcast(keys)
+    return stage_keys(keys) if stage else keys
 
 
 def check_reference(df: DataFrame, col: str, dim: DataFrame, dim_key: str | None = None,
@@ -49,7 +71,7 @@ def check_reference(df: DataFrame, col: str, dim: DataFrame, dim_key: str | None
     flag = flag or f"valid_{col}_ref"
     probe = f"__known_{col}"
     keys = _maybe_broadcast(distinct_keys(dim, dim_key or col, probe), broadcast_max_rows,
-                            dim, dim_key or col)
+                            dim, dim_key or col, stage=True)
     joined = df.join(keys, F.col(col) == F.col(probe), "left")
     return joined.withColumn(flag, F.col(probe).isNotNull()).drop(probe)
 
