@@ -8,7 +8,7 @@ aggregates (see ``verity.operators.quantile``).
 """
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from decimal import Decimal
 
 from pyspark.sql import DataFrame
@@ -42,7 +42,6 @@ class CurationConfig:
     promo_default: str = K.PROMO_DEFAULT
     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS
     dedupe_keys: tuple[str, ...] = ("transaction_id",)
-    extra: dict = field(default_factory=dict)
 
 
 ID_COLUMNS = ("transaction_id", "customer_id", "product_id")
@@ -148,6 +147,12 @@ class CurationResult:
         ).withColumn("duplicates_dropped",
                      F.col("raw_count") - F.col("rejected_count") - F.col("curated_count"))
 
+    def counts(self, run_id: str | None = None) -> dict:
+        """The funnel as a dict (one job): raw_count, rejected_count,
+        curated_count, duplicates_dropped, and run_id when given."""
+        out = self.funnel().first().asDict()
+        return {"run_id": run_id, **out} if run_id is not None else out
+
 
 def clean_and_curate(transactions: DataFrame, customers: DataFrame, products: DataFrame,
                      run_id: str, min_date: str | None = None, max_date: str | None = None,

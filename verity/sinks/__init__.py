@@ -1,8 +1,8 @@
 """Writers (K1-K5) and catalog registration (K6, K7)."""
 from verity.sinks.writers import (
-    write_curated, write_rejected, write_run_metrics, publish_frame, publish_dimension,
+    configure_dynamic_overwrite, write_curated, write_rejected, write_run_metrics, publish_frame, publish_dimension,
 )
 from verity.sinks.catalog import create_tables, repair_partitions
 
-__all__ = ["write_curated", "write_rejected", "write_run_metrics", "publish_frame",
+__all__ = ["configure_dynamic_overwrite", "write_curated", "write_rejected", "write_run_metrics", "publish_frame",
            "publish_dimension", "create_tables", "repair_partitions"]

@@ -25,6 +25,13 @@ from verity.functions.names import standardize_column_names
 from verity.operators.conform import conform
 
 
+def configure_dynamic_overwrite(spark: SparkSession) -> None:
+    """K1, session-wide: every overwrite of a partitioned table in this
+    session replaces only the partitions present in the written frame. The
+    writers here set the same mode per write and do not need it."""
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+
+
 def _partitioned_write(df: DataFrame, path: str, partition_by: Sequence[str],
                        max_records_per_file: int | None = None) -> None:
     w = (df.hint("rebalance", *partition_by).write.mode("overwrite")
