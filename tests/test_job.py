@@ -173,3 +173,19 @@ def test_csv_landing_matches_registered_outputs(spark, tmpdir_path):
     rej = read_rejected(spark, paths.rejected).withColumn("amount", F.col("amount").cast("double"))
     want_rej = QUERIES["rejected"](spark, sf).select(*rej.columns)
     assert compare_outputs(blank_as_null(rej), blank_as_null(want_rej)).first().identical
+
+
+def test_cli_runs_the_job(spark, tmpdir_path):
+    from verity.cli import main
+    paths = landing(tmpdir_path, [txn("T1"), txn("T2", amount="-1")])
+    args = []
+    for name in ("raw_transactions", "raw_customers", "raw_products", "curated", "rejected",
+                 "metrics", "customers", "products"):
+        args += [f"--{name.replace('_', '-')}-path", getattr(paths, name)]
+    counts = main(["clean-and-curate", *args, "--run-id", "cli-1", "--no-register"])
+    assert (counts["raw_count"], counts["rejected_count"], counts["curated_count"]) == (2, 1, 1)
+    assert main(["catalog-and-publish", *args]) == {"published": True}
+    assert spark.table("rejected.transactions").count() == 1
+    for t in ("curated.transactions", "curated.customers", "curated.products",
+              "rejected.transactions", "curated.run_metrics"):
+        spark.sql(f"DROP TABLE IF EXISTS {t}")

@@ -78,3 +78,13 @@ def test_empty_and_all_invalid(spark):
     assert cur.count() == 0 and rej.count() == 0 and counts["raw_count"] == 0
     cur, rej, counts = run(spark, [base(amount="x"), base(transaction_id="T2", amount="y")])
     assert cur.count() == 0 and counts["rejected_count"] == 2
+
+
+def test_outputs_carry_exactly_the_ddl_columns(spark):
+    from verity import schemas
+    cur, rej, _ = run(spark, [base(), base(transaction_id="T2", amount="-1")])
+    assert cur.schema == schemas.CURATED_TRANSACTIONS or \
+        [(f.name, f.dataType) for f in cur.schema] == \
+        [(f.name, f.dataType) for f in schemas.CURATED_TRANSACTIONS]
+    assert [(f.name, f.dataType) for f in rej.schema] == \
+        [(f.name, f.dataType) for f in schemas.REJECTED_TRANSACTIONS]
