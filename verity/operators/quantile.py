@@ -77,7 +77,10 @@ def exact_percentile_disc(df: DataFrame, col: str, p: float, *,
         raise ValueError("p must be within [0, 1]")
     v, scale, type_range = _as_long(df, col)
     x = df.select(v.alias("v")).where(F.col("v").isNotNull())
-    parts = x.rdd.getNumPartitions()
+    try:
+        parts = x.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. a Spark Connect session)
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     buckets = buckets or _bucket_count(parts)
 
     n = None

@@ -48,7 +48,7 @@ def fixture_tables(spark: SparkSession, sf_dir: str):
     """The fixture frames of a session and folder, built once: a frame is a
     plan, and resolving six Parquet schemas per query costs more than many of
     the queries themselves. The test tables are read-only."""
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir)
+    key = (id(spark), spark.conf.get("spark.app.id", ""), sf_dir)
     if key not in _FIXTURE_PLANS:
         _FIXTURE_PLANS[key] = _fixture_tables(spark, sf_dir)
     return _FIXTURE_PLANS[key]

@@ -42,7 +42,10 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "verit
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared folder the cluster names in ``spark.checkpoint.dir``."""
-    d = spark.sparkContext.getCheckpointDir()
+    try:
+        d = spark.sparkContext.getCheckpointDir()
+    except Exception:  # noqa: BLE001 - no SparkContext (e.g. a Spark Connect session)
+        d = None
     if d:
         return d
     return spark.conf.get("spark.checkpoint.dir", None) or None
@@ -54,8 +57,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     a cluster a machine-local folder would not be shared, so it is an error."""
     d = checkpoint_dir(spark)
     if d is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         d = tempfile.mkdtemp(prefix="verity-ckpt-")
-    spark.sparkContext.setCheckpointDir(d)
+    try:
+        spark.sparkContext.setCheckpointDir(d)
+    except Exception:  # noqa: BLE001 - no SparkContext; the folder is used by path only
+        pass
     return d

@@ -26,10 +26,12 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     cores (a file with one row group is one task however large it is), so
     the per-row work above it runs on every core. A large input already has
     many splits and is left alone: no shuffle is added at scale."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. a Spark Connect session)
         return df
-    return df.repartition(cores, *keys)
+    return df if splits >= cores else df.repartition(cores, *keys)
 
 
 def _small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
