@@ -22,7 +22,7 @@ from verity.plans.pipeline import (
     DEDUPE_TIE_BREAK, CurationConfig, amount_ceiling, check_references, clean_and_curate,
     standardize,
 )
-from verity.session import ensure_checkpoint_dir
+from verity.session import ensure_checkpoint_dir, remove_path
 from verity.sinks.catalog import create_tables, repair_partitions
 from verity.sinks.writers import (
     publish_dimension, write_curated, write_rejected, write_run_metrics,
@@ -111,6 +111,7 @@ def run_batch(spark: SparkSession, paths: BatchPaths, run_id: str,
 
     obs_cur = Observation("curated")
     checked = check_references(standardize(txns, config), customers, products, config)
+    staging = None
     if materialize == "staged":
         staging = f"{ensure_checkpoint_dir(spark).rstrip('/')}/verity-staging/{run_id}/checked"
         checked.write.mode("overwrite").parquet(staging)
@@ -137,6 +138,8 @@ def run_batch(spark: SparkSession, paths: BatchPaths, run_id: str,
                   "curated_count": _observed(obs_cur, result.curated), "ceiling": str(ceiling)}
     finally:
         checked.unpersist()
+    if staging:
+        remove_path(spark, staging)  # every read of it has finished
     log.warning("[run=%s] raw_count=%s rejected_count=%s curated_count=%s", run_id,
                 counts["raw_count"], counts["rejected_count"], counts["curated_count"])
     write_run_metrics(spark, counts, K.STAGE_CLEAN_AND_CURATE, paths.metrics, run_id)

@@ -61,7 +61,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         d = tempfile.mkdtemp(prefix="verity-ckpt-")
     try:
-        spark.sparkContext.setCheckpointDir(d)
+        if not spark.sparkContext.getCheckpointDir():
+            # Spark makes a fresh subfolder under the given one: set it once.
+            spark.sparkContext.setCheckpointDir(d)
     except Exception:  # noqa: BLE001 - no SparkContext; the folder is used by path only
         pass
     return d
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Best-effort recursive delete of a scratch folder (staging tables under
+    the checkpoint folder) through the Hadoop FileSystem of the session, so it
+    works on any shared store the cluster uses. Returns False when it could
+    not delete."""
+    try:
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return bool(fs.delete(hpath, True))
+    except Exception:  # noqa: BLE001 - cleanup must never fail a finished job
+        return False
