@@ -1,7 +1,7 @@
 """Job entry point for ``spark-submit``.
 
     spark-submit verity/cli.py clean-and-curate \\
-        --raw-transactions-path s3://b/raw/transactions --raw-customers-path ... \\
+        --raw-transactions-path /lake/raw/transactions --raw-customers-path ... \\
         --raw-products-path ... --curated-path ... --rejected-path ... \\
         --metrics-path ... --customers-path ... --products-path ... --run-id RUN
 
