@@ -226,7 +226,7 @@ SELECT reject_reason, COUNT(*) AS rows_rejected,
        CAST(ROUND(COUNT(*) * 100.0 / SUM(COUNT(*)) OVER (), 2) AS DOUBLE) AS pct_of_all_rejects
 FROM rejected GROUP BY reject_reason ORDER BY rows_rejected DESC, reject_reason"""),
     "top_products_by_volume": _top_products("COUNT(*)", "transaction_count"),
-    "top_products_by_units": _top_products("SUM(t.quantity)", "units_sold"),
+    "top_products_by_units": _top_products("CAST(SUM(t.quantity) AS BIGINT)", "units_sold"),
     "curated_count": _with("SELECT COUNT(*) AS curated_count FROM curated"),
     "dedupe": _with("SELECT transaction_id, customer_id, product_id, CAST(amount AS DOUBLE) AS amount, "
                     "transaction_date, source_file FROM curated"),

@@ -67,7 +67,16 @@ def _run(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None) -> Cura
 
 
 def _money_out(df: DataFrame, cols=("amount",)) -> DataFrame:
-    return df.withColumns({c: F.col(c).cast("double") for c in cols})
+    """Output representation for the oracle comparison: money as DOUBLE and
+    timestamps as wall-clock values without a zone (what SQL ``TIMESTAMP``
+    is); the library itself keeps decimal and zoned timestamps."""
+    out = df.withColumns({c: F.col(c).cast("double") for c in cols if c in df.columns})
+    return _wall_clock(out)
+
+
+def _wall_clock(df: DataFrame) -> DataFrame:
+    ts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampType)]
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ts}) if ts else df
 
 
 def _published_customers(spark, sf_dir):
@@ -121,9 +130,9 @@ def q_parse_date(spark, sf_dir):
 
 
 def q_parse_timestamp(spark, sf_dir):
-    return _raw(spark, sf_dir).select(
+    return _wall_clock(_raw(spark, sf_dir).select(
         "transaction_id", F.col("ingestion_timestamp").alias("ingestion_timestamp_raw"),
-        parse_timestamp("ingestion_timestamp").alias("ingestion_timestamp"))
+        parse_timestamp("ingestion_timestamp").alias("ingestion_timestamp")))
 
 
 def q_trim_ids(spark, sf_dir):
@@ -150,8 +159,8 @@ def q_conform_types(spark, sf_dir):
     raw = _raw(spark, sf_dir)
     text = raw.select(*[F.col(c).cast("string").alias(c) for c in raw.columns])
     target = schemas.CURATED_TRANSACTIONS
-    return conform(text, T.StructType([target[c] for c in
-                                       ("transaction_id", "quantity", "ingestion_timestamp")]))
+    return _wall_clock(conform(text, T.StructType([target[c] for c in
+                                                   ("transaction_id", "quantity", "ingestion_timestamp")])))
 
 
 def q_flag_missing_required(spark, sf_dir):
