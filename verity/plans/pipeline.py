@@ -69,10 +69,6 @@ def standardize(raw: DataFrame, config: CurationConfig = CurationConfig()) -> Da
     return typed.withColumn("missing_required", any_missing(config.required))
 
 
-def standardize_dimension(dim: DataFrame, key: str) -> DataFrame:
-    return standardize_column_names(dim).withColumn(key, trim_text(key))
-
-
 def check_references(typed: DataFrame, customers: DataFrame, products: DataFrame,
                      config: CurationConfig = CurationConfig()) -> DataFrame:
     df = check_reference(typed, "customer_id", standardize_column_names(customers),
@@ -87,23 +83,27 @@ def amount_ceiling(typed: DataFrame, config: CurationConfig = CurationConfig())
                            config.ceiling_fallback, config.ceiling_mode, config.ceiling_accuracy)
 
 
-def rules(ceiling, config: CurationConfig = CurationConfig()) -> list[Rule]:
-    """Priority order: the first failing rule names the row."""
-    return [
-        Rule(K.REASON_MISSING_REQUIRED, ~F.col("missing_required")),
-        Rule(K.REASON_INVALID_AMOUNT, amount_in_range("amount", ceiling)),
-        Rule(K.REASON_INVALID_DATE, date_in_range("transaction_date", config.min_date, config.max_date)),
-        Rule(K.REASON_ORPHAN_REFERENCE, F.col("valid_customer_ref") & F.col("valid_product_ref")),
-    ]
+# Priority order: the first failing rule names the row. Each rule reads a
+# flag column computed before (see ``validate`` and ``check_references``).
+RULES = (
+    (K.REASON_MISSING_REQUIRED, lambda: ~F.col("missing_required")),
+    (K.REASON_INVALID_AMOUNT, lambda: F.col("valid_amount")),
+    (K.REASON_INVALID_DATE, lambda: F.col("valid_date")),
+    (K.REASON_ORPHAN_REFERENCE, lambda: F.col("valid_customer_ref") & F.col("valid_product_ref")),
+)
+
+
+def rules() -> list[Rule]:
+    return [Rule(reason, passes()) for reason, passes in RULES]
 
 
 def validate(checked: DataFrame, ceiling, config: CurationConfig = CurationConfig()) -> DataFrame:
-    """Add the boolean checks and ``reject_reason``."""
+    """Add the amount and date checks, then ``reject_reason``."""
     df = checked.withColumns({
         "valid_amount": amount_in_range("amount", ceiling),
         "valid_date": date_in_range("transaction_date", config.min_date, config.max_date),
     })
-    return tag(df, rules(ceiling, config))
+    return tag(df, rules())
 
 
 def dedupe_valid(valid: DataFrame, config: CurationConfig = CurationConfig()) -> DataFrame:
