@@ -58,9 +58,8 @@ def test_run_batch_rerun_and_catalog(spark, tmpdir_path):
     assert (c1["raw_count"], c1["rejected_count"], c1["curated_count"]) == (5, 2, 2)
     from verity.session import ensure_checkpoint_dir
     root = ensure_checkpoint_dir(spark).removeprefix("file:")
-    assert os.path.isdir(os.path.join(root, "verity-staging", "r1"))
-    staged = os.path.join(root, "verity-staging", "r1", "checked")
-    assert not os.path.exists(staged)  # the run's staging table is removed after the writes
+    assert os.path.isdir(os.path.join(root, "verity-staging"))
+    assert not os.path.exists(os.path.join(root, "verity-staging", "r1"))  # removed after the writes
     c2 = run_batch(spark, paths, "r1")  # same run again: replaced, not added
     assert (c2["raw_count"], c2["rejected_count"], c2["curated_count"]) == (5, 2, 2)
     cur = read_curated(spark, paths.curated)

@@ -52,6 +52,11 @@ class BatchPaths:
                    f"{o}/control/run_metrics", f"{o}/curated/customers", f"{o}/curated/products")
 
 
+def staging_root(spark: SparkSession, run_id: str) -> str:
+    """The run's scratch folder under the checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/verity-staging/{run_id}"
+
+
 def merge_existing(spark: SparkSession, curated: DataFrame, path: str, run_id: str,
                    config: CurationConfig) -> DataFrame:
     """Fold the rows already stored for the batch's days into the batch, so
@@ -82,7 +87,7 @@ def merge_existing(spark: SparkSession, curated: DataFrame, path: str, run_id: s
                     [F.col("ingestion_timestamp").desc_nulls_last(),
                      F.col("source_file").asc_nulls_first()],
                     tie_break=list(DEDUPE_TIE_BREAK) + ["run_id"])
-    staging = f"{ensure_checkpoint_dir(spark).rstrip('/')}/staging/{run_id}-{uuid.uuid4().hex}"
+    staging = f"{staging_root(spark, run_id)}/merged-{uuid.uuid4().hex}"
     merged.write.mode("overwrite").parquet(staging)
     return spark.read.schema(schemas.CURATED_TRANSACTIONS).parquet(staging)
 
@@ -113,7 +118,7 @@ def run_batch(spark: SparkSession, paths: BatchPaths, run_id: str,
     checked = check_references(standardize(txns, config), customers, products, config)
     staging = None
     if materialize == "staged":
-        staging = f"{ensure_checkpoint_dir(spark).rstrip('/')}/verity-staging/{run_id}/checked"
+        staging = f"{staging_root(spark, run_id)}/checked"
         checked.write.mode("overwrite").parquet(staging)
         checked = spark.read.schema(checked.schema).parquet(staging)
     elif materialize == "persist":
@@ -138,8 +143,8 @@ def run_batch(spark: SparkSession, paths: BatchPaths, run_id: str,
                   "curated_count": _observed(obs_cur, result.curated), "ceiling": str(ceiling)}
     finally:
         checked.unpersist()
-    if staging:
-        remove_path(spark, staging)  # every read of it has finished
+    if staging or merge:
+        remove_path(spark, staging_root(spark, run_id))  # every read of it has finished
     log.warning("[run=%s] raw_count=%s rejected_count=%s curated_count=%s", run_id,
                 counts["raw_count"], counts["rejected_count"], counts["curated_count"])
     write_run_metrics(spark, counts, K.STAGE_CLEAN_AND_CURATE, paths.metrics, run_id)
