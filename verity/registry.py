@@ -37,8 +37,11 @@ MESSY_HEADERS = [" Transaction ID ", "Customer-Id", "PRODUCT_ID", "Transaction D
 
 
 def _prepare(spark: SparkSession) -> None:
-    # Text <-> timestamp conversions in the fixture and the oracle are in UTC.
+    # Text <-> timestamp conversions in the fixture and the oracle are in UTC,
+    # and date text is parsed strictly (a lenient parser would turn
+    # 2019-13-40 into a real date).
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.legacy.timeParserPolicy", "CORRECTED")
 
 
 _FIXTURE_PLANS: dict = {}

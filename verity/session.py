@@ -20,6 +20,7 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.ansi.enabled": "true",
+    "spark.sql.legacy.timeParserPolicy": "CORRECTED",
 }
 
 
