@@ -193,3 +193,14 @@ def test_cli_runs_the_job(spark, tmpdir_path):
     for t in ("curated.transactions", "curated.customers", "curated.products",
               "rejected.transactions", "curated.run_metrics"):
         spark.sql(f"DROP TABLE IF EXISTS {t}")
+
+
+def test_large_dimension_keys_are_staged_and_cleaned(spark, tmpdir_path):
+    from verity.plans.pipeline import CurationConfig
+    from verity.session import ensure_checkpoint_dir
+    paths = landing(tmpdir_path, [txn("T1"), txn("T2", cust="C9")])
+    cfg = CurationConfig(broadcast_max_rows=1)  # force the shuffle-join path
+    c = run_batch(spark, paths, "bigdim", cfg, register=False, publish=False)
+    assert (c["raw_count"], c["rejected_count"], c["curated_count"]) == (2, 1, 1)
+    root = ensure_checkpoint_dir(spark).removeprefix("file:")
+    assert not os.path.exists(os.path.join(root, "verity-staging", "bigdim"))

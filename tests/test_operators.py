@@ -134,3 +134,17 @@ def test_exact_percentile_without_sketch(spark, sketch):
     ints = spark.createDataFrame([(i * 7 % 1001,) for i in range(3000)], "x long")
     assert exact_percentile_disc(ints, "x", 0.99, sketch_max_partitions=0) == \
         _disc([i * 7 % 1001 for i in range(3000)], 0.99)
+
+
+def test_ceiling_approx_mode_is_close(spark):
+    rnd = random.Random(3)
+    vals = [Decimal(rnd.randint(100, 10**7)) / 100 for _ in range(5000)]
+    df = spark.createDataFrame([(v,) for v in vals], "x decimal(10,2)")
+    exact = ceiling(df, "x", 0.99, Decimal("3.0"), Decimal("1000000"))
+    approx = ceiling(df, "x", 0.99, Decimal("3.0"), Decimal("1000000"), mode="approx")
+    assert exact == _disc(vals, 0.99) * Decimal("3.0")
+    # Within the sketch's rank error (1/accuracy of the rows) of the exact value.
+    s = sorted(vals)
+    k = s.index(_disc(vals, 0.99))
+    lo, hi = s[max(0, k - 5)] * 3, s[min(len(s) - 1, k + 5)] * 3
+    assert lo <= approx <= hi

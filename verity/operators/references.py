@@ -41,17 +41,20 @@ def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def stage_keys(keys: DataFrame) -> DataFrame:
-    """Write a key set under the checkpoint folder and read it back: cuts
-    its lineage and leaves no partitioning for the join to inherit."""
+def stage_keys(keys: DataFrame, stage_dir: str | None = None) -> DataFrame:
+    """Write a key set under ``stage_dir`` (default: the checkpoint folder)
+    and read it back: cuts its lineage and leaves no partitioning for the
+    join to inherit. The caller owning ``stage_dir`` removes it."""
     spark = keys.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/verity-keys/{uuid.uuid4().hex}"
+    root = stage_dir or f"{ensure_checkpoint_dir(spark).rstrip('/')}/verity-keys"
+    path = f"{root.rstrip('/')}/keys-{uuid.uuid4().hex}"
     keys.write.parquet(path)
     return spark.read.schema(keys.schema).parquet(path)
 
 
 def _maybe_broadcast(keys: DataFrame, max_rows: int, dim: DataFrame | None = None,
-                     dim_key: str | None = None, stage: bool = False) -> DataFrame:
+                     dim_key: str | None = None, stage: bool = False,
+                     stage_dir: str | None = None) -> DataFrame:
     """Broadcast the key set when it is at most ``max_rows``. With the
     dimension given, its row count (an upper bound on its distinct keys) is
     checked instead: a single scan stage instead of an aggregation. Above the
@@ -59,19 +62,20 @@ def _maybe_broadcast(keys: DataFrame, max_rows: int, dim: DataFrame | None = Non
     probe = dim.select(dim_key) if dim is not None else keys
     if fits_broadcast(probe, max_rows):
         return F.broadcast(keys)
-    return stage_keys(keys) if stage else keys
+    return stage_keys(keys, stage_dir) if stage else keys
 
 
 def check_reference(df: DataFrame, col: str, dim: DataFrame, dim_key: str | None = None,
                     flag: str | None = None,
-                    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+                    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+                    stage_dir: str | None = None) -> DataFrame:
     """Add boolean ``flag`` (default ``valid_<col>_ref``): the value of
     ``col`` exists among the dimension's keys. Joins against the distinct key
     set, so a row is never multiplied."""
     flag = flag or f"valid_{col}_ref"
     probe = f"__known_{col}"
     keys = _maybe_broadcast(distinct_keys(dim, dim_key or col, probe), broadcast_max_rows,
-                            dim, dim_key or col, stage=True)
+                            dim, dim_key or col, stage=True, stage_dir=stage_dir)
     joined = df.join(keys, F.col(col) == F.col(probe), "left")
     return joined.withColumn(flag, F.col(probe).isNotNull()).drop(probe)
 

@@ -115,7 +115,8 @@ def run_batch(spark: SparkSession, paths: BatchPaths, run_id: str,
     products = read_raw_csv(spark, paths.raw_products, schemas.RAW_PRODUCTS)
 
     obs_cur = Observation("curated")
-    checked = check_references(standardize(txns, config), customers, products, config)
+    checked = check_references(standardize(txns, config), customers, products, config,
+                               stage_dir=f"{staging_root(spark, run_id)}/keys")
     staging = None
     if materialize == "staged":
         staging = f"{staging_root(spark, run_id)}/checked"
@@ -143,8 +144,7 @@ def run_batch(spark: SparkSession, paths: BatchPaths, run_id: str,
                   "curated_count": _observed(obs_cur, result.curated), "ceiling": str(ceiling)}
     finally:
         checked.unpersist()
-    if staging or merge:
-        remove_path(spark, staging_root(spark, run_id))  # every read of it has finished
+    remove_path(spark, staging_root(spark, run_id))  # every read of it has finished
     log.warning("[run=%s] raw_count=%s rejected_count=%s curated_count=%s", run_id,
                 counts["raw_count"], counts["rejected_count"], counts["curated_count"])
     write_run_metrics(spark, counts, K.STAGE_CLEAN_AND_CURATE, paths.metrics, run_id)

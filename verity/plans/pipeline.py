@@ -70,11 +70,16 @@ def standardize(raw: DataFrame, config: CurationConfig = CurationConfig()) -> Da
 
 
 def check_references(typed: DataFrame, customers: DataFrame, products: DataFrame,
-                     config: CurationConfig = CurationConfig()) -> DataFrame:
+                     config: CurationConfig = CurationConfig(),
+                     stage_dir: str | None = None) -> DataFrame:
+    """Both reference flags. ``stage_dir`` receives key sets too large to
+    broadcast (see ``check_reference``)."""
     df = check_reference(typed, "customer_id", standardize_column_names(customers),
-                         flag="valid_customer_ref", broadcast_max_rows=config.broadcast_max_rows)
+                         flag="valid_customer_ref", broadcast_max_rows=config.broadcast_max_rows,
+                         stage_dir=stage_dir)
     return check_reference(df, "product_id", standardize_column_names(products),
-                           flag="valid_product_ref", broadcast_max_rows=config.broadcast_max_rows)
+                           flag="valid_product_ref", broadcast_max_rows=config.broadcast_max_rows,
+                           stage_dir=stage_dir)
 
 
 def amount_ceiling(typed: DataFrame, config: CurationConfig = CurationConfig()) -> Decimal:
