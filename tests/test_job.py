@@ -204,3 +204,11 @@ def test_large_dimension_keys_are_staged_and_cleaned(spark, tmpdir_path):
     assert (c["raw_count"], c["rejected_count"], c["curated_count"]) == (2, 1, 1)
     root = ensure_checkpoint_dir(spark).removeprefix("file:")
     assert not os.path.exists(os.path.join(root, "verity-staging", "bigdim"))
+
+
+def test_merge_rerun_is_idempotent(spark, tmpdir_path):
+    paths = landing(tmpdir_path, [txn("T1"), txn("T2")])
+    for _ in range(2):
+        run_batch(spark, paths, "m", register=False, publish=False, merge=True)
+    ids = sorted(r[0] for r in read_curated(spark, paths.curated).select("transaction_id").collect())
+    assert ids == ["T1", "T2"]

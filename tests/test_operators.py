@@ -148,3 +148,11 @@ def test_ceiling_approx_mode_is_close(spark):
     k = s.index(_disc(vals, 0.99))
     lo, hi = s[max(0, k - 5)] * 3, s[min(len(s) - 1, k + 5)] * 3
     assert lo <= approx <= hi
+
+
+def test_ceiling_stat_mode_matches_approx_quantile(spark):
+    vals = [Decimal(i) for i in range(1, 1001)]
+    df = spark.createDataFrame([(v,) for v in vals], "x decimal(10,2)")
+    q = df.approxQuantile("x", [0.99], 0.01)[0]
+    assert ceiling(df, "x", 0.99, Decimal("3.0"), Decimal("1000000"), mode="stat") == \
+        Decimal(repr(q)) * Decimal("3.0")

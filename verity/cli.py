@@ -31,7 +31,7 @@ def parse(argv: list[str]) -> argparse.Namespace:
     ap.add_argument("--run-id")
     ap.add_argument("--min-date")
     ap.add_argument("--max-date")
-    ap.add_argument("--ceiling-mode", choices=["exact", "approx"], default="exact")
+    ap.add_argument("--ceiling-mode", choices=["exact", "approx", "stat"], default="exact")
     ap.add_argument("--merge", action="store_true", help="merge with stored rows of the same days")
     ap.add_argument("--no-register", action="store_true", help="skip catalog registration")
     return ap.parse_args(argv)

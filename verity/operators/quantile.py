@@ -148,13 +148,22 @@ def approx_percentile(df: DataFrame, col: str, p: float, accuracy: int = DEFAULT
 
 
 def ceiling(df: DataFrame, col: str, p: float, factor: Decimal, fallback: Decimal,
-            mode: str = "exact", accuracy: int = DEFAULT_ACCURACY) -> Decimal:
+            mode: str = "exact", accuracy: int = DEFAULT_ACCURACY,
+            relative_error: float = 0.01) -> Decimal:
     """``factor`` x the ``p`` percentile of ``col``; ``fallback`` when there is
-    no value or the percentile is 0. Exact decimal arithmetic throughout."""
+    no value or the percentile is 0. Exact decimal arithmetic throughout.
+
+    ``mode``: ``exact`` (default), ``approx`` (``percentile_approx`` at
+    ``accuracy``), or ``stat`` (``DataFrame.approxQuantile`` at
+    ``relative_error``: the sketch call of the original job, which may answer
+    anything within 1% of the rank, the maximum included)."""
     if mode == "exact":
         q = exact_percentile_disc(df, col, p, accuracy=accuracy)
     elif mode == "approx":
         q = approx_percentile(df, col, p, accuracy)
+    elif mode == "stat":
+        got = df.approxQuantile(col, [p], relative_error)
+        q = Decimal(repr(got[0])) if got else None
     else:
         raise ValueError(f"unknown ceiling mode {mode!r}")
     if q is None or q == 0:

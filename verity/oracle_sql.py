@@ -227,6 +227,11 @@ SELECT reject_reason, COUNT(*) AS rows_rejected,
 FROM rejected GROUP BY reject_reason ORDER BY rows_rejected DESC, reject_reason"""),
     "top_products_by_volume": _top_products("COUNT(*)", "transaction_count"),
     "top_products_by_units": _top_products("CAST(SUM(t.quantity) AS BIGINT)", "units_sold"),
+    "top_products_by_id": _with("""
+SELECT t.product_id, p.product_name, COUNT(*) AS transaction_count
+FROM curated t JOIN pub_products p ON t.product_id = p.product_id
+GROUP BY t.product_id, p.product_name
+ORDER BY transaction_count DESC, t.product_id, p.product_name LIMIT 10"""),
     "curated_count": _with("SELECT COUNT(*) AS curated_count FROM curated"),
     "dedupe": _with("SELECT transaction_id, customer_id, product_id, CAST(amount AS DOUBLE) AS amount, "
                     "transaction_date, source_file FROM curated"),

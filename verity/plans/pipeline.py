@@ -37,7 +37,7 @@ class CurationConfig:
     ceiling_percentile: float = K.CEILING_PERCENTILE
     ceiling_factor: Decimal = K.CEILING_FACTOR
     ceiling_fallback: Decimal = K.CEILING_FALLBACK
-    ceiling_mode: str = "exact"          # or "approx" (one sketch pass)
+    ceiling_mode: str = "exact"          # "approx" (one sketch pass) or "stat" (original call)
     ceiling_accuracy: int = 10_000
     promo_default: str = K.PROMO_DEFAULT
     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS

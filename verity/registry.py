@@ -250,6 +250,12 @@ def q_top_products_by_units(spark, sf_dir):
     return A.top_products(_run(spark, sf_dir).curated, _published_products(spark, sf_dir), 10, "units")
 
 
+def q_top_products_by_id(spark, sf_dir):
+    # Volume grouped by product id and name: products sharing a name stay apart.
+    return A.top_products(_run(spark, sf_dir).curated, _published_products(spark, sf_dir), 10,
+                          "orders", by="id")
+
+
 def q_top_customers(spark, sf_dir):
     return A.top_customers(_run(spark, sf_dir).curated, _published_customers(spark, sf_dir), 20)
 
@@ -319,6 +325,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "reject_rate": q_reject_rate,
     "top_products_by_volume": q_top_products_by_volume,
     "top_products_by_units": q_top_products_by_units,
+    "top_products_by_id": q_top_products_by_id,
     "curated_count": q_curated_count,
     "fingerprint": q_fingerprint,
     "dedupe": q_dedupe,
