@@ -156,3 +156,11 @@ def test_ceiling_stat_mode_matches_approx_quantile(spark):
     q = df.approxQuantile("x", [0.99], 0.01)[0]
     assert ceiling(df, "x", 0.99, Decimal("3.0"), Decimal("1000000"), mode="stat") == \
         Decimal(repr(q)) * Decimal("3.0")
+
+
+def test_fits_broadcast_bounds_rows_and_bytes(spark):
+    from verity.operators.references import fits_broadcast
+    df = spark.createDataFrame([("x" * 1000,)] * 10, "k string")
+    assert fits_broadcast(df, 10)
+    assert not fits_broadcast(df, 9)                  # too many rows
+    assert not fits_broadcast(df, 10, max_bytes=5000)  # too many bytes

@@ -18,12 +18,16 @@ import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from verity.session import ensure_checkpoint_dir
 
-# A key set up to this many rows is broadcast (about 40 bytes a row in the
-# hashed relation, so well under 100 MB).
+# A key set is broadcast only when both bounds hold: at most this many rows,
+# and at most this many bytes of values plus a fixed per-row overhead of the
+# hashed relation.
 DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
+DEFAULT_BROADCAST_MAX_BYTES = 128 * 1024 * 1024
+ROW_OVERHEAD_BYTES = 48
 
 
 def distinct_keys(dim: DataFrame, key: str, alias: str | None = None, trim: bool = True) -> DataFrame:
@@ -33,12 +37,31 @@ def distinct_keys(dim: DataFrame, key: str, alias: str | None = None, trim: bool
     return dim.select(k.alias(name)).where(F.col(name).isNotNull()).distinct()
 
 
-def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (counted, not guessed;
-    the count stops being useful past ``max_rows + 1``)."""
+def _value_bytes(df: DataFrame):
+    sizes = []
+    for f in df.schema.fields:
+        c = F.col(f.name)
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            sizes.append(F.coalesce(F.octet_length(c), F.lit(0)))
+        else:
+            sizes.append(F.lit(8))
+    out = sizes[0]
+    for x in sizes[1:]:
+        out = out + x
+    return out.cast("long")
+
+
+def fits_broadcast(df: DataFrame, max_rows: int,
+                   max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and its values take at
+    most ``max_bytes`` (counted in one job over at most ``max_rows + 1``
+    rows, not estimated from file sizes)."""
     if max_rows <= 0:
         return False
-    return df.limit(max_rows + 1).count() <= max_rows
+    r = df.limit(max_rows + 1).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.sum(_value_bytes(df)), F.lit(0).cast("long")).alias("b")).first()
+    return r["n"] <= max_rows and r["b"] + ROW_OVERHEAD_BYTES * r["n"] <= max_bytes
 
 
 def stage_keys(keys: DataFrame, stage_dir: str | None = None) -> DataFrame:
