@@ -21,3 +21,13 @@ def test_entry_contract():
     qs, sql = E.queries(), E.oracle_sql()
     assert len(qs) == 37 and set(sql) <= set(qs)
     assert set(qs) - set(sql) == {"fingerprint"}
+
+
+def test_entry_smoke(spark):
+    sys.path.insert(0, ROOT)
+    import __spark_entry__ as E
+    df = E.entry(spark)
+    rows = df.collect()
+    assert len(rows) > 0
+    assert [(f.name, f.dataType.simpleString()) for f in df.schema] == \
+        [("year", "string"), ("month", "string"), ("revenue", "double"), ("orders", "bigint")]
