@@ -15,6 +15,10 @@ def start_ingest(spark: SparkSession, paths: BatchPaths, checkpoint_location: st
                  ) -> StreamingQuery:
     """Start the stream; returns the query (``awaitTermination()`` to wait).
 
+    A streaming file source maps columns by position, so landed files must
+    carry the declared raw column order (the batch reader also matches
+    standardised header names).
+
     The run id of a micro-batch is ``<run_prefix>-<batch id>``. A replayed
     batch (after a failure) gets the same id, and every write is a dynamic
     partition overwrite keyed by it, so replays replace instead of adding.
