@@ -1,5 +1,6 @@
 """Writers, catalog, the batch job and the streaming ingest, in temp folders."""
 import csv
+import glob
 import os
 
 from pyspark.sql import functions as F
@@ -56,12 +57,16 @@ def test_run_batch_rerun_and_catalog(spark, tmpdir_path):
     paths = landing(tmpdir_path, rows)
     c1 = run_batch(spark, paths, "r1")
     assert (c1["raw_count"], c1["rejected_count"], c1["curated_count"]) == (5, 2, 2)
+    files = lambda: sorted(os.path.relpath(f, paths.curated).split(os.sep)[:-1]
+                           for f in glob.glob(f"{paths.curated}/**/*.parquet", recursive=True))
+    files_first = files()
     from verity.session import ensure_checkpoint_dir
     root = ensure_checkpoint_dir(spark).removeprefix("file:")
     assert os.path.isdir(os.path.join(root, "verity-staging"))
     assert not os.path.exists(os.path.join(root, "verity-staging", "r1"))  # removed after the writes
     c2 = run_batch(spark, paths, "r1")  # same run again: replaced, not added
     assert (c2["raw_count"], c2["rejected_count"], c2["curated_count"]) == (5, 2, 2)
+    assert files() == files_first  # same data files per day folder after the rerun
     cur = read_curated(spark, paths.curated)
     assert cur.count() == 2
     assert sorted(r["source_file"] for r in cur.collect()) == ["f.csv", "late.csv"]
