@@ -1,9 +1,11 @@
 """The stage-1 batch job and the stage-2 publish.
 
 Scans the raw transactions once: the checked frame (typed rows with their
-reference flags) is persisted, the ceiling passes and both writes read it,
-and the row counts come from ``Observation``s that ride along with the
-first action over each frame instead of extra ``count()`` jobs.
+reference flags) is written once as a staging table under the checkpoint
+folder (or persisted), and the ceiling passes, the counts and both writes
+read it. The raw and rejected counts are one aggregate over a few of its
+columns; the curated count is an ``Observation`` riding on the curated
+write instead of an extra job.
 """
 from __future__ import annotations
 
@@ -127,10 +129,10 @@ def run_batch(spark: SparkSession, paths: BatchPaths, run_id: str,
     else:
         raise ValueError(f"unknown materialize mode {materialize!r}")
     try:
-        ceiling = amount_ceiling(checked, config)  # first pass fills the cache
+        ceiling = amount_ceiling(checked, config)
         result = clean_and_curate(txns, customers, products, run_id, config=config,
                                   ceiling=ceiling, checked=checked)
-        # Raw and rejected counts: one aggregate over the cached rows.
+        # Raw and rejected counts: one aggregate over the checked rows.
         tally = result.tagged.agg(
             F.count(F.lit(1)).alias("raw_count"),
             F.count_if(F.col("reject_reason").isNotNull()).alias("rejected_count")).first()
