@@ -15,6 +15,7 @@ shuffles, and a hot fact key is split (the plan shows
 from __future__ import annotations
 
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -51,17 +52,33 @@ def _value_bytes(df: DataFrame):
     return out.cast("long")
 
 
+# Measurements per frame object (weakly held): a frame reused by several
+# plans is counted once. A frame read again from storage is a new object
+# and is measured again; a stale answer could only change the join strategy.
+_MEASURED: "weakref.WeakKeyDictionary[DataFrame, dict]" = weakref.WeakKeyDictionary()
+
+
 def fits_broadcast(df: DataFrame, max_rows: int,
-                   max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows and its values take at
-    most ``max_bytes`` (counted in one job over at most ``max_rows + 1``
-    rows, not estimated from file sizes)."""
+                   max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
+                   columns: tuple[str, ...] | None = None) -> bool:
+    """True when ``df`` (or its ``columns``) has at most ``max_rows`` rows and
+    its values take at most ``max_bytes`` (counted in one job over at most
+    ``max_rows + 1`` rows, not estimated from file sizes)."""
     if max_rows <= 0:
         return False
-    r = df.limit(max_rows + 1).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.coalesce(F.sum(_value_bytes(df)), F.lit(0).cast("long")).alias("b")).first()
-    return r["n"] <= max_rows and r["b"] + ROW_OVERHEAD_BYTES * r["n"] <= max_bytes
+    key = (tuple(columns) if columns else None, max_rows)
+    try:
+        memo = _MEASURED.setdefault(df, {})
+    except TypeError:  # not weak-referenceable
+        memo = {}
+    if key not in memo:
+        probe = df.select(*columns) if columns else df
+        r = probe.limit(max_rows + 1).agg(
+            F.count(F.lit(1)).alias("n"),
+            F.coalesce(F.sum(_value_bytes(probe)), F.lit(0).cast("long")).alias("b")).first()
+        memo[key] = (r["n"], r["b"])
+    n, b = memo[key]
+    return n <= max_rows and b + ROW_OVERHEAD_BYTES * n <= max_bytes
 
 
 def stage_keys(keys: DataFrame, stage_dir: str | None = None) -> DataFrame:
@@ -82,8 +99,9 @@ def _maybe_broadcast(keys: DataFrame, max_rows: int, dim: DataFrame | None = Non
     dimension given, its row count (an upper bound on its distinct keys) is
     checked instead: a single scan stage instead of an aggregation. Above the
     bound the key set is staged when ``stage`` (fact-row joins, see above)."""
-    probe = dim.select(dim_key) if dim is not None else keys
-    if fits_broadcast(probe, max_rows):
+    fits = (fits_broadcast(dim, max_rows, columns=(dim_key,)) if dim is not None
+            else fits_broadcast(keys, max_rows))
+    if fits:
         return F.broadcast(keys)
     return stage_keys(keys, stage_dir) if stage else keys
 

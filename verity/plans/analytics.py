@@ -17,10 +17,11 @@ from pyspark.sql import functions as F
 from verity.operators.references import DEFAULT_BROADCAST_MAX_ROWS, fits_broadcast
 
 
-def _dim(df: DataFrame, max_rows: int) -> DataFrame:
+def _dim(dim: DataFrame, cols: tuple[str, ...], max_rows: int) -> DataFrame:
     """A dimension projection, broadcast only when counted below the bound;
     otherwise the join of two per-key aggregates is a plain shuffle join."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+    proj = dim.select(*cols)
+    return F.broadcast(proj) if fits_broadcast(dim, max_rows, columns=cols) else proj
 
 
 
@@ -90,7 +91,7 @@ def top_products(curated: DataFrame, products: DataFrame, k: int | None = 10,
     col = MEASURES[measure]
     keys = ["product_name"] if by == "name" else ["product_id", "product_name"]
     per_id = _per_product(_date_range(curated, start, end)).select("product_id", col)
-    dim = _dim(products.select("product_id", "product_name"), broadcast_max_rows)
+    dim = _dim(products, ("product_id", "product_name"), broadcast_max_rows)
     out = per_id.join(dim, "product_id").groupBy(*keys).agg(F.sum(col).alias(col))
     if measure == "revenue":
         out = out.withColumn(col, _money(col))
@@ -104,7 +105,7 @@ def top_customers(curated: DataFrame, customers: DataFrame, k: int | None = 20,
     """Q3 (k=20) and the k=10 variant: lifetime spend and orders."""
     per_id = _date_range(curated, start, end).groupBy("customer_id").agg(
         F.sum("amount").alias("lifetime_spend"), F.count(F.lit(1)).alias("orders"))
-    dim = _dim(customers.select("customer_id", "customer_name"), broadcast_max_rows)
+    dim = _dim(customers, ("customer_id", "customer_name"), broadcast_max_rows)
     out = (per_id.join(dim, "customer_id").groupBy("customer_id", "customer_name")
            .agg(F.sum("lifetime_spend").alias("lifetime_spend"), F.sum("orders").alias("orders"))
            .select("customer_id", "customer_name", _money("lifetime_spend").alias("lifetime_spend"),
@@ -121,7 +122,7 @@ def avg_order_value(curated: DataFrame, products: DataFrame,
     and count (engines disagree on the type of a decimal AVG)."""
     per_id = _date_range(curated, start, end).groupBy("product_id").agg(
         F.sum("amount").alias("s"), F.count(F.lit(1)).alias("n"))
-    dim = _dim(products.select("product_id", "category"), broadcast_max_rows)
+    dim = _dim(products, ("product_id", "category"), broadcast_max_rows)
     out = (per_id.join(dim, "product_id")
            .groupBy("category").agg(F.sum("s").alias("s"), F.sum("n").alias("orders")))
     return (out.select("category",

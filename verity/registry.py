@@ -82,14 +82,24 @@ def _wall_clock(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ts}) if ts else df
 
 
-def _published_customers(spark, sf_dir):
+def _published(spark: SparkSession, sf_dir: str):
+    """The published dimension frames, built once per session and folder
+    like the fixture frames they derive from."""
     _prepare(spark)
-    return publish_frame(fixture_tables(spark, sf_dir)[1], schemas.CURATED_CUSTOMERS, "customer_id")
+    key = (id(spark), spark.conf.get("spark.app.id", ""), sf_dir, "published")
+    if key not in _FIXTURE_PLANS:
+        _, c, p = fixture_tables(spark, sf_dir)
+        _FIXTURE_PLANS[key] = (publish_frame(c, schemas.CURATED_CUSTOMERS, "customer_id"),
+                               publish_frame(p, schemas.CURATED_PRODUCTS, "product_id"))
+    return _FIXTURE_PLANS[key]
+
+
+def _published_customers(spark, sf_dir):
+    return _published(spark, sf_dir)[0]
 
 
 def _published_products(spark, sf_dir):
-    _prepare(spark)
-    return publish_frame(fixture_tables(spark, sf_dir)[2], schemas.CURATED_PRODUCTS, "product_id")
+    return _published(spark, sf_dir)[1]
 
 
 def _raw(spark, sf_dir):
