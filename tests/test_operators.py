@@ -88,6 +88,16 @@ def test_dedupe_total_order_is_partition_invariant(spark):
     assert results == {(("T1", "a.csv", "w"), ("T2", None, "y"))}
 
 
+@pytest.mark.parametrize("method", ["portable", "xxhash64"])
+def test_fingerprint_null_safe_and_unambiguous(spark, method):
+    a = spark.createDataFrame([(None, "x")], "a string, b string")
+    b = spark.createDataFrame([("x", None)], "a string, b string")
+    assert fingerprint(a, method=method).first()["hash_xor"] != fingerprint(b, method=method).first()["hash_xor"]
+    c = spark.createDataFrame([("ab", "c")], "a string, b string")
+    d = spark.createDataFrame([("a", "bc")], "a string, b string")
+    assert fingerprint(c, method=method).first()["hash_xor"] != fingerprint(d, method=method).first()["hash_xor"]
+
+
 def test_fingerprint_null_safe(spark):
     a = spark.createDataFrame([(None, "x")], "a string, b string")
     b = spark.createDataFrame([("x", None)], "a string, b string")

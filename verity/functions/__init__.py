@@ -8,10 +8,11 @@ from verity.functions.predicates import (
     is_missing, any_missing, amount_in_range, date_in_range,
 )
 from verity.functions.imputation import impute
-from verity.functions.hashing import null_safe_row_hash
+from verity.functions.hashing import null_safe_row_hash, portable_row_hash
 
 __all__ = [
     "clean_name", "standardize_column_names", "clean_amount_text", "parse_amount",
     "parse_date", "parse_timestamp", "trim_text", "partition_columns", "is_missing",
     "any_missing", "amount_in_range", "date_in_range", "impute", "null_safe_row_hash",
+    "portable_row_hash",
 ]

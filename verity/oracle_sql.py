@@ -153,6 +153,15 @@ GROUP BY c.customer_id, c.customer_name
 ORDER BY SUM(t.amount) DESC, c.customer_id, c.customer_name LIMIT {k}""")
 
 
+def _fp_fields() -> str:
+    """The portable fingerprint's row text (see ``portable_row_hash``)."""
+    parts = []
+    for c in ("transaction_id", "customer_id", "product_id", "amount", "transaction_date"):
+        t = f"CAST({c} AS VARCHAR)"
+        parts.append(f"CASE WHEN {c} IS NULL THEN 'N' ELSE 'V' || length({t}) || ':' || {t} END")
+    return ", ".join(parts)
+
+
 CURATED_OUT = """SELECT transaction_id, customer_id, product_id, CAST(amount AS DOUBLE) AS amount,
   transaction_date, quantity, promo_code, is_imputed, ingestion_timestamp, source_file, run_id,
   year, month, day FROM curated"""
@@ -244,6 +253,11 @@ FROM monthly ORDER BY year, month"""),
 SELECT n AS rows_a, n AS rows_b, CAST(0 AS BIGINT) AS only_a, CAST(0 AS BIGINT) AS only_b,
        true AS identical
 FROM (SELECT COUNT(*) AS n FROM curated)"""),
+    "fingerprint": _with(f"""
+SELECT COUNT(*) AS n_rows, CAST(COALESCE(SUM(h), 0) AS DECIMAL(38,0)) AS hash_sum,
+       COALESCE(bit_xor(h), CAST(0 AS BIGINT)) AS hash_xor
+FROM (SELECT CAST(('0x' || substr(md5(concat({_fp_fields()})), 1, 15)) AS BIGINT) AS h
+      FROM curated) f"""),
     "curated": _with(CURATED_OUT),
     "run_health": _with(f"""
 SELECT r.source_file AS run_id, '{K.STAGE_CLEAN_AND_CURATE}' AS stage, r.raw_count, r.rejected_count,
