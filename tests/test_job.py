@@ -217,3 +217,17 @@ def test_merge_rerun_is_idempotent(spark, tmpdir_path):
         run_batch(spark, paths, "m", register=False, publish=False, merge=True)
     ids = sorted(r[0] for r in read_curated(spark, paths.curated).select("transaction_id").collect())
     assert ids == ["T1", "T2"]
+
+
+def test_merge_table_scope_moves_a_corrected_date(spark, tmpdir_path):
+    paths = landing(tmpdir_path, [txn("T1", date="2025-01-15"), txn("T2", date="2025-01-16")])
+    run_batch(spark, paths, "a", register=False, publish=False)
+    # Later batch: T2's date was corrected to the 17th and ingested later.
+    later = landing(tmpdir_path + "/b", [txn("T2", date="2025-01-17", ts="2025-01-18 10:00:00")])
+    later = BatchPaths(later.raw_transactions, later.raw_customers, later.raw_products,
+                       paths.curated, paths.rejected, paths.metrics, paths.customers, paths.products)
+    run_batch(spark, later, "b", register=False, publish=False, merge=True, merge_scope="table")
+    rows = sorted((r.transaction_id, r.day) for r in
+                  read_curated(spark, paths.curated).select("transaction_id", "day").collect())
+    assert rows == [("T1", "15"), ("T2", "17")]
+    assert not os.path.exists(os.path.join(paths.curated, "year=2025", "month=01", "day=16"))

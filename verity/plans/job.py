@@ -59,29 +59,45 @@ def staging_root(spark: SparkSession, run_id: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/verity-staging/{run_id}"
 
 
+def _day_path(path: str, day: tuple[str, str, str]) -> str:
+    return f"{path.rstrip('/')}/" + "/".join(f"{c}={v}" for c, v in zip(K.PARTITION_COLUMNS, day))
+
+
 def merge_existing(spark: SparkSession, curated: DataFrame, path: str, run_id: str,
-                   config: CurationConfig) -> DataFrame:
-    """Fold the rows already stored for the batch's days into the batch, so
-    a dynamic overwrite of those days keeps them (B10).
-
-    The days of the batch are a small set (bounded by the calendar), read
-    once to build an explicit partition filter, so only those day folders are
-    scanned. The merged rows are deduplicated with the batch order and
-    written to a staging table under the checkpoint folder before the target
-    is touched, so the job never overwrites what it is reading and a failure
-    leaves the target as it was. A row whose id moved to another day keeps
-    its old copy (only the batch's days are merged).
+                   config: CurationConfig, scope: str = "days"
+                   ) -> tuple[DataFrame, list[tuple[str, str, str]]]:
+    """Fold stored rows into the batch, so a dynamic overwrite of the batch's
+    days keeps them (B10).
+
+    ``scope="days"``: the stored rows of the batch's own days. ``"table"``:
+    also the days holding an older copy of one of the batch's ids (found by a
+    semi join on the id and day columns of the whole table), so an id whose
+    date changed keeps one copy. Returns the rows to write and the days left
+    without rows, which the caller deletes after the write has succeeded.
+
+    The affected days are a small set (bounded by the calendar), read once to
+    build a partition filter, so only those day folders are read. The merged
+    rows are deduplicated with the batch order and written to the run's
+    staging folder before the target is touched, so the job never overwrites
+    what it is reading and a failure leaves the target as it was.
     """
-    days = [tuple(r) for r in curated.select(*K.PARTITION_COLUMNS).distinct().collect()]
+    if scope not in ("days", "table"):
+        raise ValueError(f"unknown merge scope {scope!r}")
+    days = {tuple(r) for r in curated.select(*K.PARTITION_COLUMNS).distinct().collect()}
     if not days:
-        return curated
+        return curated, []
     try:
         existing = read_curated(spark, path)
         existing.limit(1).count()
     except Exception:  # noqa: BLE001 - no table yet
-        return curated
+        return curated, []
+    if scope == "table":
+        ids = curated.select("transaction_id").distinct()
+        held = (existing.select("transaction_id", *K.PARTITION_COLUMNS)
+                .join(ids, "transaction_id", "left_semi").select(*K.PARTITION_COLUMNS).distinct())
+        days |= {tuple(r) for r in held.collect()}
     # A predicate on partition columns only: resolved against the folder
-    # names, so only the batch's days are listed and read.
+    # names, so only the affected days are listed and read.
     day_key = F.concat_ws("-", *[F.col(c) for c in K.PARTITION_COLUMNS])
     old = existing.where(day_key.isin(["-".join(d) for d in days]))
     both = curated.unionByName(old.select(*curated.columns))
@@ -91,12 +107,17 @@ def merge_existing(spark: SparkSession, curated: DataFrame, path: str, run_id: s
                     tie_break=list(DEDUPE_TIE_BREAK) + ["run_id"])
     staging = f"{staging_root(spark, run_id)}/merged-{uuid.uuid4().hex}"
     merged.write.mode("overwrite").parquet(staging)
-    return spark.read.schema(schemas.CURATED_TRANSACTIONS).parquet(staging)
+    out = spark.read.schema(schemas.CURATED_TRANSACTIONS).parquet(staging)
+    emptied: list[tuple[str, str, str]] = []
+    if scope == "table":
+        kept = {tuple(r) for r in out.select(*K.PARTITION_COLUMNS).distinct().collect()}
+        emptied = sorted(days - kept)  # every row of these days moved to another day
+    return out, emptied
 
 
 def run_batch(spark: SparkSession, paths: BatchPaths, run_id: str,
               config: CurationConfig | None = None, *, register: bool = True,
-              merge: bool = False, publish: bool = True,
+              merge: bool = False, merge_scope: str = "days", publish: bool = True,
               transactions: DataFrame | None = None, materialize: str = "staged",
               storage_level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> dict:
     """Read, clean, validate, dedupe and write one batch; record its counts;
@@ -138,9 +159,13 @@ def run_batch(spark: SparkSession, paths: BatchPaths, run_id: str,
             F.count_if(F.col("reject_reason").isNotNull()).alias("rejected_count")).first()
         write_rejected(result.rejected, paths.rejected)
         curated = result.curated.observe(obs_cur, F.count(F.lit(1)).alias("n"))
+        emptied: list = []
         if merge:
-            curated = merge_existing(spark, curated, paths.curated, run_id, config)
+            curated, emptied = merge_existing(spark, curated, paths.curated, run_id, config,
+                                              merge_scope)
         write_curated(curated, paths.curated)
+        for day in emptied:  # only after the write has succeeded
+            remove_path(spark, _day_path(paths.curated, day))
         counts = {"run_id": run_id, "raw_count": tally["raw_count"],
                   "rejected_count": tally["rejected_count"],
                   "curated_count": _observed(obs_cur, result.curated), "ceiling": str(ceiling)}
