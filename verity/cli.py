@@ -33,6 +33,8 @@ def parse(argv: list[str]) -> argparse.Namespace:
     ap.add_argument("--max-date")
     ap.add_argument("--ceiling-mode", choices=["exact", "approx", "stat"], default="exact")
     ap.add_argument("--merge", action="store_true", help="merge with stored rows of the same days")
+    ap.add_argument("--merge-scope", choices=["days", "table"], default="days",
+                    help="table: also rewrite days holding older copies of the batch's ids")
     ap.add_argument("--no-register", action="store_true", help="skip catalog registration")
     return ap.parse_args(argv)
 
@@ -56,7 +58,7 @@ def main(argv: list[str] | None = None) -> dict:
     config = replace(config, min_date=args.min_date or config.min_date,
                      max_date=args.max_date or config.max_date, ceiling_mode=args.ceiling_mode)
     counts = run_batch(spark, paths, args.run_id, config, register=not args.no_register,
-                       merge=args.merge)
+                       merge=args.merge, merge_scope=args.merge_scope)
     print(json.dumps(counts))
     return counts
 
