@@ -231,3 +231,18 @@ def test_merge_table_scope_moves_a_corrected_date(spark, tmpdir_path):
                   read_curated(spark, paths.curated).select("transaction_id", "day").collect())
     assert rows == [("T1", "15"), ("T2", "17")]
     assert not os.path.exists(os.path.join(paths.curated, "year=2025", "month=01", "day=16"))
+
+
+def test_shuffle_partitions_sized_from_input(spark, tmpdir_path):
+    from verity.session import input_bytes, size_shuffles
+    paths = landing(tmpdir_path, [txn("T1")])
+    n = input_bytes(spark, paths.raw_transactions)
+    assert n and n > 0
+    before = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert size_shuffles(spark, n) == before  # a tiny input never lowers it
+    try:
+        assert size_shuffles(spark, 10 * 1024 ** 4) == 40_960  # 10 TB / 256 MB
+        assert size_shuffles(spark, 10 ** 15) == 50_000  # raised again, capped
+        assert size_shuffles(spark, 10 * 1024 ** 4) == 50_000  # never lowered
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", str(before))

@@ -24,7 +24,7 @@ from verity.plans.pipeline import (
     DEDUPE_TIE_BREAK, CurationConfig, amount_ceiling, check_references, clean_and_curate,
     standardize,
 )
-from verity.session import ensure_checkpoint_dir, remove_path
+from verity.session import ensure_checkpoint_dir, input_bytes, remove_path, size_shuffles
 from verity.sinks.catalog import create_tables, repair_partitions
 from verity.sinks.writers import (
     publish_dimension, write_curated, write_rejected, write_run_metrics,
@@ -132,6 +132,9 @@ def run_batch(spark: SparkSession, paths: BatchPaths, run_id: str,
     streaming ingest passes each micro-batch). Returns the counts.
     """
     config = config or CurationConfig()
+    if transactions is None:
+        # Shuffle partitions sized from the raw input (only ever raised).
+        size_shuffles(spark, input_bytes(spark, paths.raw_transactions))
     txns = transactions if transactions is not None else \
         read_raw_csv(spark, paths.raw_transactions, schemas.RAW_TRANSACTIONS)
     customers = read_raw_csv(spark, paths.raw_customers, schemas.RAW_CUSTOMERS)

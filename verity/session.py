@@ -82,3 +82,31 @@ def remove_path(spark: SparkSession, path: str) -> bool:
         return bool(fs.delete(hpath, True))
     except Exception:  # noqa: BLE001 - cleanup must never fail a finished job
         return False
+
+
+def input_bytes(spark: SparkSession, path: str) -> int | None:
+    """Total size of the files under ``path`` (Hadoop FileSystem content
+    summary, one listing on the driver); None when it cannot be read."""
+    try:
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return int(fs.getContentSummary(hpath).getLength())
+    except Exception:  # noqa: BLE001
+        return None
+
+
+def size_shuffles(spark: SparkSession, nbytes: int | None,
+                  target_bytes: int = 256 * 1024 * 1024, max_partitions: int = 50_000) -> int:
+    """Raise ``spark.sql.shuffle.partitions`` to about ``nbytes /
+    target_bytes`` (at most ``max_partitions``) so each shuffle partition of a
+    job over that input fits executor memory; AQE coalesces small ones back
+    together. Never lowers the setting. Returns the value in effect."""
+    current = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    if not nbytes:
+        return current
+    want = min(max_partitions, -(-nbytes // target_bytes))
+    if want > current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(want))
+        return want
+    return current
