@@ -246,3 +246,13 @@ def test_shuffle_partitions_sized_from_input(spark, tmpdir_path):
         assert size_shuffles(spark, 10 * 1024 ** 4) == 50_000  # never lowered
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", str(before))
+
+
+def test_read_raw_csv_maps_reordered_headers(spark, tmpdir_path):
+    folder = f"{tmpdir_path}/t"
+    write_csv(folder, "x.csv", ["Source File", " Amount", "Transaction ID", "customer-id", "Product ID",
+                                "Transaction Date", "Quantity", "Promo Code", "Ingestion Timestamp"],
+              [["f.csv", "$5.00", "T9", "C1", "P1", "2025-01-15", "2", "", "2025-01-15 10:00:00"]])
+    row = read_raw_csv(spark, folder, schemas.RAW_TRANSACTIONS).first()
+    assert (row.transaction_id, row.customer_id, row.amount, row.source_file, row.quantity) == \
+        ("T9", "C1", "$5.00", "f.csv", "2")
