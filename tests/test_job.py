@@ -256,3 +256,13 @@ def test_read_raw_csv_maps_reordered_headers(spark, tmpdir_path):
     row = read_raw_csv(spark, folder, schemas.RAW_TRANSACTIONS).first()
     assert (row.transaction_id, row.customer_id, row.amount, row.source_file, row.quantity) == \
         ("T9", "C1", "$5.00", "f.csv", "2")
+
+
+def test_read_raw_csv_rejects_a_file_with_another_column_order(spark, tmpdir_path):
+    import pytest
+    folder = f"{tmpdir_path}/t"
+    cols = schemas.names(schemas.RAW_TRANSACTIONS)
+    write_csv(folder, "a.csv", cols, [txn("T1")])
+    write_csv(folder, "b.csv", [cols[1], cols[0]] + cols[2:], [txn("T2")])
+    with pytest.raises(Exception):
+        read_raw_csv(spark, folder, schemas.RAW_TRANSACTIONS).collect()

@@ -23,9 +23,12 @@ def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     missing = [c for c in wanted if c not in clean]
     if missing:
         raise ValueError(f"{path}: header lacks columns {missing} (found {header})")
-    file_schema = T.StructType([T.StructField(c, T.StringType(), True) for c in clean])
+    # The raw header names form the read schema and enforceSchema is off, so
+    # Spark checks every file's header against it while scanning: a file
+    # with other columns or another order fails instead of being misread.
+    file_schema = T.StructType([T.StructField(h, T.StringType(), True) for h in header])
     df = (spark.read.schema(file_schema).option("header", True)
-          .option("enforceSchema", True).option("mode", "PERMISSIVE").csv(path))
+          .option("enforceSchema", False).option("mode", "PERMISSIVE").csv(path)).toDF(*clean)
     return df.select(*[F.col(c).cast(f.dataType).alias(c) if f.dataType != T.StringType()
                        else F.col(c) for c, f in zip(wanted, schema.fields)])
 
