@@ -107,10 +107,6 @@ def _raw(spark, sf_dir):
     return fixture_tables(spark, sf_dir)[0]
 
 
-def _typed(spark, sf_dir):
-    return standardize(_raw(spark, sf_dir), FIXTURE_CONFIG)
-
-
 # --- operator keys --------------------------------------------------------
 
 def q_schema_profile(spark, sf_dir):
@@ -163,7 +159,7 @@ def q_impute_promo(spark, sf_dir):
 
 
 def q_partition_columns(spark, sf_dir):
-    t = _typed(spark, sf_dir)
+    t = _run(spark, sf_dir).tagged  # the typed rows, from the persisted checked frame
     return t.select("transaction_id", "transaction_date", *partition_columns("transaction_date"))
 
 
@@ -177,8 +173,8 @@ def q_conform_types(spark, sf_dir):
 
 
 def q_flag_missing_required(spark, sf_dir):
-    return _typed(spark, sf_dir).select("transaction_id", "customer_id", "product_id",
-                                        "missing_required")
+    return _run(spark, sf_dir).tagged.select("transaction_id", "customer_id", "product_id",
+                                             "missing_required")
 
 
 def q_flag_amount(spark, sf_dir):
