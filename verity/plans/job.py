@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from verity import constants as K
 from verity import schemas
 from verity.operators.dedupe import dedupe
+from verity.operators.references import fits_broadcast
 from verity.plans.pipeline import (
     DEDUPE_TIE_BREAK, CurationConfig, amount_ceiling, check_references, clean_and_curate,
     standardize,
@@ -92,7 +93,11 @@ def merge_existing(spark: SparkSession, curated: DataFrame, path: str, run_id: s
     except Exception:  # noqa: BLE001 - no table yet
         return curated, []
     if scope == "table":
+        # A batch's id set is usually small: broadcast it (counted) so the
+        # stored table's id and day columns are only scanned, never shuffled.
         ids = curated.select("transaction_id").distinct()
+        if fits_broadcast(ids, config.broadcast_max_rows):
+            ids = F.broadcast(ids)
         held = (existing.select("transaction_id", *K.PARTITION_COLUMNS)
                 .join(ids, "transaction_id", "left_semi").select(*K.PARTITION_COLUMNS).distinct())
         days |= {tuple(r) for r in held.collect()}
