@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import logging
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -165,13 +166,14 @@ def run_batch(spark: SparkSession, paths: BatchPaths, run_id: str,
         tally = result.tagged.agg(
             F.count(F.lit(1)).alias("raw_count"),
             F.count_if(F.col("reject_reason").isNotNull()).alias("rejected_count")).first()
-        write_rejected(result.rejected, paths.rejected)
         curated = result.curated.observe(obs_cur, F.count(F.lit(1)).alias("n"))
         emptied: list = []
         if merge:
             curated, emptied = merge_existing(spark, curated, paths.curated, run_id, config,
                                               merge_scope)
-        write_curated(curated, paths.curated)
+        # The two writes are independent jobs: submit them together.
+        concurrently(lambda: write_rejected(result.rejected, paths.rejected),
+                     lambda: write_curated(curated, paths.curated))
         for day in emptied:  # only after the write has succeeded
             remove_path(spark, _day_path(paths.curated, day))
         counts = {"run_id": run_id, "raw_count": tally["raw_count"],
@@ -182,15 +184,34 @@ def run_batch(spark: SparkSession, paths: BatchPaths, run_id: str,
     remove_path(spark, staging_root(spark, run_id))  # every read of it has finished
     log.warning("[run=%s] raw_count=%s rejected_count=%s curated_count=%s", run_id,
                 counts["raw_count"], counts["rejected_count"], counts["curated_count"])
-    write_run_metrics(spark, counts, K.STAGE_CLEAN_AND_CURATE, paths.metrics, run_id)
+    jobs = [lambda: write_run_metrics(spark, counts, K.STAGE_CLEAN_AND_CURATE, paths.metrics,
+                                      run_id)]
     if publish:
-        publish_dimension(customers, schemas.CURATED_CUSTOMERS, "customer_id", paths.customers)
-        publish_dimension(products, schemas.CURATED_PRODUCTS, "product_id", paths.products)
+        jobs += [lambda: publish_dimension(customers, schemas.CURATED_CUSTOMERS, "customer_id",
+                                           paths.customers),
+                 lambda: publish_dimension(products, schemas.CURATED_PRODUCTS, "product_id",
+                                           paths.products)]
+    concurrently(*jobs)
     if register:
         publish_catalog(spark, paths)
     return counts
 
 
+def concurrently(*actions) -> None:
+    """Run independent Spark actions from separate driver threads, so their
+    jobs share the executors instead of waiting for each other. Waits for all
+    of them and re-raises the first failure; every writer here is rerun-safe,
+    so a failed run is simply run again."""
+    if len(actions) == 1:
+        actions[0]()
+        return
+    with ThreadPoolExecutor(max_workers=len(actions)) as pool:
+        futures = [pool.submit(a) for a in actions]
+    errors = [f.exception() for f in futures if f.exception() is not None]
+    if errors:
+        raise errors[0]
+
+
 def _observed(obs: Observation, df: DataFrame) -> int:
     """The observed row count; when AQE replaced an empty result by an empty
     relation the metric is not reported, and the frame is counted instead
