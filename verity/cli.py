@@ -36,6 +36,8 @@ def parse(argv: list[str]) -> argparse.Namespace:
     ap.add_argument("--merge-scope", choices=["days", "table"], default="days",
                     help="table: also rewrite days holding older copies of the batch's ids")
     ap.add_argument("--no-register", action="store_true", help="skip catalog registration")
+    ap.add_argument("--materialize", choices=["staged", "persist"], default="staged",
+                    help="staged: checked rows as Parquet under spark.checkpoint.dir")
     return ap.parse_args(argv)
 
 
@@ -58,7 +60,8 @@ def main(argv: list[str] | None = None) -> dict:
     config = replace(config, min_date=args.min_date or config.min_date,
                      max_date=args.max_date or config.max_date, ceiling_mode=args.ceiling_mode)
     counts = run_batch(spark, paths, args.run_id, config, register=not args.no_register,
-                       merge=args.merge, merge_scope=args.merge_scope)
+                       merge=args.merge, merge_scope=args.merge_scope,
+                       materialize=args.materialize)
     print(json.dumps(counts))
     return counts
 
