@@ -266,3 +266,19 @@ def test_read_raw_csv_rejects_a_file_with_another_column_order(spark, tmpdir_pat
     write_csv(folder, "b.csv", [cols[1], cols[0]] + cols[2:], [txn("T2")])
     with pytest.raises(Exception):
         read_raw_csv(spark, folder, schemas.RAW_TRANSACTIONS).collect()
+
+
+def test_concurrently_waits_for_all_and_reraises():
+    import pytest
+    from verity.plans.job import concurrently
+    done = []
+
+    def ok():
+        done.append(1)
+
+    def bad():
+        raise RuntimeError("boom")
+
+    with pytest.raises(RuntimeError, match="boom"):
+        concurrently(ok, bad, ok)
+    assert done == [1, 1]
