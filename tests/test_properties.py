@@ -39,3 +39,37 @@ def test_outputs_independent_of_partitioning(spark, rows, parts):
         while k > 1 and (k - 1) / n >= 0.99:
             k -= 1
         assert a.ceiling == amts[k - 1] * Decimal("3.0")
+
+
+def _amount_reference(text):
+    """The amount rule in plain Python: drop $ , and Java whitespace, require
+    -?digits(.digits)?, round half up to cents, NULL beyond decimal(10,2)."""
+    import re
+    from decimal import ROUND_HALF_UP, InvalidOperation
+    if text is None:
+        return None
+    cleaned = re.sub(r"[$, \t\n\x0b\f\r]", "", text)
+    if not re.fullmatch(r"-?[0-9]+(\.[0-9]+)?", cleaned):
+        return None
+    try:
+        v = Decimal(cleaned).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
+    except InvalidOperation:
+        return None
+    return v if abs(v) < Decimal("100000000") else None
+
+
+amount_text = st.one_of(
+    st.none(),
+    st.text(alphabet="0123456789$,.- \t+eE", max_size=14),
+    st.decimals(min_value=-10**9, max_value=10**9, places=3, allow_nan=False).map(str),
+    st.integers(-10**12, 10**12).map(lambda i: f"${i:,}"),
+)
+
+
+@settings(max_examples=40, deadline=None, suppress_health_check=list(HealthCheck))
+@given(values=st.lists(amount_text, min_size=1, max_size=60))
+def test_parse_amount_matches_plain_python(spark, values):
+    from verity.functions.parsing import parse_amount
+    df = spark.createDataFrame([(v,) for v in values], "x string")
+    got = [r[0] for r in df.select(parse_amount("x")).collect()]
+    assert got == [_amount_reference(v) for v in values]
