@@ -73,3 +73,42 @@ def test_parse_amount_matches_plain_python(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "x string")
     got = [r[0] for r in df.select(parse_amount("x")).collect()]
     assert got == [_amount_reference(v) for v in values]
+
+
+def _date_reference(text):
+    """The date rule in plain Python: ISO yyyy-MM-dd first, then US
+    MM/dd/yyyy with two-digit month and day; calendar-invalid text is NULL."""
+    import datetime as dt
+    import re
+    if text is None:
+        return None
+    if re.fullmatch(r"[0-9]{4}-[0-9]{2}-[0-9]{2}", text):
+        try:
+            return dt.datetime.strptime(text, "%Y-%m-%d").date()
+        except ValueError:
+            pass
+    if re.fullmatch(r"[0-9]{2}/[0-9]{2}/[0-9]{4}", text):
+        try:
+            return dt.datetime.strptime(text, "%m/%d/%Y").date()
+        except ValueError:
+            pass
+    return None
+
+
+ymd = st.tuples(st.integers(1000, 9999), st.integers(0, 13), st.integers(0, 32))
+date_text = st.one_of(
+    st.none(),
+    ymd.map(lambda t: f"{t[0]:04d}-{t[1]:02d}-{t[2]:02d}"),
+    ymd.map(lambda t: f"{t[1]:02d}/{t[2]:02d}/{t[0]:04d}"),
+    ymd.map(lambda t: f"{t[1]}/{t[2]}/{t[0]:04d}"),
+    st.text(alphabet="0123456789-/ ", max_size=12),
+)
+
+
+@settings(max_examples=40, deadline=None, suppress_health_check=list(HealthCheck))
+@given(values=st.lists(date_text, min_size=1, max_size=60))
+def test_parse_date_matches_plain_python(spark, values):
+    from verity.functions.parsing import parse_date
+    df = spark.createDataFrame([(v,) for v in values], "x string")
+    got = [r[0] for r in df.select(parse_date("x")).collect()]
+    assert got == [_date_reference(v) for v in values]
