@@ -112,3 +112,20 @@ def test_parse_date_matches_plain_python(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "x string")
     got = [r[0] for r in df.select(parse_date("x")).collect()]
     assert got == [_date_reference(v) for v in values]
+
+
+small_rows = st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.integers(0, 2) | st.none()),
+                      max_size=25)
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
+@given(a=small_rows, b=small_rows)
+def test_compare_outputs_equals_except_all_counts(spark, a, b):
+    from collections import Counter
+    ca, cb = Counter(a), Counter(b)
+    want = (len(a), len(b), sum((ca - cb).values()), sum((cb - ca).values()))
+    da = spark.createDataFrame(a, "k string, v int")
+    db = spark.createDataFrame(b, "k string, v int")
+    r = compare_outputs(da, db).first()
+    assert (r.rows_a, r.rows_b, r.only_a, r.only_b) == want
+    assert r.identical == (want[2] == 0 and want[3] == 0)
