@@ -129,3 +129,26 @@ def test_compare_outputs_equals_except_all_counts(spark, a, b):
     r = compare_outputs(da, db).first()
     assert (r.rows_a, r.rows_b, r.only_a, r.only_b) == want
     assert r.identical == (want[2] == 0 and want[3] == 0)
+
+
+dedupe_rows = st.lists(st.tuples(st.sampled_from(["T1", "T2", "T3"]), st.integers(0, 3) | st.none(),
+                                 st.sampled_from(["a.csv", "b.csv"]) | st.none(),
+                                 st.sampled_from(["x", "y"]) | st.none()), min_size=1, max_size=30)
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=dedupe_rows, parts=st.integers(1, 5))
+def test_dedupe_survivor_equals_python_order(spark, rows, parts):
+    from pyspark.sql import functions as F
+
+    from verity.operators.dedupe import dedupe
+
+    def key(r):  # ts desc nulls last, src asc nulls first, v asc nulls first
+        _, ts, src, v = r
+        return (ts is None, -(ts or 0), src is not None, src or "", v is not None, v or "")
+    want = {}
+    for r in sorted(rows, key=key):
+        want.setdefault(r[0], r)
+    df = spark.createDataFrame(rows, "id string, ts int, src string, v string").repartition(parts)
+    out = dedupe(df, ["id"], [F.col("ts").desc_nulls_last(), F.col("src").asc_nulls_first()])
+    assert sorted(tuple(r) for r in out.collect()) == sorted(want.values())
