@@ -152,3 +152,14 @@ def test_dedupe_survivor_equals_python_order(spark, rows, parts):
     df = spark.createDataFrame(rows, "id string, ts int, src string, v string").repartition(parts)
     out = dedupe(df, ["id"], [F.col("ts").desc_nulls_last(), F.col("src").asc_nulls_first()])
     assert sorted(tuple(r) for r in out.collect()) == sorted(want.values())
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(vals=st.lists(st.integers(-10**6, 10**9), min_size=1, max_size=80),
+       p=st.floats(0.0, 1.0), parts=st.integers(1, 6), sketch=st.booleans())
+def test_exact_percentile_equals_spark_percentile_disc(spark, vals, p, parts, sketch):
+    from verity.operators.quantile import exact_percentile_disc
+    df = spark.createDataFrame([(Decimal(v) / 100,) for v in vals], "x decimal(10,2)").repartition(parts)
+    want = df.selectExpr(f"percentile_disc({p!r}) WITHIN GROUP (ORDER BY x)").first()[0]
+    got = exact_percentile_disc(df, "x", p, sketch_max_partitions=10_000 if sketch else 0)
+    assert Decimal(str(got)) == Decimal(str(want))
