@@ -9,6 +9,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from verity.llm.bands import score_quality
+from verity.llm.licenses import BLOCK, PHRASES, TEMPLATES, scan, template_words
 from verity.llm.mixing import mix_plan
 from verity.llm.pii import pseudonymise
 
@@ -25,9 +27,19 @@ def op7_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonymise(documents(spark, sf_dir).select("doc_id", "text"))
 
 
+def op8_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(documents(spark, sf_dir))
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(documents(spark, sf_dir).select("doc_id", "text")).drop("text", "notices")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_source_mix": op6_source_mix,
     "op7_pseudonyms": op7_pseudonyms,
+    "op8_compression_bands": op8_compression_bands,
+    "op10_license_scan": op10_license_scan,
 }
 
 OP6_SQL = r"""
@@ -64,6 +76,45 @@ SELECT doc_id, size, source_size, target,
 FROM placed
 """
 
+
+
+def _list(words) -> str:
+    return "[" + ", ".join(f"'{w}'" for w in words) + "]"
+
+
+def _op10_sql(threshold: float = 0.8) -> str:
+    """Every block against every template, without filters."""
+    phrases = ", ".join(f"({_list(p.split())}, '{label}')" for p, label in PHRASES.items())
+    templates = ", ".join(f"({_list(template_words(t))}, '{label}')" for label, t in TEMPLATES)
+    return rf"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+phrases(p, label) AS (VALUES {phrases}),
+templates(t, label) AS (VALUES {templates}),
+places AS (
+  SELECT doc_id, label, unnest(list_filter(range(len(w)), lambda i: w[i + 1:i + len(p)] = p)) AS i
+  FROM docs, phrases),
+blocks AS (
+  SELECT doc_id, s, list_distinct(w[s + 1:s + {BLOCK}]) AS b
+  FROM (SELECT doc_id, w, unnest(range(0, len(w), {BLOCK // 2})) AS s FROM docs)),
+notices AS (
+  SELECT doc_id, label, len(list_intersect(b, t)) / len(t) AS share FROM blocks, templates
+  WHERE len(list_intersect(b, t)) >= ceil(round({threshold} * len(t), 9))),
+base AS (SELECT doc_id, count(*) AS n, min(i) AS a, max(i) AS z,
+                string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM places GROUP BY doc_id),
+found AS (SELECT doc_id, max(share) AS share FROM notices GROUP BY doc_id),
+every AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+          FROM (SELECT doc_id, label FROM places UNION ALL SELECT doc_id, label FROM notices) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_base,
+       CAST(a AS BIGINT) AS first_word, CAST(z AS BIGINT) AS last_word, coalesce(base.labels, '') AS base_labels,
+       coalesce(every.labels, '') AS labels,
+       CASE WHEN n > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0.0)::DOUBLE END AS score
+FROM docs d LEFT JOIN base USING (doc_id) LEFT JOIN found USING (doc_id) LEFT JOIN every USING (doc_id)
+"""
+
+
 ORACLE: dict[str, str] = {
+    "op10_license_scan": _op10_sql(),
     "op6_source_mix": OP6_SQL,
 }
