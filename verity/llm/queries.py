@@ -13,6 +13,7 @@ from verity.llm.bands import score_quality
 from verity.llm.licenses import BLOCK, PHRASES, TEMPLATES, scan, template_words
 from verity.llm.mixing import mix_plan
 from verity.llm.pii import pseudonymise
+from verity.llm.toxicity import score_toxicity
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,6 +32,11 @@ def op8_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(documents(spark, sf_dir))
 
 
+def op9_toxic_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return score_toxicity(documents(spark, sf_dir), labels).drop("evidence")
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(documents(spark, sf_dir).select("doc_id", "text")).drop("text", "notices")
 
@@ -39,6 +45,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_source_mix": op6_source_mix,
     "op7_pseudonyms": op7_pseudonyms,
     "op8_compression_bands": op8_compression_bands,
+    "op9_toxic_neighbours": op9_toxic_neighbours,
     "op10_license_scan": op10_license_scan,
 }
 
