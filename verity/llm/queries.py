@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from verity.llm.bands import score_quality
+from verity.llm.bpe import round_trip_digests
 from verity.llm.licenses import BLOCK, PHRASES, TEMPLATES, scan, template_words
 from verity.llm.mixing import mix_plan
 from verity.llm.pii import pseudonymise
@@ -20,6 +21,15 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op2_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip_digests(documents(spark, sf_dir), tokenizer_path())
+
+
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_plan(documents(spark, sf_dir)).drop("source")
 
@@ -42,6 +52,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_tree_bpe": op2_tree_bpe,
     "op6_source_mix": op6_source_mix,
     "op7_pseudonyms": op7_pseudonyms,
     "op8_compression_bands": op8_compression_bands,
