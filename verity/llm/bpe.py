@@ -167,30 +167,30 @@ def digest_columns(v: Vocabulary, ids: pa.ListArray) -> list[pa.Array]:
             sha(decode_ids(v, ids))]
 
 
-DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
+DIGESTS = ["n_tokens", "ids_sha256", "decoded_sha256"]
 
 
-def _leaf_mapper(path: str, digest: bool):
-    """Key columns and text to key columns and ids (or their digests)."""
+def _token_rows(v: Vocabulary, doc_ids: pa.Array, ids: pa.ListArray, digest: bool, keep_ids: bool) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [doc_ids, *([ids] if keep_ids else []), *(digest_columns(v, ids) if digest else [])],
+        names=["doc_id", *(["ids"] if keep_ids else []), *(DIGESTS if digest else [])])
+
+
+def _leaf_mapper(path: str, digest: bool, keep_ids: bool):
+    """doc_id and text to doc_id and ids, their digests, or both."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
         for batch in batches:
             ids = encode_texts(v, pc.fill_null(batch.column(batch.num_columns - 1), ""))
-            names = batch.schema.names[:-1]
-            columns = digest_columns(v, ids) if digest else [ids]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], *columns],
-                names=[*names, *(["n_tokens", "ids_sha256", "decoded_sha256"] if digest else ["ids"])])
+            yield _token_rows(v, batch.column(0), ids, digest, keep_ids)
     return run
 
 
-def _digest_mapper(path: str):
+def _token_mapper(path: str, digest: bool, keep_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
         for batch in batches:
-            ids = pa.concat_arrays([batch.column(1)])
-            yield pa.RecordBatch.from_arrays([batch.column(0), *digest_columns(v, ids)],
-                                             names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            yield _token_rows(v, batch.column(0), pa.concat_arrays([batch.column(1)]), digest, keep_ids)
     return run
 
 
@@ -307,7 +307,16 @@ def _rows(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), text_of("text").cast("string").alias("text"))
 
 
-def encode(docs: DataFrame, path: str, leaf: int = LEAF, staging: Staging | None = None) -> DataFrame:
+def _encoded(docs: DataFrame, path: str, leaf: int, digest: bool, keep_ids: bool) -> DataFrame:
+    rows = _rows(docs)
+    schema = "doc_id long" + ", ids array<int>" * keep_ids \
+        + ", n_tokens long, ids_sha256 string, decoded_sha256 string" * digest
+    short = rows.filter(F.length("text") <= leaf).mapInArrow(_leaf_mapper(path, digest, keep_ids), schema)
+    long = encode_long(rows.filter(F.length("text") > leaf), path, Staging(docs.sparkSession, "bpe"), leaf)
+    return short.unionAll(long.mapInArrow(_token_mapper(path, digest, keep_ids), schema) if digest else long)
+
+
+def encode(docs: DataFrame, path: str, leaf: int = LEAF) -> DataFrame:
     """``doc_id, ids`` of every document, as the tokenizer file encodes the
     whole text without added special tokens, truncation or padding.
 
@@ -315,10 +324,7 @@ def encode(docs: DataFrame, path: str, leaf: int = LEAF, staging: Staging | None
     in a text are encoded as such, as the file's tokenizer does. Repeated rows
     give one row each; other columns are not read.
     """
-    rows = _rows(docs)
-    short = rows.filter(F.length("text") <= leaf).mapInArrow(_leaf_mapper(path, False), "doc_id long, ids array<int>")
-    return short.unionAll(encode_long(rows.filter(F.length("text") > leaf), path,
-                                      staging or Staging(docs.sparkSession, "bpe"), leaf))
+    return _encoded(docs, path, leaf, False, True)
 
 
 def _decode_mapper(path: str):
@@ -338,12 +344,8 @@ def decode(tokens: DataFrame, path: str) -> DataFrame:
     return rows.mapInArrow(_decode_mapper(path), "doc_id long, text string")
 
 
-def round_trip_digests(docs: DataFrame, path: str, leaf: int = LEAF) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256``: the digests of
-    ``encode`` and of ``decode`` after it. Encoding, decoding and digests of a
-    one-leaf document share one pass."""
-    rows = _rows(docs)
-    schema = f"doc_id long, {DIGESTS}"
-    short = rows.filter(F.length("text") <= leaf).mapInArrow(_leaf_mapper(path, True), schema)
-    long = encode_long(rows.filter(F.length("text") > leaf), path, Staging(docs.sparkSession, "bpe"), leaf)
-    return short.unionAll(long.mapInArrow(_digest_mapper(path), schema))
+def round_trip(docs: DataFrame, path: str, leaf: int = LEAF, keep_ids: bool = False) -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` (and ``ids``): digests
+    of ``encode`` and of ``decode`` after it. Encoding, decoding and digests
+    of a one-leaf document share one pass."""
+    return _encoded(docs, path, leaf, True, keep_ids)

@@ -10,8 +10,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from verity.llm.bands import score_quality
-from verity.llm.bpe import round_trip_digests
+from verity.llm.bpe import round_trip
 from verity.llm.licenses import BLOCK, PHRASES, TEMPLATES, scan, template_words
+from verity.llm.minhash import near_duplicates
 from verity.llm.mixing import mix_plan
 from verity.llm.pii import pseudonymise
 from verity.llm.toxicity import score_toxicity
@@ -21,13 +22,17 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir))
+
+
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
     return public_tokenizers.path(name)
 
 
 def op2_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return round_trip_digests(documents(spark, sf_dir), tokenizer_path())
+    return round_trip(documents(spark, sf_dir), tokenizer_path())
 
 
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,6 +57,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_minhash_dedup": op1_minhash_dedup,
     "op2_tree_bpe": op2_tree_bpe,
     "op6_source_mix": op6_source_mix,
     "op7_pseudonyms": op7_pseudonyms,
@@ -132,7 +138,28 @@ FROM docs d LEFT JOIN base USING (doc_id) LEFT JOIN found USING (doc_id) LEFT JO
 """
 
 
+# All pairs of documents with a shingle in common, on exact shingles.
+OP1_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_distinct(list_transform(
+         range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM w),
+one AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM one a JOIN one b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+reach AS (
+  SELECT doc_id AS id, doc_id AS c FROM s
+  UNION SELECT l.b, r.c FROM reach r JOIN links l ON r.id = l.a),
+least_one AS (SELECT id, min(c) AS c FROM reach GROUP BY id)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, c AS component_id, doc_id = c AS kept
+FROM s JOIN least_one ON id = doc_id
+"""
+
 ORACLE: dict[str, str] = {
+    "op1_minhash_dedup": OP1_SQL,
     "op10_license_scan": _op10_sql(),
     "op6_source_mix": OP6_SQL,
 }

@@ -305,6 +305,28 @@ def _scorer(index: Index):
     return run
 
 
+def _keeper(index: Index, text_at: int):
+    """All columns to the rows that are not predicted toxic."""
+    count = _feature_counts(index.names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text = batch.column(text_at).cast(pa.string())
+            found = next(count(iter([pa.RecordBatch.from_arrays([text, text], names=["doc_id", "text"])])))
+            keep = [len(f) == 0 or index.score(*index.nearest(f.values.to_numpy(), index.vector(
+                f.values.to_numpy(), c.values.to_numpy()))) < 0.5 for f, c in zip(found.column(1), found.column(2))]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+    return run
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> DataFrame:
+    """``docs`` without the rows that ``score_toxicity`` predicts to be toxic,
+    with all their columns, decided where the rows are. A document without any
+    indexed term stays."""
+    index, _ = fit(docs, labels, Staging(docs.sparkSession, "toxicity"), examples)
+    return docs.mapInArrow(_keeper(index, docs.columns.index("text")), docs.schema)
+
+
 def score_toxicity(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> DataFrame:
     """One row per document: ``doc_id, held_out, score, predicted, evidence``.
 
