@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from verity.llm.bands import score_quality
 from verity.llm.bpe import round_trip
+from verity.llm.ctw import score_texts
 from verity.llm.licenses import BLOCK, PHRASES, TEMPLATES, scan, template_words
 from verity.llm.minhash import near_duplicates
 from verity.llm.mixing import mix_plan
@@ -35,6 +36,10 @@ def op2_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(documents(spark, sf_dir), tokenizer_path())
 
 
+def op5_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(documents(spark, sf_dir))
+
+
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_plan(documents(spark, sf_dir)).drop("source")
 
@@ -59,6 +64,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_tree_bpe": op2_tree_bpe,
+    "op5_context_tree": op5_context_tree,
     "op6_source_mix": op6_source_mix,
     "op7_pseudonyms": op7_pseudonyms,
     "op8_compression_bands": op8_compression_bands,
