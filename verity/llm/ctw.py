@@ -10,9 +10,10 @@ gives every byte a probability, and a text a code length.
 
 Distribution. The corpus is cut into chunks of about ``CHUNK_BYTES``. A chunk
 reports each distinct (context, byte) and each distinct word once, with its
-training count, so what is shuffled follows the corpus but not its hot keys.
-The tree is independent below each pair of last bytes: one task group builds
-one pair's subtree, from the leaves up, and again from the root down; only the
+training count, packed by the part of the key space they belong to: the pair
+of last bytes of a context, a range of word hashes. What is shuffled follows
+the corpus but not its hot keys. The reports of a pair are merged in levels of
+at most ``FAN_IN`` chunks, and its subtree is built from the leaves up; only the
 256 contexts of one byte (at most 65,280 nodes) pass through the driver. Prices
 travel back to the chunks that asked for them, so no model is broadcast and no
 task holds more than a chunk with its own contexts and words.
@@ -26,13 +27,17 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Window
+import zstandard
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from verity.llm.common import Staging, bound_arrow_batches, text_of
 
-DEPTH = 4
+DEPTH = 5
 CHUNK_BYTES = 24 << 20
+FAN_IN = 64
+SLICE = 4 << 20  # bytes of text whose contexts are in memory at a time
 START, END = 0xFE, 0xFF  # bytes that UTF-8 text never holds
 GRAM, WORD, TEXT = 0, 1, 2  # kinds of counted keys; TEXT: the end of a text
 
@@ -170,85 +175,186 @@ def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.bincount(rows.filter(real).to_numpy(), minlength=len(texts)), coded.indices.to_numpy(), hashes
 
 
-def _counted(kind: int, keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    distinct, at = np.unique(keys, return_inverse=True)
-    return np.full(len(distinct), kind, np.int32), distinct, np.bincount(
-        at, weights=weights, minlength=len(distinct)).astype(np.int64)
+def pack(values: np.ndarray) -> bytes:
+    """Sorted keys as differences, or numbers as they are: byte planes,
+    compressed. The type goes first."""
+    kind = {"i": b"i", "f": b"f"}[values.dtype.kind]
+    flat = np.diff(values, prepend=0) if kind == b"i" else values.astype(np.float32).view(np.int32)
+    width = flat.dtype.itemsize
+    return kind + zstandard.compress(np.ascontiguousarray(flat).view(np.uint8).reshape(-1, width).T.tobytes(), 1)
 
 
-def _chunk_keys(depth: int):
-    """Rows of chunk, train, text to the distinct keys of each chunk seen in
-    one run of rows, with their training counts."""
-    def flush(chunk: int, parts: list[pa.RecordBatch]) -> pa.RecordBatch:
-        table = pa.Table.from_batches(parts).combine_chunks()
-        texts, train = table["text"].chunk(0), table["train"].to_numpy().astype(float)
-        grams, sizes = coded_bytes(texts, depth)
+def unpack(blob: bytes) -> np.ndarray:
+    raw = np.frombuffer(zstandard.decompress(blob[1:]), np.uint8)
+    width = 8 if blob[:1] == b"i" else 4
+    flat = np.ascontiguousarray(raw.reshape(width, -1).T).ravel()
+    return np.cumsum(flat.view(np.int64)) if width == 8 else flat.view(np.float32).astype(float)
+
+
+def merge(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    distinct, at = np.unique(np.concatenate([np.zeros(0, np.int64), *keys]), return_inverse=True)
+    return distinct, np.bincount(at, weights=np.concatenate([np.zeros(0), *counts]), minlength=len(distinct)).astype(np.int64)
+
+
+def slices(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``SLICE`` bytes."""
+    start, held = 0, 0
+    for i, size in enumerate(sizes):
+        if held and held + size > SLICE:
+            yield start, i
+            start, held = i, 0
+        held += size
+    if start < len(sizes):
+        yield start, len(sizes)
+
+
+def text_sizes(texts: pa.Array) -> np.ndarray:
+    return pc.binary_length(texts).to_numpy().astype(np.int64)
+
+
+def gram_part(keys: np.ndarray) -> np.ndarray:
+    return (keys >> 8) & 0xFFFF
+
+
+def word_part(keys: np.ndarray, parts: int) -> np.ndarray:
+    return (keys.view(np.uint64) % np.uint64(parts)).astype(np.int64)
+
+
+ASKED = "chunk long, kind int, part long, keys binary, counts binary"
+ASKED_NAMES = ["chunk", "kind", "part", "keys", "counts"]
+
+
+def _chunk_keys(depth: int, parts: int):
+    """Rows of chunk, train, text to the packed distinct keys of each chunk
+    seen in one run of rows, with their training counts."""
+    def reports(chunk: int, held: list) -> pa.RecordBatch:
+        rows = []
+        for kind in (GRAM, WORD):
+            keys, counts = merge([h[kind][0] for h in held], [h[kind][1] for h in held])
+            part = gram_part(keys) if kind == GRAM else word_part(keys, parts)
+            order = np.argsort(part, kind="stable")
+            cuts = np.flatnonzero(np.diff(part[order], prepend=-1))
+            for a, b in zip(cuts, [*cuts[1:], len(order)]):
+                at = order[a:b]
+                rows.append((kind, int(part[at[0]]), pack(keys[at]), pack(np.cumsum(counts[at]))))
+        rows.append((TEXT, sum(h[TEXT] for h in held), b"", b""))  # their number stands for the part
+        kind, part, keys, counts = zip(*rows)
+        return pa.RecordBatch.from_arrays([
+            pa.array([chunk] * len(rows), pa.int64()), pa.array(kind, pa.int32()), pa.array(part, pa.int64()),
+            pa.array(keys, pa.binary()), pa.array(counts, pa.binary())], names=ASKED_NAMES)
+
+    def count(batch: pa.RecordBatch) -> list:
+        train, texts = batch.column(1).to_numpy().astype(float), batch.column(2)
+        found = []
+        for a, b in slices(text_sizes(texts)):
+            grams, sizes = coded_bytes(texts.slice(a, b - a), depth)
+            found.append(merge([grams], [np.repeat(train[a:b], sizes)]))
         counts, at, hashes = words_of(texts)
-        found = [_counted(GRAM, grams, np.repeat(train, sizes)),
-                 _counted(WORD, hashes[at] if len(at) else hashes, np.repeat(train, counts)),
-                 _counted(TEXT, np.zeros(len(train), np.int64), train)]
-        kind, key, n = (np.concatenate(x) for x in zip(*found))
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(key), chunk, np.int64)), pa.array(kind), pa.array(key),
-                                           pa.array(n)], names=["chunk", "kind", "key", "n"])
+        return [merge(*map(list, zip(*found))), merge([hashes[at] if len(at) else hashes], [np.repeat(train, counts)]),
+                int(train.sum())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
+        held: list = []
         current = None
         for batch in batches:
             chunks = batch.column(0).to_numpy()
-            cuts = np.concatenate([[0], np.flatnonzero(np.diff(chunks)) + 1, [len(chunks)]])
+            cuts = np.concatenate([[0], np.flatnonzero(np.diff(chunks)) + 1, [len(chunks)]]) if len(chunks) else [0]
             for a, b in zip(cuts[:-1], cuts[1:]):
-                if a == b:
-                    continue
                 if current is not None and chunks[a] != current:
-                    yield flush(current, held)
+                    yield reports(current, held)
                     held = []
                 current = int(chunks[a])
-                held.append(batch.slice(a, b - a))
+                held.append(count(batch.slice(a, b - a)))
+                if len(held) > 8:  # keep what a chunk holds merged
+                    held = [[merge([h[k][0] for h in held], [h[k][1] for h in held]) for k in (GRAM, WORD)]
+                            + [sum(h[TEXT] for h in held)]]
         if held:
-            yield flush(current, held)
+            yield reports(current, held)
     return run
 
 
-def _lookup(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Values of the wanted keys, and which were found."""
-    if not len(keys):
-        return np.zeros(len(wanted)), np.zeros(len(wanted), bool)
-    order = np.argsort(keys)
-    at = order[np.minimum(np.searchsorted(keys, wanted, sorter=order), len(keys) - 1)]
-    found = keys[at] == wanted
-    return np.where(found, values[at], 0.0), found
+def _unpacked(table: pa.Table) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    return ([unpack(k) for k in table["keys"].to_pylist()],
+            [np.diff(unpack(c), prepend=0) for c in table["counts"].to_pylist()])
+
+
+def _merge_group(table: pa.Table) -> pa.Table:
+    """The reports of one pair (and group of chunks) as one."""
+    keys, counts = merge(*_unpacked(table))
+    return pa.table({"part": table["part"].slice(0, 1), "keys": pa.array([pack(keys)], pa.binary()),
+                     "counts": pa.array([pack(np.cumsum(counts))], pa.binary())})
+
+
+ANSWER = "chunk long, kind int, keys binary, prices binary"
+TOTALS = ", n long, v long"
+
+
+def _answer_words(table: pa.Table) -> pa.Table:
+    """The reports of one range of word hashes: to every chunk the total
+    counts of the words it reported, and to chunk null the number of training
+    tokens and of distinct ones among them."""
+    keys, counts = _unpacked(table)
+    own, total = merge(keys, counts)
+    prices = [pack(total[np.searchsorted(own, k)].astype(np.float64)) for k in keys]
+    return pa.table({
+        "chunk": pa.array([*table["chunk"].to_pylist(), None], pa.int64()),
+        "kind": pa.array([WORD] * (len(keys) + 1), pa.int32()),
+        "keys": pa.array([*table["keys"].to_pylist(), None], pa.binary()),
+        "prices": pa.array([*prices, None], pa.binary()),
+        "n": pa.array([None] * len(keys) + [int(total.sum())], pa.int64()),
+        "v": pa.array([None] * len(keys) + [int((total > 0).sum())], pa.int64())})
+
+
+def _answer_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """chunk, keys, all_keys, all_prices to the chunk's prices."""
+    for batch in batches:
+        prices = []
+        for keys, every, price in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
+            prices.append(pack(unpack(price)[np.searchsorted(unpack(every), unpack(keys))]))
+        yield pa.RecordBatch.from_arrays([
+            batch.column(0), pa.array([GRAM] * len(prices), pa.int32()), batch.column(1),
+            pa.array(prices, pa.binary())], names=["chunk", "kind", "keys", "prices"])
+
+
+def _lookup(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    at = np.searchsorted(keys, wanted)
+    assert len(wanted) == 0 or (keys[np.minimum(at, len(keys) - 1)] == wanted).all(), "a key without an answer"
+    return values[at]
 
 
 def _score_chunk(depth: int, n_train: int, n_distinct: int, n_texts: int):
     log10_e = math.log10(math.e)
+    scale = math.log10(n_train + 0.1 * (n_distinct + 1))
 
-    def run(docs: pa.Table, prices: pa.Table) -> pa.Table:
-        docs = docs.combine_chunks()
+    def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         if not docs.num_rows:
             return SCORED.empty_table()
+        docs = docs.combine_chunks()
         texts = docs["text"].chunk(0)
-        train = docs["train"].to_numpy().astype(float)
-        kind, key, value = (prices[c].to_numpy() for c in ("kind", "key", "value"))
-        grams, sizes = coded_bytes(texts, depth)
-        own, at = np.unique(grams, return_inverse=True)
-        price, found = _lookup(key[kind == GRAM], value[kind == GRAM], own)
-        assert found.all(), "a context without a price"
-        ends = np.cumsum(sizes)
-        score = np.add.reduceat(price[at], ends - sizes) * log10_e
+        known = {}
+        for kind in (GRAM, WORD):
+            own = answers.filter(pc.equal(answers["kind"], kind))
+            keys = np.concatenate([np.zeros(0, np.int64), *(unpack(k) for k in own["keys"].to_pylist())])
+            prices = np.concatenate([np.zeros(0), *(unpack(p) for p in own["prices"].to_pylist())])
+            order = np.argsort(keys)
+            known[kind] = keys[order], prices[order]
+        score, all_sizes = [], []
+        for a, b in slices(text_sizes(texts)):
+            grams, sizes = coded_bytes(texts.slice(a, b - a), depth)
+            own, at = np.unique(grams, return_inverse=True)
+            price = _lookup(*known[GRAM], own)
+            score.append(np.add.reduceat(price[at], np.cumsum(sizes) - sizes) * log10_e)
+            all_sizes.append(sizes)
+        score, sizes = np.concatenate(score), np.concatenate(all_sizes)
         counts, at, hashes = words_of(texts)
-        shared, found = _lookup(key[kind == WORD], value[kind == WORD], hashes)
-        local = np.bincount(at, weights=np.repeat(train, counts), minlength=len(hashes))
-        c = np.where(found, shared, local)  # a word of no other chunk has no row
-        scale = math.log10(n_train + 0.1 * (n_distinct + 1))
-        base_word, known_word = np.log10(c + 0.1) - scale, c > 0
+        c = np.rint(_lookup(*known[WORD], hashes))
         row = np.repeat(np.arange(len(texts)), counts)
-        base = np.bincount(row, weights=base_word[at] if len(at) else None, minlength=len(texts)) \
+        base = np.bincount(row, weights=(np.log10(c + 0.1) - scale)[at] if len(at) else None, minlength=len(texts)) \
             + (math.log10(n_texts + 0.1) - scale)
-        known = np.bincount(row, weights=known_word[at] if len(at) else None, minlength=len(texts)) + (n_texts > 0)
+        seen = np.bincount(row, weights=(c > 0)[at] if len(at) else None, minlength=len(texts)) + (n_texts > 0)
         return pa.table({
             "doc_id": docs["doc_id"], "held_out": pc.equal(docs["train"], 0),
-            "n_tokens": pa.array(counts + 1, pa.int64()), "n_known": pa.array(known.astype(np.int64)),
+            "n_tokens": pa.array(counts + 1, pa.int64()), "n_known": pa.array(seen.astype(np.int64)),
             "train_tokens": pa.array(np.full(len(texts), n_train, np.int64)),
             "base_score": pa.array(base), "score": pa.array(score),
             "bits_per_byte": pa.array(-score / math.log10(2) / sizes)})
@@ -261,23 +367,47 @@ SCORED = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens
 
 
 def _summaries(depth: int):
-    def run(table: pa.Table) -> pa.Table:
-        tree = Subtree(table["key"].to_numpy(), table["n"].to_numpy(), depth)
-        z, n0, n1, w = tree.summary()
-        last = np.full(len(z), (table["key"][0].as_py() >> 8) & 255, np.int32)
-        return pa.table({"last": pa.array(last), "z": pa.array(z.astype(np.int32)), "n0": n0, "n1": n1, "w": w})
+    """Per pair: its nodes of depth 2."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, keys, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                z, n0, n1, w = Subtree(unpack(keys), np.diff(unpack(counts), prepend=0), depth).summary()
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(z), part & 255, np.int32)),
+                                                  pa.array(z.astype(np.int32)), n0, n1, w],
+                                                 names=["last", "z", "n0", "n1", "w"])
     return run
 
 
 def _prices(depth: int, mass: np.ndarray, one: np.ndarray):
-    def run(table: pa.Table) -> pa.Table:
-        grams = table["key"].to_numpy()
-        last = int((grams[0] >> 8) & 255)
-        price = Subtree(grams, table["n"].to_numpy(), depth).log_prices(mass[last], one[last])
-        return pa.table({"key": table["key"], "value": price})
+    """Per pair: the log probability of each byte in each context."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prices = []
+            for part, keys, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                tree = Subtree(unpack(keys), np.diff(unpack(counts), prepend=0), depth)
+                prices.append(pack(tree.log_prices(mass[part & 255], one[part & 255])))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(prices, pa.binary())],
+                                             names=["part", "all_keys", "all_prices"])
     return run
 
 
+def chunked_rows(docs: DataFrame, staging: Staging, folds: int) -> tuple[DataFrame, int]:
+    """doc_id, text, train, chunk, and the number of chunks. A chunk is a run
+    of rows of one file, so every scan finds the same chunks, whatever its
+    splits; rows that come from no file are staged first."""
+    train = F.coalesce((F.crc32(F.col("doc_id").cast("string")) % folds != 0).cast("int"), F.lit(0))
+    columns = [F.col("doc_id").cast("long"), text_of("text").cast("string").alias("text"), train.alias("train")]
+    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")]
+    try:
+        rows = docs.select(*columns, *place)
+    except AnalysisException:
+        rows = staging.write(docs.select(*columns), "rows").select("*", *place)
+    n, total = rows.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
+    per = max(1, int(CHUNK_BYTES * n / max(1, total or 0))) if n else 1
+    chunk = F.xxhash64("file").bitwiseAND(~0xFFFFF) + F.floor(F.col("row") / per)
+    return rows.select("doc_id", "text", "train", chunk.alias("chunk")), -(-int(total or 0) // CHUNK_BYTES) + 1
+
+
 def score_texts(docs: DataFrame, depth: int = DEPTH, folds: int = 10, staging: Staging | None = None) -> DataFrame:
     """One row per document: ``doc_id, held_out, n_tokens, n_known,
     train_tokens, base_score, score, bits_per_byte``.
@@ -294,46 +424,38 @@ def score_texts(docs: DataFrame, depth: int = DEPTH, folds: int = 10, staging: S
     spark = docs.sparkSession
     bound_arrow_batches(spark)
     staging = staging or Staging(spark, "ctw")
-    train = F.coalesce((F.crc32(F.col("doc_id").cast("string")) % folds != 0).cast("int"), F.lit(0))
-    rows = docs.select(F.col("doc_id").cast("long"), text_of("text").cast("string").alias("text"), train.alias("train"))
-    mean = rows.agg(F.avg(F.octet_length("text"))).first()[0] or 0
-    per = max(1, int(CHUNK_BYTES / max(1.0, mean)))
-    # Consecutive rows of one input partition make a chunk; the staged table
-    # fixes which, whatever happens to executors later.
-    serial = F.monotonically_increasing_id()
-    chunked = staging.write(rows.withColumn("serial", serial).withColumn("chunk", F.xxhash64(
-        F.shiftright("serial", 33), F.floor(F.col("serial").bitwiseAND((1 << 33) - 1) / per))).drop("serial"), "chunked")
-    keys = chunked.select("chunk", "train", "text").mapInArrow(
-        _chunk_keys(depth), "chunk long, kind int, key long, n long")
-    # One row for each key and chunk (two where a scan cut a chunk): a key's
-    # group is as small as the number of chunks.
-    group = Window.partitionBy("kind", "key")
-    priced = staging.write(
-        keys.withColumn("total", F.sum("n").over(group))
-        .withColumn("lo", F.min("chunk").over(group)).withColumn("hi", F.max("chunk").over(group))
-        .withColumn("no", F.row_number().over(group.orderBy("chunk")))
-        .select("chunk", "kind", "key", "total", (F.col("lo") != F.col("hi")).alias("shared"),
-                (F.col("no") == 1).alias("leader")), "priced")
-    sums = priced.filter("leader AND kind <> 0 AND total > 0").groupBy("kind").agg(
-        F.sum("total").alias("n"), F.count("*").alias("v")).collect()
-    n = {r["kind"]: (r["n"], r["v"]) for r in sums}
-    n_texts = n.get(TEXT, (0, 0))[0]
-    n_train, n_distinct = n.get(WORD, (0, 0))[0] + n_texts, n.get(WORD, (0, 0))[1] + (n_texts > 0)
-
-    grams = priced.filter("kind = 0 AND leader").select(
-        "key", F.col("total").alias("n"), F.shiftright("key", 8).bitwiseAND(65535).alias("pair"))
-    tops = (grams.groupBy("pair").applyInArrow(_summaries(depth), "last int, z int, n0 double, n1 double, w double")
+    rows, n_chunks = chunked_rows(docs, staging, folds)
+    # A range of word hashes gets about an eighth of a chunk's words over all
+    # chunks, however many those are.
+    asked = staging.write(rows.select("chunk", "train", "text").mapInArrow(
+        _chunk_keys(depth, 8 * n_chunks), ASKED), "asked")
+
+    grams = asked.filter(F.col("kind") == GRAM).select("part", F.xxhash64("chunk").alias("salt"), "keys", "counts")
+    n = n_chunks
+    while n > FAN_IN:  # pre-merge, so that no group grows with the corpus
+        n = -(-n // FAN_IN)
+        grams = grams.withColumn("salt", F.pmod("salt", F.lit(n)))
+        merged = grams.groupBy("part", "salt").applyInArrow(_merge_group, "part long, keys binary, counts binary")
+        grams = staging.write(merged.withColumn("salt", F.xxhash64("keys")), f"merged-{n}")
+    grams = staging.write(grams.select("part", "keys", "counts").groupBy("part").applyInArrow(
+        _merge_group, "part long, keys binary, counts binary"), "grams")
+    words = staging.write(asked.filter(F.col("kind") == WORD).groupBy("part").applyInArrow(
+        _answer_words, ANSWER + TOTALS), "words")
+
+    n_words, v_words = (int(x or 0) for x in words.agg(F.sum("n"), F.sum("v")).first())
+    n_texts = int(asked.filter(F.col("kind") == TEXT).agg(F.sum("part")).first()[0] or 0)
+    tops = (grams.mapInArrow(_summaries(depth), "last int, z int, n0 double, n1 double, w double")
             .groupBy("last", "z").agg(F.sum("n0"), F.sum("n1"), F.sum("w")).collect())
     n0, n1, w = (np.zeros((256, 256)) for _ in range(3))
     for last, z, *values in tops:
         n0[last, z], n1[last, z], w[last, z] = values
     trunk = Trunk(n0, n1, w)
-    price = grams.groupBy("pair").applyInArrow(_prices(depth, trunk.mass, trunk.one), "key long, value double")
-    price = staging.write(price, "price")
-    back = (priced.filter("kind = 0").select("chunk", "kind", "key").distinct().join(price, "key")
-            .select("chunk", "kind", "key", "value")
-            .unionAll(priced.filter("kind = 1 AND shared").select("chunk", "kind", "key", F.col("total").cast("double"))))
+    price = staging.write(grams.mapInArrow(_prices(depth, trunk.mass, trunk.one),
+                                           "part long, all_keys binary, all_prices binary"), "price")
+    priced = (asked.filter(F.col("kind") == GRAM).select("part", "chunk", "keys").join(price, "part")
+              .select("chunk", "keys", "all_keys", "all_prices").mapInArrow(_answer_grams, ANSWER))
+    answers = priced.unionAll(words.filter("chunk IS NOT NULL").drop("n", "v"))
     schema = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
               "score double, bits_per_byte double")
-    return chunked.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(
-        _score_chunk(depth, n_train, n_distinct, n_texts), schema)
+    return rows.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
+        _score_chunk(depth, n_words + n_texts, v_words + (n_texts > 0), n_texts), schema)
