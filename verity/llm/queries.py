@@ -16,6 +16,7 @@ from verity.llm.licenses import BLOCK, PHRASES, TEMPLATES, scan, template_words
 from verity.llm.minhash import near_duplicates
 from verity.llm.mixing import mix_plan
 from verity.llm.pii import pseudonymise
+from verity.llm.spans import remove_repeated_spans
 from verity.llm.toxicity import score_toxicity
 
 
@@ -36,6 +37,10 @@ def op2_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(documents(spark, sf_dir), tokenizer_path())
 
 
+def op4_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_spans(documents(spark, sf_dir))
+
+
 def op5_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(documents(spark, sf_dir))
 
@@ -64,6 +69,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_tree_bpe": op2_tree_bpe,
+    "op4_sentence_spans": op4_sentence_spans,
     "op5_context_tree": op5_context_tree,
     "op6_source_mix": op6_source_mix,
     "op7_pseudonyms": op7_pseudonyms,
