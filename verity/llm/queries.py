@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from verity.llm.bands import score_quality
 from verity.llm.bpe import round_trip
 from verity.llm.ctw import score_texts
+from verity.llm.embed import near_duplicate_vectors
 from verity.llm.licenses import BLOCK, PHRASES, TEMPLATES, scan, template_words
 from verity.llm.minhash import near_duplicates
 from verity.llm.mixing import mix_plan
@@ -37,6 +38,10 @@ def op2_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(documents(spark, sf_dir), tokenizer_path())
 
 
+def op3_vector_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op4_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_spans(documents(spark, sf_dir))
 
@@ -69,6 +74,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_tree_bpe": op2_tree_bpe,
+    "op3_vector_graph": op3_vector_graph,
     "op4_sentence_spans": op4_sentence_spans,
     "op5_context_tree": op5_context_tree,
     "op6_source_mix": op6_source_mix,
