@@ -160,7 +160,7 @@ class Index:
         self.rows, self.ids = self.rows[order], self.ids[order]
         self.toxic, self.weight = self.toxic[order], self.weight[order]
         starts = range(0, len(self.ids), BLOCK)
-        self.maxima = np.array([self.rows[s:s + BLOCK].max(0) for s in starts]).reshape(-1, self.rows.shape[1])
+        self.maxima = np.array([self.rows[s:s + BLOCK].max(0) for s in starts]).reshape(len(starts), self.rows.shape[1])
 
     def vector(self, features: np.ndarray, counts: np.ndarray) -> np.ndarray:
         w = (1 + np.log(counts)) * self.idf[features]
