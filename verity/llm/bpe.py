@@ -20,7 +20,7 @@ import hashlib
 import json
 import os
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -44,18 +44,15 @@ class Vocabulary:
     without the word-end suffix."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer, models
+        from tokenizers import Tokenizer
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        model = spec["model"]
-        self.suffix = model.get("end_of_word_suffix") or ""
-        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
-        self.inner = models.BPE(vocab=model["vocab"], merges=merges)
-        self.last = models.BPE(vocab=model["vocab"], merges=merges, end_of_word_suffix=self.suffix or None)
+        self.path = path
+        self.suffix = spec["model"].get("end_of_word_suffix") or ""
         self.added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.tokens = [self.tokenizer.id_to_token(i) for i in range(size)]
@@ -110,9 +107,20 @@ class Vocabulary:
             run = run[cut[0] + len(cut[2]):]
         return out
 
+    @cached_property
+    def merges(self):
+        """The merges for the inside and for the end of a pre-token; only long
+        ones need them."""
+        from tokenizers import models
+        with open(self.path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+        return (models.BPE(vocab=model["vocab"], merges=merges),
+                models.BPE(vocab=model["vocab"], merges=merges, end_of_word_suffix=self.suffix or None))
+
     def merge(self, chars: str, last: bool) -> list[int]:
         """The tokens of one pre-token, or of a piece from its inside."""
-        return [t.id for t in (self.last if last else self.inner).tokenize(chars)]
+        return [t.id for t in self.merges[last].tokenize(chars)]
 
     def join(self, left: list[int], right: list[int], last: bool) -> list[int]:
         """The encoding of two neighbouring pieces of one pre-token from
@@ -303,7 +311,7 @@ def encode_long(docs: DataFrame, path: str, staging: Staging, leaf: int = LEAF,
 
 
 def _rows(docs: DataFrame) -> DataFrame:
-    bound_arrow_batches(docs.sparkSession, rows=4000)
+    bound_arrow_batches(docs.sparkSession, rows=2000, nbytes=4 << 20)
     return docs.select(F.col("doc_id").cast("long"), text_of("text").cast("string").alias("text"))
 
 
@@ -339,7 +347,7 @@ def _decode_mapper(path: str):
 def decode(tokens: DataFrame, path: str) -> DataFrame:
     """``doc_id, text`` of ``doc_id, ids``; special tokens are kept. A null
     list decodes to the empty text."""
-    bound_arrow_batches(tokens.sparkSession, rows=4000)
+    bound_arrow_batches(tokens.sparkSession)
     rows = tokens.select("doc_id", F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
     return rows.mapInArrow(_decode_mapper(path), "doc_id long, text string")
 

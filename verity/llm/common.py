@@ -48,7 +48,7 @@ class Staging:
             remove_path(self.spark, f"{self.root}/{table}")
 
 
-def bound_arrow_batches(spark: SparkSession, rows: int = 2000, nbytes: int = 8 << 20) -> None:
+def bound_arrow_batches(spark: SparkSession, rows: int = 1000, nbytes: int = 2 << 20) -> None:
     """Bound what one Arrow batch holds, in rows and in bytes, so very long
     texts cannot fill a Python worker. The setting is read when the (lazy)
     plan runs, so it stays on the session."""
