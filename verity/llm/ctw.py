@@ -35,9 +35,9 @@ from pyspark.sql import functions as F
 from verity.llm.common import Staging, bound_arrow_batches, text_of
 
 DEPTH = 5
-CHUNK_BYTES = 24 << 20
+CHUNK_BYTES = 12 << 20
 FAN_IN = 64
-SLICE = 4 << 20  # bytes of text whose contexts are in memory at a time
+SLICE = 2 << 20  # bytes of text whose contexts are in memory at a time
 START, END = 0xFE, 0xFF  # bytes that UTF-8 text never holds
 GRAM, WORD, TEXT = 0, 1, 2  # kinds of counted keys; TEXT: the end of a text
 
@@ -265,7 +265,7 @@ def _chunk_keys(depth: int, parts: int):
                     held = []
                 current = int(chunks[a])
                 held.append(count(batch.slice(a, b - a)))
-                if len(held) > 8:  # keep what a chunk holds merged
+                if len(held) > 3:  # keep what a chunk holds merged
                     held = [[merge([h[k][0] for h in held], [h[k][1] for h in held]) for k in (GRAM, WORD)]
                             + [sum(h[TEXT] for h in held)]]
         if held:
