@@ -3,6 +3,7 @@ import csv
 import glob
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from verity import schemas
@@ -242,8 +243,8 @@ def test_shuffle_partitions_sized_from_input(spark, tmpdir_path):
     assert size_shuffles(spark, n) == before  # a tiny input never lowers it
     try:
         assert size_shuffles(spark, 10 * 1024 ** 4) == 40_960  # 10 TB / 256 MB
-        assert size_shuffles(spark, 10 ** 15) == 50_000  # raised again, capped
-        assert size_shuffles(spark, 10 * 1024 ** 4) == 50_000  # never lowered
+        assert size_shuffles(spark, 10 ** 15) == 3_725_291  # in proportion, however large
+        assert size_shuffles(spark, 10 * 1024 ** 4) == 3_725_291  # never lowered
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", str(before))
 
@@ -282,3 +283,115 @@ def test_concurrently_waits_for_all_and_reraises():
     with pytest.raises(RuntimeError, match="boom"):
         concurrently(ok, bad, ok)
     assert done == [1, 1]
+
+
+def _one_day(amounts, file="d.csv"):
+    return [(f"M{file}{i}", "C1", "P1", "2025-01-16", a, "1", "", "2025-01-16 10:00:00", file)
+            for i, a in enumerate(amounts)]
+
+
+def _batch(spark, paths, rows, run_id, **kw):
+    from verity.plans.job import run_batch
+    from verity.schemas import RAW_CUSTOMERS, RAW_PRODUCTS, RAW_TRANSACTIONS
+    text = lambda df, schema: spark.createDataFrame(df, schema)
+    wide = lambda key, schema: tuple(key if f.name.endswith("_id") else None for f in schema.fields)
+    for df, path in ((text([wide("C1", RAW_CUSTOMERS)], RAW_CUSTOMERS), paths.raw_customers),
+                     (text([wide("P1", RAW_PRODUCTS)], RAW_PRODUCTS), paths.raw_products)):
+        df.write.mode("overwrite").option("header", True).csv(path)
+    return run_batch(spark, paths, run_id, transactions=text(rows, RAW_TRANSACTIONS), register=False, **kw)
+
+
+def test_unreadable_stored_file_stops_the_merge(spark, tmpdir_path):
+    """A stored table that cannot be read is an error, not an empty table: no
+    stored row goes."""
+    import glob
+    from verity.plans.job import BatchPaths
+    paths = BatchPaths.under(f"{tmpdir_path}/raw", f"{tmpdir_path}/out")
+    _batch(spark, paths, _one_day(["1.00", "2.00"], "a.csv"), "r1")
+    day = f"{paths.curated}/year=2025/month=01/day=16"
+    with open(f"{day}/broken.parquet", "wb") as f:
+        f.write(b"not parquet")
+    before = sorted(glob.glob(f"{day}/*.parquet"))
+    with pytest.raises(Exception):
+        _batch(spark, paths, _one_day(["3.00"], "b.csv"), "r2", merge=True)
+    assert sorted(glob.glob(f"{day}/*.parquet")) == before
+    root = spark.sparkContext.getCheckpointDir().replace("file:", "")
+    assert not glob.glob(f"{root}/verity-staging/*")  # scratch goes after a failure too
+
+
+def test_rerun_without_rejects_leaves_none(spark, tmpdir_path):
+    from verity.plans.job import BatchPaths
+    from verity.sources.curated import read_rejected
+    paths = BatchPaths.under(f"{tmpdir_path}/raw", f"{tmpdir_path}/out")
+    counts = _batch(spark, paths, _one_day(["1.00", "-2.00"]), "run:1 [x]")
+    rejected = lambda: read_rejected(spark, paths.rejected).filter("run_id = 'run:1 [x]'").count()
+    assert counts["rejected_count"] == rejected() == 1 and counts["duplicates_dropped"] == 0
+    assert _batch(spark, paths, _one_day(["1.00", "2.00"]), "run:1 [x]")["rejected_count"] == rejected() == 0
+
+
+def test_the_callers_time_zone_does_not_matter(spark, tmpdir_path):
+    from verity.operators.compare import compare_outputs
+    from verity.plans.job import BatchPaths
+    from verity.sources.curated import read_curated
+    frames = []
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for name in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", name)
+            paths = BatchPaths.under(f"{tmpdir_path}/{name}/raw", f"{tmpdir_path}/{name}/out")
+            _batch(spark, paths, _one_day(["1.00", "2.00"]), "r")
+            assert spark.conf.get("spark.sql.session.timeZone") == name
+            frames.append(read_curated(spark, paths.curated))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert compare_outputs(*frames).first()["identical"]
+
+
+def test_a_moved_table_answers_from_its_new_place(spark, tmpdir_path):
+    from verity.plans.job import BatchPaths, publish_catalog
+    for n, amounts in (("one", ["1.00"]), ("two", ["1.00", "2.00", "3.00"])):
+        paths = BatchPaths.under(f"{tmpdir_path}/{n}/raw", f"{tmpdir_path}/{n}/out")
+        _batch(spark, paths, _one_day(amounts), "r")
+        publish_catalog(spark, paths, "moved_curated", "moved_rejected")
+        assert spark.table("moved_curated.transactions").count() == len(amounts)
+
+
+@pytest.mark.parametrize("spelling", ["{}", "file:{}", "file://{}", "{}/"])
+def test_publish_refuses_its_own_input(spark, tmpdir_path, spelling):
+    from verity.schemas import CURATED_CUSTOMERS, RAW_CUSTOMERS
+    from verity.sinks.writers import publish_dimension
+    path = f"{tmpdir_path}/dim"
+    rows = [tuple("C1" if f.name == "customer_id" else None for f in RAW_CUSTOMERS.fields)]
+    spark.createDataFrame(rows, RAW_CUSTOMERS).write.parquet(path)
+    with pytest.raises(ValueError):
+        publish_dimension(spark.read.parquet(path), CURATED_CUSTOMERS, "customer_id", spelling.format(path))
+    assert spark.read.parquet(path).count() == 1
+
+
+def test_drift_report_lists_undeclared_columns(spark, tmpdir_path):
+    from verity.schemas import CURATED_CUSTOMERS
+    from verity.sources.raw import drift_report
+    spark.createDataFrame([("C1", 5)], "customer_id string, new_col int").write.option("header", True).csv(f"{tmpdir_path}/c")
+    rows = {r.column_name: r for r in drift_report(spark, f"{tmpdir_path}/c", CURATED_CUSTOMERS).collect()}
+    assert (rows["new_col"].inferred_type, rows["new_col"].declared_type, rows["new_col"].matches) == ("int", None, False)
+
+
+def test_size_probe_reads_no_rows_in_one_task(spark, monkeypatch):
+    """The probe aggregates per map task: no limit gathers rows."""
+    from verity.operators import references
+    df = spark.range(1000).selectExpr("cast(id as string) AS k").repartition(8)
+    plan = df.agg(F.count(F.lit(1)), F.sum(references._value_bytes(df)))._jdf.queryExecution().executedPlan().toString()
+    assert "Limit" not in plan and references.fits_broadcast(df, 1000) and not references.fits_broadcast(df, 999)
+
+
+def test_sql_totals_the_facts_before_every_dimension_join(spark, tmpdir_path):
+    from verity.plans.job import BatchPaths, publish_catalog
+    from verity.plans.sql import CATALOG_QUERIES
+    paths = BatchPaths.under(f"{tmpdir_path}/raw", f"{tmpdir_path}/out")
+    _batch(spark, paths, _one_day(["1.00"]), "r")
+    publish_catalog(spark, paths)
+    for name, text in CATALOG_QUERIES.items():
+        if " JOIN curated." in text:
+            plan = spark.sql(text)._jdf.queryExecution().optimizedPlan().toString()
+            join = plan.index("Join Inner")
+            assert "Aggregate" in plan[join:], name

@@ -55,7 +55,7 @@ def test_exact_percentile_matches_sort(spark, parts):
     vals += [Decimal("123.45")] * 1500  # a value holding a third of the rows
     df = spark.createDataFrame([(v,) for v in vals] + [(None,)], "x decimal(10,2)").repartition(parts)
     for p in (0.0, 0.01, 0.33, 0.5, 0.99, 1.0):
-        assert exact_percentile_disc(df, "x", p, buckets=64, accuracy=100) == _disc(vals, p)
+        assert exact_percentile_disc(df, "x", p, buckets=64) == _disc(vals, p)
 
 
 def test_exact_percentile_matches_spark_aggregate(spark):
@@ -132,18 +132,14 @@ def test_schema_profile(spark):
     assert rows["b"]["n_date"] == 1 and rows["b"]["n_timestamp"] == 1
 
 
-@pytest.mark.parametrize("sketch", [True, False])
-def test_exact_percentile_without_sketch(spark, sketch):
+def test_exact_percentile_of_decimals_and_integers(spark):
     rnd = random.Random(11)
     vals = [Decimal(rnd.randint(-10**6, 10**8)) / 100 for _ in range(4000)] + [Decimal("5.00")] * 2000
     df = spark.createDataFrame([(v,) for v in vals], "x decimal(10,2)").repartition(6)
-    limit = 10_000 if sketch else 0  # 0 forces the type-range histogram path
     for p in (0.0, 0.2, 0.5, 0.99, 1.0):
-        got = exact_percentile_disc(df, "x", p, sketch_max_partitions=limit)
-        assert got == _disc(vals, p)
+        assert exact_percentile_disc(df, "x", p) == _disc(vals, p)
     ints = spark.createDataFrame([(i * 7 % 1001,) for i in range(3000)], "x long")
-    assert exact_percentile_disc(ints, "x", 0.99, sketch_max_partitions=0) == \
-        _disc([i * 7 % 1001 for i in range(3000)], 0.99)
+    assert exact_percentile_disc(ints, "x", 0.99) == _disc([i * 7 % 1001 for i in range(3000)], 0.99)
 
 
 def test_ceiling_approx_mode_is_close(spark):

@@ -2,7 +2,23 @@
 composite operator."""
 from decimal import Decimal
 
-from tests.test_reference_cases import base, run
+from verity.plans.pipeline import clean_and_curate
+from verity.schemas import RAW_TRANSACTIONS
+
+USUAL = {"transaction_id": "T1", "customer_id": "C1", "product_id": "P1", "transaction_date": "2025-01-15",
+         "amount": "100.00", "quantity": "1", "promo_code": "", "ingestion_timestamp": "2025-01-15 10:00:00",
+         "source_file": "f.csv"}
+
+
+def base(**changes):
+    return tuple((USUAL | changes)[f.name] for f in RAW_TRANSACTIONS.fields)
+
+
+def run(spark, rows, run_id="run1"):
+    known = [spark.createDataFrame([(f"{p}{i}",) for i in (1, 2)], f"{c} string")
+             for p, c in (("C", "customer_id"), ("P", "product_id"))]
+    got = clean_and_curate(spark.createDataFrame(rows, RAW_TRANSACTIONS), *known, run_id)
+    return got.curated, got.rejected, got.counts()
 
 
 def reasons(rej):

@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 
 from verity.operators.compare import compare_outputs
 from verity.plans.pipeline import clean_and_curate
-from tests.test_reference_cases import TXN_SCHEMA, customers, products
+from verity.schemas import RAW_TRANSACTIONS
 
 ids = st.sampled_from(["T1", "T2", "T3", " T4", "", None])
 custs = st.sampled_from(["C1", "C2", " C1 ", "C9", "", None])
@@ -24,9 +24,11 @@ row = st.tuples(ids, custs, prods, dates, amounts, st.sampled_from(["1", "2", "x
 @settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 @given(rows=st.lists(row, min_size=1, max_size=40), parts=st.integers(2, 7))
 def test_outputs_independent_of_partitioning(spark, rows, parts):
-    txns = spark.createDataFrame(rows, TXN_SCHEMA)
-    a = clean_and_curate(txns, customers(spark), products(spark), "r")
-    b = clean_and_curate(txns.repartition(parts), customers(spark), products(spark), "r")
+    txns = spark.createDataFrame(rows, RAW_TRANSACTIONS)
+    customers = spark.createDataFrame([("C1",), ("C2",)], "customer_id string")
+    products = spark.createDataFrame([("P1",), ("P2",)], "product_id string")
+    a = clean_and_curate(txns, customers, products, "r")
+    b = clean_and_curate(txns.repartition(parts), customers, products, "r")
     assert a.ceiling == b.ceiling
     for x, y in ((a.curated, b.curated), (a.rejected, b.rejected)):
         r = compare_outputs(x, y).first()
@@ -156,10 +158,10 @@ def test_dedupe_survivor_equals_python_order(spark, rows, parts):
 
 @settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
 @given(vals=st.lists(st.integers(-10**6, 10**9), min_size=1, max_size=80),
-       p=st.floats(0.0, 1.0), parts=st.integers(1, 6), sketch=st.booleans())
-def test_exact_percentile_equals_spark_percentile_disc(spark, vals, p, parts, sketch):
+       p=st.floats(0.0, 1.0), parts=st.integers(1, 6))
+def test_exact_percentile_equals_spark_percentile_disc(spark, vals, p, parts):
     from verity.operators.quantile import exact_percentile_disc
     df = spark.createDataFrame([(Decimal(v) / 100,) for v in vals], "x decimal(10,2)").repartition(parts)
     want = df.selectExpr(f"percentile_disc({p!r}) WITHIN GROUP (ORDER BY x)").first()[0]
-    got = exact_percentile_disc(df, "x", p, sketch_max_partitions=10_000 if sketch else 0)
+    got = exact_percentile_disc(df, "x", p)
     assert Decimal(str(got)) == Decimal(str(want))

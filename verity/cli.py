@@ -35,6 +35,10 @@ def parse(argv: list[str]) -> argparse.Namespace:
     ap.add_argument("--merge", action="store_true", help="merge with stored rows of the same days")
     ap.add_argument("--merge-scope", choices=["days", "table"], default="days",
                     help="table: also rewrite days holding older copies of the batch's ids")
+    ap.add_argument("--curated-db", default="curated", help="catalog-and-publish: database of the curated tables")
+    ap.add_argument("--rejected-db", default="rejected", help="catalog-and-publish: database of the rejected table")
+    ap.add_argument("--table", action="append",
+                    help="catalog-and-publish: repair only this partitioned table (repeatable)")
     ap.add_argument("--no-register", action="store_true", help="skip catalog registration")
     ap.add_argument("--materialize", choices=["staged", "persist"], default="staged",
                     help="staged: checked rows as Parquet under spark.checkpoint.dir")
@@ -52,7 +56,8 @@ def main(argv: list[str] | None = None) -> dict:
     spark = SparkSession.builder.getOrCreate()
     paths = BatchPaths(*[getattr(args, f"{a}_path") for a in PATH_ARGS])
     if args.command == "catalog-and-publish":
-        publish_catalog(spark, paths)
+        publish_catalog(spark, paths, args.curated_db, args.rejected_db,
+                        tuple(args.table) if args.table else None)
         return {"published": True}
     if not args.run_id:
         raise SystemExit("--run-id is required for clean-and-curate")

@@ -3,22 +3,14 @@
 ``percentile_disc`` as an aggregate keeps a map of every distinct value in a
 single final task, which does not survive a 100 TB input. The exact mode here
 gives the same answer (the first value whose cumulative share reaches ``p``)
-from a few passes of histograms with a bounded number of cells instead. Each
-pass is a ``groupBy(cell)``: partial counts on every map task (at most
-``buckets`` + 2 rows each), spread over the reducers by cell, a few thousand
-rows to the driver. Each pass narrows the search range ``buckets``-fold until
-a cell is one value wide.
-
-The first range comes from:
-
-* a ``percentile_approx`` bracket around ``p`` when the input has at most
-  ``sketch_max_partitions`` partitions (its partial sketches are merged in
-  one task, so their number must stay bounded), else
-* the declared range of the decimal type (no pass needed), or ``min``/``max``
-  for integers.
-
-The bracket is verified by the counts of the next pass; if it missed, the
-search restarts over the full range. The answer does not depend on
+from a few histogram passes instead. Each pass is a ``groupBy(cell)``: a map
+task sends at most ``BUCKETS`` + 2 partial counts, spread over the reducers by
+cell, and at most as many rows reach the driver. The first range is the
+decimal type's declared one, or ``min``/``max`` for integers; each pass narrows
+it ``BUCKETS``-fold until a cell is one value wide (two passes for
+DECIMAL(10,2)).
+
+The path is the same at every size and the answer does not depend on
 partitioning, so reruns agree. Values are handled as exact integers (a
 decimal's unscaled value), so no rounding enters.
 """
@@ -32,10 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DEFAULT_ACCURACY = 10_000
-SKETCH_MAX_PARTITIONS = 10_000
-MIN_BUCKETS, MAX_BUCKETS = 1 << 12, 1 << 18
-# Bound on histogram rows leaving all map tasks of one pass together.
-MAP_OUTPUT_ROWS = 1 << 26
+BUCKETS = 1 << 18
 
 
 def _rank(p: float, n: int) -> int:
@@ -62,14 +51,7 @@ def _as_long(df: DataFrame, col: str) -> tuple[Column, int, tuple[int, int] | No
     raise TypeError(f"{col}: exact percentile needs an integral or decimal column, got {dt}")
 
 
-def _bucket_count(partitions: int) -> int:
-    return max(MIN_BUCKETS, min(MAX_BUCKETS, MAP_OUTPUT_ROWS // max(1, partitions)))
-
-
-def exact_percentile_disc(df: DataFrame, col: str, p: float, *,
-                          buckets: int | None = None,
-                          accuracy: int = DEFAULT_ACCURACY,
-                          sketch_max_partitions: int = SKETCH_MAX_PARTITIONS):
+def exact_percentile_disc(df: DataFrame, col: str, p: float, *, buckets: int = BUCKETS):
     """Exact ``percentile_disc(p)`` of a decimal or integral column (NULLs
     ignored). Returns ``Decimal`` for decimals, ``int`` otherwise, ``None``
     when there is no value."""
@@ -77,38 +59,13 @@ def exact_percentile_disc(df: DataFrame, col: str, p: float, *,
         raise ValueError("p must be within [0, 1]")
     v, scale, type_range = _as_long(df, col)
     x = df.select(v.alias("v")).where(F.col("v").isNotNull())
-    try:
-        parts = x.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD access (e.g. a Spark Connect session)
-        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    buckets = buckets or _bucket_count(parts)
-
     n = None
-    if parts <= sketch_max_partitions:
-        eps = 2.0 / accuracy
-        first = x.agg(
-            F.count(F.lit(1)).alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx"),
-            F.percentile_approx("v", F.array(F.lit(max(0.0, p - eps)), F.lit(min(1.0, p + eps))),
-                                accuracy).alias("br"),
-        ).first()
-        n = first["n"]
-        if n == 0:
-            return None
-        full = (first["mn"], first["mx"])
-        lo, hi = first["br"][0], first["br"][1]
-    elif type_range is not None:
-        full = type_range
-        lo, hi = full
+    if type_range is not None:
+        lo, hi = type_range
     else:
-        first = x.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("mn"),
-                      F.max("v").alias("mx")).first()
-        n = first["n"]
-        if n == 0:
+        lo, hi = x.agg(F.min("v"), F.max("v")).first()
+        if lo is None:
             return None
-        full = (first["mn"], first["mx"])
-        lo, hi = full
-
-    widened = (lo, hi) == full
     while True:
         w = 1 if lo == hi else -(-(hi - lo + 1) // buckets)
         cell = (F.when(F.col("v") < lo, F.lit(-1))
@@ -121,14 +78,7 @@ def exact_percentile_disc(df: DataFrame, col: str, p: float, *,
             if n == 0:
                 return None
         k = _rank(p, n)
-        below, above = hist.get(-1, 0), hist.get(buckets, 0)
-        if not (below < k <= n - above):
-            if widened:
-                raise RuntimeError("percentile search lost its bracket")
-            lo, hi = full
-            widened = True
-            continue
-        cum = below
+        cum = hist.get(-1, 0)
         for b in sorted(b for b in hist if 0 <= b < buckets):
             cum += hist[b]
             if cum >= k:
@@ -137,7 +87,6 @@ def exact_percentile_disc(df: DataFrame, col: str, p: float, *,
         if w == 1:
             return Decimal(new_lo).scaleb(-scale) if scale else new_lo
         lo, hi = new_lo, min(hi, new_lo + w - 1)
-        widened = True  # inside a verified cell the answer cannot be missed
 
 
 def approx_percentile(df: DataFrame, col: str, p: float, accuracy: int = DEFAULT_ACCURACY):
@@ -158,7 +107,7 @@ def ceiling(df: DataFrame, col: str, p: float, factor: Decimal, fallback: Decima
     ``relative_error``: the sketch call of the original job, which may answer
     anything within 1% of the rank, the maximum included)."""
     if mode == "exact":
-        q = exact_percentile_disc(df, col, p, accuracy=accuracy)
+        q = exact_percentile_disc(df, col, p)
     elif mode == "approx":
         q = approx_percentile(df, col, p, accuracy)
     elif mode == "stat":

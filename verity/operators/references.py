@@ -62,18 +62,18 @@ def fits_broadcast(df: DataFrame, max_rows: int,
                    max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
                    columns: tuple[str, ...] | None = None) -> bool:
     """True when ``df`` (or its ``columns``) has at most ``max_rows`` rows and
-    its values take at most ``max_bytes`` (counted in one job over at most
-    ``max_rows + 1`` rows, not estimated from file sizes)."""
+    its values take at most ``max_bytes``. Counted, not estimated from file
+    sizes, in one scan of the columns: every map task sends one row."""
     if max_rows <= 0:
         return False
-    key = (tuple(columns) if columns else None, max_rows)
+    key = tuple(columns) if columns else None
     try:
         memo = _MEASURED.setdefault(df, {})
     except TypeError:  # not weak-referenceable
         memo = {}
     if key not in memo:
         probe = df.select(*columns) if columns else df
-        r = probe.limit(max_rows + 1).agg(
+        r = probe.agg(
             F.count(F.lit(1)).alias("n"),
             F.coalesce(F.sum(_value_bytes(probe)), F.lit(0).cast("long")).alias("b")).first()
         memo[key] = (r["n"], r["b"])

@@ -26,7 +26,9 @@ from verity.plans.pipeline import (
     DEDUPE_TIE_BREAK, CurationConfig, amount_ceiling, check_references, clean_and_curate,
     standardize,
 )
-from verity.session import ensure_checkpoint_dir, input_bytes, remove_path, size_shuffles
+from verity.session import (
+    ensure_checkpoint_dir, input_bytes, path_exists, remove_path, session_settings, size_shuffles,
+)
 from verity.sinks.catalog import create_tables, repair_partitions
 from verity.sinks.writers import (
     publish_dimension, write_curated, write_rejected, write_run_metrics,
@@ -57,15 +59,15 @@ class BatchPaths:
 
 
 def staging_root(spark: SparkSession, run_id: str) -> str:
-    """The run's scratch folder under the checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/verity-staging/{run_id}"
+    """A scratch folder under the checkpoint folder for one attempt of a run."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/verity-staging/{uuid.uuid4().hex}"
 
 
 def _day_path(path: str, day: tuple[str, str, str]) -> str:
     return f"{path.rstrip('/')}/" + "/".join(f"{c}={v}" for c, v in zip(K.PARTITION_COLUMNS, day))
 
 
-def merge_existing(spark: SparkSession, curated: DataFrame, path: str, run_id: str,
+def merge_existing(spark: SparkSession, curated: DataFrame, path: str, staging_dir: str,
                    config: CurationConfig, scope: str = "days"
                    ) -> tuple[DataFrame, list[tuple[str, str, str]]]:
     """Fold stored rows into the batch, so a dynamic overwrite of the batch's
@@ -79,8 +81,8 @@ def merge_existing(spark: SparkSession, curated: DataFrame, path: str, run_id: s
 
     The affected days are a small set (bounded by the calendar), read once to
     build a partition filter, so only those day folders are read. The merged
-    rows are deduplicated with the batch order and written to the run's
-    staging folder before the target is touched, so the job never overwrites
+    rows are deduplicated with the batch order and written to
+    ``staging_dir`` before the target is touched, so the job never overwrites
     what it is reading and a failure leaves the target as it was.
     """
     if scope not in ("days", "table"):
@@ -88,11 +90,9 @@ def merge_existing(spark: SparkSession, curated: DataFrame, path: str, run_id: s
     days = {tuple(r) for r in curated.select(*K.PARTITION_COLUMNS).distinct().collect()}
     if not days:
         return curated, []
-    try:
-        existing = read_curated(spark, path)
-        existing.limit(1).count()
-    except Exception:  # noqa: BLE001 - no table yet
+    if not path_exists(spark, path):  # no table yet; every other error is raised
         return curated, []
+    existing = read_curated(spark, path)
     if scope == "table":
         # A batch's id set is usually small: broadcast it (counted) so the
         # stored table's id and day columns are only scanned, never shuffled.
@@ -111,7 +111,7 @@ def merge_existing(spark: SparkSession, curated: DataFrame, path: str, run_id: s
                     [F.col("ingestion_timestamp").desc_nulls_last(),
                      F.col("source_file").asc_nulls_first()],
                     tie_break=list(DEDUPE_TIE_BREAK) + ["run_id"])
-    staging = f"{staging_root(spark, run_id)}/merged-{uuid.uuid4().hex}"
+    staging = f"{staging_dir}/merged"
     merged.write.mode("overwrite").parquet(staging)
     out = spark.read.schema(schemas.CURATED_TRANSACTIONS).parquet(staging)
     emptied: list[tuple[str, str, str]] = []
@@ -138,6 +138,24 @@ def run_batch(spark: SparkSession, paths: BatchPaths, run_id: str,
     streaming ingest passes each micro-batch). Returns the counts.
     """
     config = config or CurationConfig()
+    shuffles = spark.conf.get("spark.sql.shuffle.partitions", "200")
+    # Text is read as UTC whatever the caller's zone; the caller's settings
+    # come back at the end.
+    scratch = staging_root(spark, run_id)
+    with session_settings(spark, spark__sql__session__timeZone="UTC",
+                          spark__sql__legacy__timeParserPolicy="CORRECTED",
+                          spark__sql__shuffle__partitions=shuffles):
+        try:
+            return _run_batch(spark, paths, run_id, config, register, merge, merge_scope, publish,
+                              transactions, materialize, storage_level, scratch)
+        finally:
+            remove_path(spark, scratch)
+
+
+def _run_batch(spark: SparkSession, paths: BatchPaths, run_id: str, config: CurationConfig,
+               register: bool, merge: bool, merge_scope: str, publish: bool,
+               transactions: DataFrame | None, materialize: str, storage_level: StorageLevel,
+               scratch: str) -> dict:
     if transactions is None:
         # Shuffle partitions sized from the raw input (only ever raised).
         size_shuffles(spark, input_bytes(spark, paths.raw_transactions))
@@ -148,12 +166,10 @@ def run_batch(spark: SparkSession, paths: BatchPaths, run_id: str,
 
     obs_cur = Observation("curated")
     checked = check_references(standardize(txns, config), customers, products, config,
-                               stage_dir=f"{staging_root(spark, run_id)}/keys")
-    staging = None
+                               stage_dir=f"{scratch}/keys")
     if materialize == "staged":
-        staging = f"{staging_root(spark, run_id)}/checked"
-        checked.write.mode("overwrite").parquet(staging)
-        checked = spark.read.schema(checked.schema).parquet(staging)
+        checked.write.mode("overwrite").parquet(f"{scratch}/checked")
+        checked = spark.read.schema(checked.schema).parquet(f"{scratch}/checked")
     elif materialize == "persist":
         checked = checked.persist(storage_level)
     else:
@@ -162,26 +178,25 @@ def run_batch(spark: SparkSession, paths: BatchPaths, run_id: str,
         ceiling = amount_ceiling(checked, config)
         result = clean_and_curate(txns, customers, products, run_id, config=config,
                                   ceiling=ceiling, checked=checked)
-        # Raw and rejected counts: one aggregate over the checked rows.
-        tally = result.tagged.agg(
-            F.count(F.lit(1)).alias("raw_count"),
-            F.count_if(F.col("reject_reason").isNotNull()).alias("rejected_count")).first()
+        # Raw, rejected and distinct valid counts: one aggregate over the
+        # checked rows.
+        tally = result.funnel().first()
         curated = result.curated.observe(obs_cur, F.count(F.lit(1)).alias("n"))
         emptied: list = []
         if merge:
-            curated, emptied = merge_existing(spark, curated, paths.curated, run_id, config,
+            curated, emptied = merge_existing(spark, curated, paths.curated, scratch, config,
                                               merge_scope)
         # The two writes are independent jobs: submit them together.
-        concurrently(lambda: write_rejected(result.rejected, paths.rejected),
+        concurrently(lambda: write_rejected(result.rejected, paths.rejected, run_id),
                      lambda: write_curated(curated, paths.curated))
         for day in emptied:  # only after the write has succeeded
             remove_path(spark, _day_path(paths.curated, day))
         counts = {"run_id": run_id, "raw_count": tally["raw_count"],
                   "rejected_count": tally["rejected_count"],
-                  "curated_count": _observed(obs_cur, result.curated), "ceiling": str(ceiling)}
+                  "curated_count": _observed(obs_cur, result.curated),
+                  "duplicates_dropped": tally["duplicates_dropped"], "ceiling": str(ceiling)}
     finally:
         checked.unpersist()
-    remove_path(spark, staging_root(spark, run_id))  # every read of it has finished
     log.warning("[run=%s] raw_count=%s rejected_count=%s curated_count=%s", run_id,
                 counts["raw_count"], counts["rejected_count"], counts["curated_count"])
     jobs = [lambda: write_run_metrics(spark, counts, K.STAGE_CLEAN_AND_CURATE, paths.metrics,
@@ -209,6 +224,8 @@ def concurrently(*actions) -> None:
         futures = [pool.submit(a) for a in actions]
     errors = [f.exception() for f in futures if f.exception() is not None]
     if errors:
+        for other in errors[1:]:
+            errors[0].add_note(f"failed as well: {other!r}")
         raise errors[0]
 
 
@@ -216,18 +233,14 @@ def _observed(obs: Observation, df: DataFrame) -> int:
     """The observed row count; when AQE replaced an empty result by an empty
     relation the metric is not reported, and the frame is counted instead
     (it is empty or nearly so in that case)."""
-    try:
-        v = obs.get.get("n")
-        if v is not None:
-            return int(v)
-    except Exception:  # noqa: BLE001
-        pass
-    return df.count()
+    v = obs.get.get("n")
+    return int(v) if v is not None else df.count()
 
 
-def publish_catalog(spark: SparkSession, paths: BatchPaths) -> None:
+def publish_catalog(spark: SparkSession, paths: BatchPaths, curated_db: str = "curated",
+                    rejected_db: str = "rejected", tables: tuple[str, ...] | None = None) -> None:
     """Stage 2: define the tables (idempotent) and repair the partitions of
-    every partitioned table, the rejected one included (B16)."""
+    the partitioned ones, the rejected one included (B16), or of ``tables``."""
     parts = create_tables(spark, paths.curated, paths.rejected, paths.metrics,
-                          paths.customers, paths.products)
-    repair_partitions(spark, *parts)
+                          paths.customers, paths.products, curated_db, rejected_db)
+    repair_partitions(spark, *(tables or parts))

@@ -1,7 +1,8 @@
 """Registered queries over the fixture tables, one per operator key.
 
-Each callable takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the
-whole fixture (derived from every row of ``lineitem`` and ``orders``). Money
+Each callable takes ``(spark, sf_dir)`` and returns a DataFrame over the
+whole fixture (keys that need the amount ceiling compute it while the frame is
+built) (derived from every row of ``lineitem`` and ``orders``). Money
 leaves as DOUBLE after exact decimal work; counts are BIGINT.
 """
 from __future__ import annotations
@@ -16,6 +17,7 @@ from verity import constants as K
 from verity import schemas
 from verity.functions.imputation import impute
 from verity.functions.names import standardize_column_names
+from verity.functions.predicates import date_in_range
 from verity.functions.parsing import parse_amount, parse_date, parse_timestamp, partition_columns
 from verity.operators.compare import compare_outputs, fingerprint
 from verity.operators.conform import conform
@@ -23,7 +25,7 @@ from verity.operators.profile import schema_profile
 from verity.operators.references import orphans
 from verity.plans import analytics as A
 from verity.plans.pipeline import (
-    CurationConfig, CurationResult, check_references, clean_and_curate, standardize,
+    CurationConfig, CurationResult, amount_ceiling, check_references, clean_and_curate, standardize,
 )
 from verity.sinks.writers import publish_frame
 from verity.sources.fixtures import FIXTURE_MAX_DATE, FIXTURE_MIN_DATE
@@ -159,8 +161,8 @@ def q_impute_promo(spark, sf_dir):
 
 
 def q_partition_columns(spark, sf_dir):
-    t = _run(spark, sf_dir).tagged  # the typed rows, from the persisted checked frame
-    return t.select("transaction_id", "transaction_date", *partition_columns("transaction_date"))
+    return _typed(spark, sf_dir).select("transaction_id", "transaction_date",
+                                        *partition_columns("transaction_date"))
 
 
 def q_conform_types(spark, sf_dir):
@@ -173,8 +175,7 @@ def q_conform_types(spark, sf_dir):
 
 
 def q_flag_missing_required(spark, sf_dir):
-    return _run(spark, sf_dir).tagged.select("transaction_id", "customer_id", "product_id",
-                                             "missing_required")
+    return _typed(spark, sf_dir).select("transaction_id", "customer_id", "product_id", "missing_required")
 
 
 def q_flag_amount(spark, sf_dir):
@@ -183,8 +184,14 @@ def q_flag_amount(spark, sf_dir):
 
 
 def q_flag_date(spark, sf_dir):
-    r = _run(spark, sf_dir)
-    return r.tagged.select("transaction_id", "transaction_date", "valid_date")
+    valid = date_in_range("transaction_date", FIXTURE_CONFIG.min_date, FIXTURE_CONFIG.max_date)
+    return _typed(spark, sf_dir).select("transaction_id", "transaction_date", valid.alias("valid_date"))
+
+
+def _typed(spark, sf_dir):
+    """The typed rows alone: no reference check and no ceiling, so building
+    the frame runs no job."""
+    return standardize(_raw(spark, sf_dir), FIXTURE_CONFIG)
 
 
 def _checked(spark, sf_dir):
@@ -221,11 +228,10 @@ def q_funnel(spark, sf_dir):
 
 
 def q_amount_ceiling(spark, sf_dir):
-    r = _run(spark, sf_dir)
-    # The ceiling comes from distributed passes over the persisted checked
-    # rows; the one-row frame is taken from the same rows.
-    return r.tagged.agg(F.count(F.lit(1)).alias("n")).select(
-        F.lit(r.ceiling).cast("double").alias("amount_ceiling"))
+    # The histogram passes over the typed rows run while the frame is built;
+    # the frame is their one-row result.
+    found = amount_ceiling(_typed(spark, sf_dir), FIXTURE_CONFIG)
+    return spark.createDataFrame([(float(found),)], "amount_ceiling double")
 
 
 def q_dedupe(spark, sf_dir):
@@ -298,7 +304,7 @@ def q_fingerprint(spark, sf_dir):
 def q_rerun_compare(spark, sf_dir):
     a = _run(spark, sf_dir)
     # Second run over the same rows, differently partitioned.
-    raw_b = _raw(spark, sf_dir).repartition(13, "source_file", "amount")
+    raw_b = _raw(spark, sf_dir).repartition("source_file", "amount")
     b = _run(spark, sf_dir, raw=raw_b)
     return compare_outputs(a.curated, b.curated)
 

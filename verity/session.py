@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -97,16 +98,50 @@ def input_bytes(spark: SparkSession, path: str) -> int | None:
 
 
 def size_shuffles(spark: SparkSession, nbytes: int | None,
-                  target_bytes: int = 256 * 1024 * 1024, max_partitions: int = 50_000) -> int:
+                  target_bytes: int = 256 * 1024 * 1024) -> int:
     """Raise ``spark.sql.shuffle.partitions`` to about ``nbytes /
-    target_bytes`` (at most ``max_partitions``) so each shuffle partition of a
-    job over that input fits executor memory; AQE coalesces small ones back
-    together. Never lowers the setting. Returns the value in effect."""
+    target_bytes`` so each shuffle partition of a job over that input fits
+    executor memory; AQE coalesces small ones back together. Never lowers the
+    setting. Returns the value in effect."""
     current = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    if not nbytes:
-        return current
-    want = min(max_partitions, -(-nbytes // target_bytes))
+    want = -(-(nbytes or 0) // target_bytes)
     if want > current:
         spark.conf.set("spark.sql.shuffle.partitions", str(want))
         return want
     return current
+
+
+@contextmanager
+def session_settings(spark: SparkSession, **settings: str):
+    """Session settings for the length of a block; the caller's values (and
+    any changed inside under the same names) come back after it. Names are
+    given with ``__`` for ``.``."""
+    names = {k.replace("__", "."): v for k, v in settings.items()}
+    before = {k: spark.conf.get(k, None) for k in names}
+    for k, v in names.items():
+        if v is not None:
+            spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """One spelling of a path: scheme and authority of its file system, no
+    double or trailing slashes."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = fs.makeQualified(hpath).toUri()
+    scheme = {"s3": "s3a", "s3n": "s3a"}.get(out.getScheme(), out.getScheme())
+    return f"{scheme}://{out.getAuthority() or ''}{out.getPath()}".rstrip("/")
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the file system has the path; any error to find out is raised."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))

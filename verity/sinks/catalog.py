@@ -6,14 +6,28 @@ from pyspark.sql import types as T
 
 from verity import constants as K
 from verity import schemas
+from verity.session import qualified
 
 
 def _cols(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
+def _location(spark: SparkSession, table: str) -> str | None:
+    """Where an existing table's data lies, else None."""
+    if not spark.catalog.tableExists(table):
+        return None
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'").collect()
+    return rows[0]["data_type"] if rows else ""
+
+
 def _create(spark: SparkSession, table: str, schema: T.StructType, path: str,
             partitioned_by: tuple[str, ...] = ()) -> None:
+    """Define an external table over ``path``. A table of that name over
+    another path is defined anew: its definition goes, its files stay."""
+    old = _location(spark, table)
+    if old is not None and (not old or qualified(spark, old) != qualified(spark, path)):
+        spark.sql(f"DROP TABLE {table}")
     part = f" PARTITIONED BY ({', '.join(partitioned_by)})" if partitioned_by else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({_cols(schema)}) USING PARQUET{part} "
               f"LOCATION '{path}'")
@@ -24,7 +38,7 @@ def create_tables(spark: SparkSession, curated_path: str, rejected_path: str, me
                   curated_db: str = "curated", rejected_db: str = "rejected") -> list[str]:
     """Two databases, five tables: curated.transactions (year, month, day),
     curated.customers, curated.products, rejected.transactions (run_id),
-    curated.run_metrics. Idempotent. Returns the partitioned table names."""
+    curated.run_metrics. Idempotent; every table is external. Returns the partitioned table names."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {curated_db}")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {rejected_db}")
     _create(spark, f"{curated_db}.transactions", schemas.CURATED_TRANSACTIONS, curated_path,

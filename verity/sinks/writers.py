@@ -1,6 +1,6 @@
 """K1-K5: rerun-safe writers.
 
-Every partitioned write uses dynamic partition overwrite as a write option
+Curated facts and metrics use dynamic partition overwrite as a write option
 (not a session setting): a write replaces exactly the partitions present in
 the frame, so rerunning a batch replaces its days instead of appending
 copies. A batch must therefore carry complete days (see ``merge_existing``).
@@ -13,6 +13,7 @@ a day that is much larger than the others across several tasks.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +24,7 @@ from verity import constants as K
 from verity import schemas
 from verity.functions.names import standardize_column_names
 from verity.operators.conform import conform
+from verity.session import ensure_checkpoint_dir, qualified, remove_path
 
 
 def configure_dynamic_overwrite(spark: SparkSession) -> None:
@@ -47,10 +49,25 @@ def write_curated(df: DataFrame, path: str, max_records_per_file: int | None = 5
                        K.PARTITION_COLUMNS, max_records_per_file)
 
 
-def write_rejected(df: DataFrame, path: str, max_records_per_file: int | None = 5_000_000) -> None:
-    """K3: rejected rows under ``run_id=<id>``; a rerun replaces its run."""
-    _partitioned_write(df.select(*schemas.names(schemas.REJECTED_TRANSACTIONS)), path,
-                       ("run_id",), max_records_per_file)
+# Characters that a partition folder's name holds as %XX.
+ESCAPED = frozenset("\"#%'*/:=?\\\x7f{}[]^") | frozenset(map(chr, range(1, 32)))
+
+
+def run_folder(path: str, run_id: str) -> str:
+    name = "".join(f"%{ord(c):02X}" if c in ESCAPED else c for c in run_id)
+    return f"{path.rstrip('/')}/run_id={name}"
+
+
+def write_rejected(df: DataFrame, path: str, run_id: str,
+                   max_records_per_file: int | None = 5_000_000) -> None:
+    """K3: rejected rows of one run under ``run_id=<id>``. The run's folder
+    itself is overwritten, so a rerun without rejects leaves none behind. The
+    rows are rebalanced without a key: a run is one partition."""
+    columns = [c for c in schemas.names(schemas.REJECTED_TRANSACTIONS) if c != "run_id"]
+    w = df.select(*columns).hint("rebalance").write.mode("overwrite")
+    if max_records_per_file:
+        w = w.option("maxRecordsPerFile", max_records_per_file)
+    w.parquet(run_folder(path, run_id))
 
 
 def metrics_frame(spark: SparkSession, counts: dict, stage: str, run_id: str,
@@ -76,10 +93,17 @@ def publish_frame(df: DataFrame, schema: T.StructType, key: str) -> DataFrame:
 
 
 def publish_dimension(df: DataFrame, schema: T.StructType, key: str, path: str) -> None:
-    """K5: republish a dimension in full. Refuses to overwrite a path the
-    frame reads from (the overwrite would delete its own input)."""
-    target = path.rstrip("/")
-    for f in df.inputFiles():
-        if f.replace("file://", "").replace("file:", "").startswith(target.replace("file://", "") + "/"):
-            raise ValueError(f"{path} is an input of the frame being published")
-    publish_frame(df, schema, key).write.mode("overwrite").parquet(path)
+    """K5: republish a dimension in full. Refuses a path the frame reads from,
+    however either is spelt. The typed rows are staged before the old table is
+    replaced, so a failing cast or read leaves it as it was."""
+    spark = df.sparkSession
+    target = qualified(spark, path) + "/"
+    if any((qualified(spark, f) + "/").startswith(target) for f in {f.rsplit("/", 1)[0] for f in df.inputFiles()}):
+        raise ValueError(f"{path} is an input of the frame being published")
+    staging = f"{ensure_checkpoint_dir(spark).rstrip('/')}/verity-publish-{uuid.uuid4().hex}"
+    try:
+        frame = publish_frame(df, schema, key)
+        frame.write.parquet(staging)
+        spark.read.schema(frame.schema).parquet(staging).write.mode("overwrite").parquet(path)
+    finally:
+        remove_path(spark, staging)

@@ -42,12 +42,14 @@ def infer_schema(spark: SparkSession, path: str, sampling_ratio: float = 1.0) ->
 
 def drift_report(spark: SparkSession, path: str, declared: T.StructType,
                  sampling_ratio: float = 1.0) -> DataFrame:
-    """One row per declared column: column_name, inferred_type,
-    declared_type, matches. ``inferred_type`` is NULL when the files lack the
-    column."""
+    """One row per column: column_name, inferred_type, declared_type, matches.
+    ``inferred_type`` is NULL when the files lack a declared column,
+    ``declared_type`` when they hold one that is not declared."""
     inferred = {clean_name(f.name): f.dataType.simpleString()
                 for f in infer_schema(spark, path, sampling_ratio).fields}
     rows = [(f.name, inferred.get(f.name), f.dataType.simpleString(),
              inferred.get(f.name) == f.dataType.simpleString()) for f in declared.fields]
+    known = {f.name for f in declared.fields}
+    rows += [(name, kind, None, False) for name, kind in inferred.items() if name not in known]
     return spark.createDataFrame(
         rows, "column_name string, inferred_type string, declared_type string, matches boolean")
