@@ -272,3 +272,25 @@ LEFT JOIN (SELECT source_file, COUNT(*) AS curated_count FROM curated GROUP BY s
   ON r.source_file = c.source_file
 ORDER BY ts DESC, run_id, stage"""),
 }
+
+# What the job wrote equals what the frames say; a merge of the same batch
+# changes nothing.
+ORACLE["curated_readback"] = ORACLE["merged_readback"] = ORACLE["curated"]
+ORACLE["rejected_readback"] = f"SELECT * REPLACE (NULLIF(customer_id, '') AS customer_id) FROM ({ORACLE['rejected']})"
+ORACLE["metrics_readback"] = _with(f"""
+SELECT 'fixture' AS run_id, '{K.STAGE_CLEAN_AND_CURATE}' AS stage,
+       (SELECT COUNT(*) FROM tagged) AS raw_count, (SELECT COUNT(*) FROM rejected) AS rejected_count,
+       (SELECT COUNT(*) FROM curated) AS curated_count""")
+ORACLE["catalog_counts"] = _with("""
+SELECT 'curated.transactions' AS table_name, COUNT(*) AS n_rows FROM curated
+UNION ALL SELECT 'curated.customers', COUNT(*) FROM customers
+UNION ALL SELECT 'curated.products', COUNT(*) FROM products
+UNION ALL SELECT 'curated.run_metrics', 1
+UNION ALL SELECT 'rejected.transactions', COUNT(*) FROM rejected""")
+ORACLE["run_difference"] = f"""
+WITH a AS ({ORACLE["curated"]}), b AS ({ORACLE["curated"].replace(FIXTURE_MAX_DATE, "1998-06-30")})
+SELECT (SELECT COUNT(*) FROM a) AS rows_a, (SELECT COUNT(*) FROM b) AS rows_b,
+       (SELECT COUNT(*) FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b)) AS only_a,
+       (SELECT COUNT(*) FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)) AS only_b,
+       NOT EXISTS (SELECT * FROM a EXCEPT ALL SELECT * FROM b)
+         AND NOT EXISTS (SELECT * FROM b EXCEPT ALL SELECT * FROM a) AS identical"""

@@ -7,7 +7,9 @@ leaves as DOUBLE after exact decimal work; counts are BIGINT.
 """
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,14 +26,18 @@ from verity.operators.conform import conform
 from verity.operators.profile import schema_profile
 from verity.operators.references import orphans
 from verity.plans import analytics as A
+from verity.plans.job import BatchPaths, publish_catalog, run_batch
 from verity.plans.pipeline import (
     CurationConfig, CurationResult, amount_ceiling, check_references, clean_and_curate, standardize,
 )
+from verity.session import ensure_checkpoint_dir
 from verity.sinks.writers import publish_frame
+from verity.sources.curated import read_curated, read_rejected, read_run_metrics
 from verity.sources.fixtures import FIXTURE_MAX_DATE, FIXTURE_MIN_DATE
 from verity.sources.fixtures import fixture_tables as _fixture_tables
 
 RUN_ID = "fixture"
+HALF_DATE = "1998-06-30"  # splits the fixture's dates for ``run_difference``
 FIXTURE_CONFIG = CurationConfig(min_date=FIXTURE_MIN_DATE, max_date=FIXTURE_MAX_DATE)
 # Messy headers for the name-standardisation check, in raw column order.
 MESSY_HEADERS = [" Transaction ID ", "Customer-Id", "PRODUCT_ID", "Transaction Date",
@@ -309,6 +315,74 @@ def q_rerun_compare(spark, sf_dir):
     return compare_outputs(a.curated, b.curated)
 
 
+# --- what the writers wrote, read back -------------------------------------
+
+_WRITTEN: dict = {}
+
+
+def _written(spark, sf_dir) -> BatchPaths:
+    """Run the batch job over a CSV landing of the fixture into a fresh folder
+    under the checkpoint folder, once per session and folder."""
+    _prepare(spark)
+    key = (id(spark), spark.conf.get("spark.app.id", ""), sf_dir)
+    if key not in _WRITTEN:
+        root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/verity-readback/{uuid.uuid4().hex}"
+        paths = BatchPaths.under(f"{root}/raw", f"{root}/out")
+        for df, path in zip(fixture_tables(spark, sf_dir),
+                            (paths.raw_transactions, paths.raw_customers, paths.raw_products)):
+            text = df.select(*[df[c].cast("string") for c in df.columns])
+            # The writer would trim values by default; blanks are part of the fixture.
+            (text.write.option("header", True).option("ignoreLeadingWhiteSpace", False)
+             .option("ignoreTrailingWhiteSpace", False).csv(path))
+        run_batch(spark, paths, RUN_ID, FIXTURE_CONFIG, register=False)
+        _WRITTEN[key] = paths
+    return _WRITTEN[key]
+
+
+def q_curated_readback(spark, sf_dir):
+    return _money_out(read_curated(spark, _written(spark, sf_dir).curated))
+
+
+def q_rejected_readback(spark, sf_dir):
+    """A CSV landing has no empty text: an empty id comes back as NULL, so both
+    sides show it as NULL."""
+    out = _money_out(read_rejected(spark, _written(spark, sf_dir).rejected))
+    return out.withColumn("customer_id", F.nullif("customer_id", F.lit("")))
+
+
+def q_merged_readback(spark, sf_dir):
+    """The same batch once more in merge mode, over what is stored."""
+    paths = _written(spark, sf_dir)
+    run_batch(spark, paths, RUN_ID, FIXTURE_CONFIG, register=False, merge=True, publish=False)
+    return _money_out(read_curated(spark, paths.curated))
+
+
+def q_metrics_readback(spark, sf_dir):
+    return read_run_metrics(spark, _written(spark, sf_dir).metrics).select(
+        "run_id", "stage", "raw_count", "rejected_count", "curated_count")
+
+
+def q_catalog_counts(spark, sf_dir):
+    """Rows of every table the catalog answers for after stage 2."""
+    publish_catalog(spark, _written(spark, sf_dir), "readback_curated", "readback_rejected")
+    out = None
+    for name in ("curated.transactions", "curated.customers", "curated.products", "curated.run_metrics",
+                 "rejected.transactions"):
+        part = spark.table(f"readback_{name}").agg(F.count("*").alias("n_rows")).select(
+            F.lit(name).alias("table_name"), "n_rows")
+        out = part if out is None else out.unionAll(part)
+    return out
+
+
+def q_run_difference(spark, sf_dir):
+    """Two runs that differ: the second accepts dates of the first half only."""
+    _prepare(spark)
+    t, c, p = fixture_tables(spark, sf_dir)
+    a = _run(spark, sf_dir)
+    half = clean_and_curate(t, c, p, RUN_ID, config=replace(FIXTURE_CONFIG, max_date=HALF_DATE))
+    return compare_outputs(a.curated, half.curated)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "schema_profile": q_schema_profile,
     "publish_customers": q_publish_customers,
@@ -347,4 +421,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rerun_compare": q_rerun_compare,
     "curated": q_curated,
     "run_health": q_run_health,
+    "curated_readback": q_curated_readback,
+    "rejected_readback": q_rejected_readback,
+    "merged_readback": q_merged_readback,
+    "metrics_readback": q_metrics_readback,
+    "catalog_counts": q_catalog_counts,
+    "run_difference": q_run_difference,
 }
