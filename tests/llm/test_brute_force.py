@@ -168,6 +168,39 @@ def test_passage_is_caught_and_clean_text_left(spark):
     assert passage in got[3].text and passage not in got[8].text and got[0].text == rows[0][1]
 
 
+def test_no_run_of_50_words_is_left_twice(spark):
+    """Passages at any offset of sentences of any length, also unpunctuated."""
+    rng = random.Random(8)
+
+    def prose(n, stop):
+        return [f"w{rng.randrange(10**5)}" + ("." if rng.random() < stop else "") for _ in range(n)]
+    passages = [prose(rng.choice([50, 51, 60, 90]), stop) for stop in (0, 0, 0.02, 0.05, 0.1, 0.2) for _ in range(4)]
+    rows = []
+    for i in range(60):
+        w = prose(rng.randrange(40), stop := rng.choice([0, 0.03, 0.15]))
+        for p in rng.sample(passages, 2):
+            w += p + prose(rng.randrange(1, 40), stop)
+        rows.append((i, " ".join(w)))
+
+    def runs(pairs):
+        held = collections.defaultdict(set)
+        for i, t in pairs:
+            w = t.lower().split()
+            for k in range(len(w) - 49):
+                held[tuple(w[k:k + 50])].add(i)
+        return [x for x in held.values() if len(x) > 1]
+    assert len(runs(rows)) > 24
+    got = spans.remove_repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert runs([(r.doc_id, r.text) for r in got]) == []
+
+
+def test_two_sentences_of_few_words_are_a_span(spark):
+    passage = "This one sentence holds exactly nine words of text. And the next one has nine of them too."
+    rows = [(1, f"An own beginning. {passage} An own end."), (2, f"Other words first. {passage} And others last.")]
+    got = {r.doc_id: r.text for r in spans.remove_repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1] == rows[0][1] and "nine" not in got[2] and got[2].startswith("Other words first.")
+
+
 def test_context_tree(docs, texts):
     depth = 3
     held = lambda i: zlib.crc32(str(i).encode()) % 10 == 0

@@ -1,19 +1,27 @@
 """Substring near-verbatim dedup by sliding sentence spans.
 
-A text is cut into sentences (a very long one into parts of ``LONG`` words).
-From every sentence on, the shortest run of at least ``MIN_SENTENCES``
-sentences and ``MIN_WORDS`` words is a span; it is hashed by its words, case
-folded. All spans of all documents are joined on their hash. The first place
+A text is cut into sentences, one of more than ``LONG`` words into parts. The
+parts begin where the words themselves say so (see ``_parts``), so a passage is
+cut the same way wherever it stands in a sentence. From every sentence or part
+on, the shortest run of at least ``MIN_SENTENCES`` of them and ``MIN_WORDS``
+words (``MIN_WORDS_INSIDE`` within a single sentence) is a span; it is hashed by its
+words, case folded. All spans of all documents are joined on their hash. The first place
 of a span (smallest doc_id, then text, then position) keeps it; sentences that
 any other place covers are removed.
 
+Two copies of a passage are cut alike from at most ``LONG`` words after its
+beginning to ``LONG`` words before its end, where its line ends are the same.
+So 50 words that occur twice share at least one span.
+
 Only hashes and places are shuffled for the join; counting is pre-aggregated,
 and the join back to the places is a plain equi-join whose hot hashes AQE
 splits. Spans that occur once end there.
 """
 from __future__ import annotations
 
+import functools
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,46 +33,79 @@ from pyspark.sql import functions as F
 from verity.llm.common import Staging, bound_arrow_batches, text_of
 
 MIN_SENTENCES = 2
-MIN_WORDS = 25
-LONG = 20
+MIN_WORDS = 16
+MIN_WORDS_INSIDE = 25
+LONG = 12
 
 # A sentence ends after stops before white space, or at a line's end.
-_END = re.compile(r"[.!?]+(?=\s)|\n+")
+# The first character stands alone, as a search for one set is fast.
+_END = re.compile(r"[.!?\n](?:(?<=\n)\n*|(?<!\n)[.!?]*(?=\s))")
 _WORD = re.compile(r"\S+")
 
 
-def sentences(text: str) -> list[tuple[int, int, list[str]]]:
-    """(start, end, folded words) of the sentences with a word, in order."""
-    out = []
+def sentences(text: str) -> list[tuple[int, int, list[str], int]]:
+    """(start, end, folded words, number of the sentence) of the sentences with
+    a word, in order; of a sentence above ``LONG`` words, of its parts."""
+    pieces = []
     start = 0
     for end in [*(m.end() for m in _END.finditer(text)), len(text)]:
         piece = text[start:end]
-        words = piece.split()
+        words = piece.lower().split()
+        if words:
+            pieces.append((start, piece, words))
+        start = end
+    parts = _parts([words for _, _, words in pieces if len(words) > LONG])
+    out = []
+    for n, (start, piece, words) in enumerate(pieces):
         if len(words) <= LONG:
-            if words:
-                lead = len(piece) - len(piece.lstrip())
-                out.append((start + lead, start + len(piece.rstrip()), piece.lower().split()))
+            lead = len(piece) - len(piece.lstrip())
+            out.append((start + lead, start + len(piece.rstrip()), words, n))
         else:
-            found = list(_WORD.finditer(piece))
-            for k in range(0, len(found), LONG):
-                own = found[k:k + LONG]
-                out.append((start + own[0].start(), start + own[-1].end(), [w.group().lower() for w in own]))
-        start = end
+            found = [m.span() for m in _WORD.finditer(piece)]
+            cuts = next(parts)
+            for k, end in zip(cuts, [*cuts[1:], len(words)]):
+                out.append((start + found[k][0], start + found[end - 1][1], words[k:end], n))
     return out
 
 
-def spans(units: list[tuple[int, int, list[str]]]) -> Iterator[tuple[int, int, int]]:
+@functools.lru_cache(1 << 16)
+def _word_hash(word: str) -> int:
+    return zlib.crc32(word.encode("utf-8", "surrogatepass"))
+
+
+def _parts(long: list[list[str]]) -> Iterator[list[int]]:
+    """The first words of the parts of each sentence. In every window of
+    ``LONG`` words the one with the smallest hash (the first of equals) begins
+    a part, so no cut depends on words ``LONG`` or more away."""
+    if not long:
+        return
+    hashes = np.array([_word_hash(w) for words in long for w in words], np.uint32)
+    windows = np.lib.stride_tricks.sliding_window_view(hashes, LONG)
+    least = (np.arange(len(windows)) + windows.argmin(1)).tolist()
+    at = 0
+    for words in long:
+        yield sorted({0, *(k - at for k in least[at:at + len(words) - LONG + 1])})
+        at += len(words)
+
+
+def spans(units: list[tuple[int, int, list[str], int]]) -> Iterator[tuple[int, int, int]]:
     """(first sentence, one past the last, 128-bit hash) of every span."""
     lengths = [len(u[2]) for u in units]
     joined = [" ".join(u[2]) for u in units]
+    sentence = [u[3] for u in units]
+
+    def short() -> bool:
+        return j - i < MIN_SENTENCES or held < MIN_WORDS or (
+            held < MIN_WORDS_INSIDE and sentence[i] == sentence[j - 1])
+
     j, held = 0, 0
     for i in range(len(units)):
-        while j < len(units) and (held < MIN_WORDS or j - i < MIN_SENTENCES):
+        while j < len(units) and short():
             held += lengths[j]
             j += 1
-        if held < MIN_WORDS or j - i < MIN_SENTENCES:
+        if short():
             return
-        yield i, j, xxhash.xxh3_128_intdigest("\n".join(joined[i:j]).encode("utf-8", "surrogatepass"))
+        yield i, j, xxhash.xxh3_128_intdigest(" ".join(joined[i:j]).encode("utf-8", "surrogatepass"))
         held -= lengths[i]
 
 
