@@ -201,6 +201,28 @@ def test_two_sentences_of_few_words_are_a_span(spark):
     assert got[1] == rows[0][1] and "nine" not in got[2] and got[2].startswith("Other words first.")
 
 
+def test_spans_end_at_every_sentence():
+    """Each sentence begins and ends a shortest run, where there is one."""
+    rng = random.Random(4)
+    for _ in range(200):
+        sizes = [rng.choice([1, 3, 5, 9, 12, 30]) for _ in range(rng.randrange(1, 12))]
+        units = spans.sentences(" ".join(" ".join(["w"] * n) + "." for n in sizes))
+        enough = lambda i, j: j - i >= 2 and (n := sum(len(u[2]) for u in units[i:j])) >= 16 and (
+            n >= 25 or units[i][3] != units[j - 1][3])
+        every = [(i, j) for j in range(len(units) + 1) for i in range(j) if enough(i, j)]
+        short = {(i, min(j for k, j in every if k == i)) for i, _ in every} | \
+            {(max(i for i, k in every if k == j), j) for _, j in every}
+        got = [(i, j) for i, j, _ in spans.spans(units)]
+        assert set(got) == short and len(got) == len(short)
+
+
+def test_last_short_sentences_of_a_passage_go(spark):
+    passage = [" ".join(f"{name}{k}" for k in range(n)) + "." for name, n in (("a", 20), ("b", 20), ("c", 5), ("d", 5))]
+    rows = [(i, " ".join([f"own{i} " * 3 + "words.", *passage, f"tail{i} " * 3 + "words."])) for i in (1, 2)]
+    got = {r.doc_id: r.text for r in spans.remove_repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1] == rows[0][1] and got[2].split() == ["own2"] * 3 + ["words."] + ["tail2"] * 3 + ["words."]
+
+
 def test_context_tree(docs, texts):
     depth = 3
     held = lambda i: zlib.crc32(str(i).encode()) % 10 == 0

@@ -3,7 +3,7 @@
 A text is cut into sentences, one of more than ``LONG`` words into parts. The
 parts begin where the words themselves say so (see ``_parts``), so a passage is
 cut the same way wherever it stands in a sentence. From every sentence or part
-on, the shortest run of at least ``MIN_SENTENCES`` of them and ``MIN_WORDS``
+on, and up to every one, the shortest run of at least ``MIN_SENTENCES`` of them and ``MIN_WORDS``
 words (``MIN_WORDS_INSIDE`` within a single sentence) is a span; it is hashed by its
 words, case folded. All spans of all documents are joined on their hash. The first place
 of a span (smallest doc_id, then text, then position) keeps it; sentences that
@@ -94,19 +94,24 @@ def spans(units: list[tuple[int, int, list[str], int]]) -> Iterator[tuple[int, i
     joined = [" ".join(u[2]) for u in units]
     sentence = [u[3] for u in units]
 
-    def short() -> bool:
-        return j - i < MIN_SENTENCES or held < MIN_WORDS or (
-            held < MIN_WORDS_INSIDE and sentence[i] == sentence[j - 1])
-
-    j, held = 0, 0
-    for i in range(len(units)):
-        while j < len(units) and short():
-            held += lengths[j]
-            j += 1
-        if short():
-            return
-        yield i, j, xxhash.xxh3_128_intdigest(" ".join(joined[i:j]).encode("utf-8", "surrogatepass"))
-        held -= lengths[i]
+    def enough(i: int, j: int, held: int) -> bool:
+        return j - i >= MIN_SENTENCES and held >= MIN_WORDS and (
+            held >= MIN_WORDS_INSIDE or sentence[i] != sentence[j - 1])
+
+    # held: words of i to j; new: no run from i on is out yet. The shortest run
+    # up to j begins where the next beginning is too late for one.
+    i, held, new = 0, 0, True
+    for j in range(1, len(units) + 1):
+        held += lengths[j - 1]
+        while enough(i, j, held):
+            last = not enough(i + 1, j, held - lengths[i])
+            if new or last:
+                yield i, j, xxhash.xxh3_128_intdigest(" ".join(joined[i:j]).encode("utf-8", "surrogatepass"))
+            if last:
+                new = False
+                break
+            held -= lengths[i]
+            i, new = i + 1, True
 
 
 def text_key(text: str) -> int:
