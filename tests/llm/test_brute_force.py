@@ -83,6 +83,13 @@ def test_minhash_blocks_meet(spark, monkeypatch):
     assert {tuple(r) for r in got} == near_groups(rows)
 
 
+def test_minhash_misses_fewer_than_one_in_1e7():
+    """Of pairs of similarity exactly 0.75, by the binomial distribution."""
+    miss = lambda n, p, m: sum(math.comb(n, k) * p**k * (1 - p)**(n - k) for k in range(m))
+    rate = miss(minhash.COORDINATES, 0.75, minhash.MATCHES) + miss(minhash.FINE, 0.75 + 0.25 / 256, minhash.FINE_MATCHES)
+    assert rate < 1e-7
+
+
 def test_bpe_equals_the_tokenizer(spark, texts):
     from tokenizers import Tokenizer
     library = Tokenizer.from_file(tokenizer_path())
