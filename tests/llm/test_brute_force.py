@@ -349,6 +349,26 @@ def test_pseudonyms(spark):
     assert other.text != got[1].text
 
 
+def test_cards_beside_other_digits(spark):
+    cards = ["4111 1111 1111 1111", "5500-0000-0000-0004", "3782 822463 10005", "4222222222222"]
+    around = ["{}", "{} 09/27", "{} 123", "order 12 {}", "1234 {}", "{} 4321 x", "7 {} 12 34", "{} 09/27/2024",
+              "{} 2024-02-29", "123-45-6789 {}", "{} 988-555-2485", "{} 10.0.0.1", "{}, {}", "{} {}", "{}  {}"]
+    rows = [(100 * a + c, shape.format(card, card)) for a, shape in enumerate(around) for c, card in enumerate(cards)]
+    rows += [(9001, "4111 1111 1111 1112 10"), (9002, "1 2 3 4 5 6 7 8 9 10 11 12 13 14 15")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.pseudonymise(df, key="k").collect()}
+    new = {c: got[c].text for c in range(len(cards))}
+    for c, card in enumerate(cards):
+        assert new[c] != card and luhn(re.sub(r"\D", "", new[c])) and re.sub(r"\d", "0", new[c]) == re.sub(r"\d", "0", card)
+    for i, text in rows[:-2]:
+        shape, card = around[i // 100], cards[i % 100]
+        kinds = [x.kind for x in got[i].pii_values]
+        assert kinds.count("card") == shape.count("{}") and card not in got[i].text, (text, got[i])
+        assert new[i % 100] in got[i].text and len(kinds) == shape.count("{}") + (
+            any(x in shape for x in ("2024", "6789", "988", "10.0"))), (text, got[i])
+    assert all(got[i].n_pii == 0 and got[i].text == text for i, text in rows[-2:])
+
+
 def test_pseudonyms_are_a_permutation(spark):
     from pyspark.sql import functions as F
     days = spark.sql("SELECT explode(sequence(DATE'1900-01-01', DATE'1903-12-31')) AS d").select(

@@ -14,6 +14,8 @@ class), which is a bijection for any sizes. Only DataFrame functions are used.
 """
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,11 +30,24 @@ FORMATS = {
     "email": r"\b[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}\b",
     "phone": r"(?:\+1[ .-]?)?(?<![\d(])\([1-9]\d\d\) ?[1-9]\d\d[ .-]\d{4}(?!\d)"
              r"|(?<![\d.-])(?:\+1[ .-]?)?[1-9]\d\d([ .-])[1-9]\d\d\1\d{4}(?![\d-])",
-    "card": r"(?<![\d.-])\d(?:[ -]?\d){12,18}(?![\d-]|\.\d)",
+    # A run of digit groups, in which the cards (and what stands beside them)
+    # are looked for; the day or month of a slash date after it is not part.
+    "run": r"(?<![\d.-])\d[\d -]{11,}\d(?!\d|\.\d)(?<![ -]\d\d(?=/\d\d/))",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "date": r"(?<![\d/.-])(?:(?:19|20)\d\d-\d\d-\d\d|\d\d/\d\d/(?:19|20)\d\d|\d\d\.\d\d\.(?:19|20)\d\d)(?![\d/-]|\.\d)",
     "ip": r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?![\d]|\.\d)",
 }
+# Marks of a card inside a run, which holds digits, blanks and hyphens only.
+_OPEN, _CLOSE = "\x01", "\x02"
+# What a run can hold. The digits beside a card do not belong to the others.
+IN_RUN = "|".join([_OPEN + "[^" + _CLOSE + "]+" + _CLOSE, FORMATS["phone"], FORMATS["ssn"], FORMATS["date"]])
+# Groupings in which card numbers are written, and those that begin as the
+# networks' numbers do; a card may also be cut into any groups of three digits or more,
+# or be alone in its run.
+CUSTOMARY = r"^(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{4}(?:\1\d{3})?|\d{4}([ -])\d{6}\2\d{4,5})$"
+NETWORK = CUSTOMARY.replace("^", "^(?=4|5[1-5]|2[2-7]|3[0-8]|6(?:011|2|4|5))", 1)
+CARD = r"^\d(?:[ -]?\d){12,18}$"
+CARD_GROUPS = r"^\d{3,}(?:[ -]\d{3,}){0,5}$"
 # Days of 1900-01-01 .. 2099-12-31: 73,049 = 17 x 4,297.
 DATE_MODULI = (17, 4297)
 
@@ -135,16 +150,70 @@ def luhn_sum(digits: Column, doubled_first: Column) -> Column:
     return F.aggregate(F.transform(F.split(digits, ""), term), F.lit(0), lambda s, x: s + x)
 
 
+def _valid_card(value: Column) -> Column:
+    d = digits_of(value)
+    return luhn_sum(d, F.length(d) % 2 == 0) % 10 == 0
+
+
+def _bound(value: Column, use) -> Column:
+    """``use(value)``, with the value evaluated once."""
+    return F.transform(F.array(value), lambda v: use(v))[0]
+
+
+def mark_cards(run: Column) -> Column:
+    """``run`` with each card number put between marks: ranges of whole groups
+    that pass the check, first those in a customary grouping that begin as the
+    networks' numbers do, then other customary ones, then any."""
+    def whole(c: Column) -> Column:
+        return c.rlike(CARD) & (c.rlike(CARD_GROUPS) | (c == run))
+
+    out = run
+    for fits, most in ((lambda c: c.rlike(NETWORK), 5), (lambda c: c.rlike(CUSTOMARY), 5), (whole, 19)):
+        out = _bound(out, partial(_mark, fits=fits, most=most))
+    return F.when(F.length(digits_of(run)) < 13, run).otherwise(out)
+
+
+def _mark(run: Column, fits, most: int) -> Column:
+    """From the left, the longest range of up to ``most`` groups that fits."""
+    def join(groups: Column, start: Column, n: Column) -> Column:
+        return F.array_join(F.slice(groups, start, n), "")
+
+    def lengths(groups: Column, i: Column) -> Column:
+        """The most groups from i on that are a card, or 0."""
+        text = lambda k: F.regexp_replace(join(groups, i, k), "[ -]+$", "")
+        longest = F.least(F.when(i == 1, most).otherwise(min(most, 6)), F.size(groups) - i + 1)
+        found = F.transform(F.sequence(longest, F.lit(1), F.lit(-1)),
+                            lambda k: F.struct(k.alias("k"), text(k).alias("c")))
+        # A condition that holds for few guards the check.
+        found = F.filter(found, lambda x: F.when(fits(x["c"]), _valid_card(x["c"])).otherwise(F.lit(False)))
+        return F.coalesce(F.try_element_at(found, F.lit(1))["k"], F.lit(0))
+
+    def marked(groups: Column) -> Column:
+        zero = F.struct(F.lit("").alias("s"), F.lit(1).alias("next"))
+
+        def step(acc: Column, i: Column) -> Column:
+            def put(k: Column) -> Column:
+                part = join(groups, i, F.greatest(k, F.lit(1)))
+                card = F.regexp_replace(part, r"^(.*\d)([ -]*)$", _OPEN + "$1" + _CLOSE + "$2")
+                return F.struct(F.concat(acc["s"], F.when(k > 0, card).otherwise(part)).alias("s"),
+                                (i + F.greatest(k, F.lit(1))).alias("next"))
+            return F.when(i < acc["next"], acc).otherwise(_bound(lengths(groups, i), put))
+
+        return F.aggregate(F.sequence(F.lit(1), F.size(groups)), zero, step, lambda acc: acc["s"])
+
+    groups = F.lit(f"(?:{_OPEN}[^{_CLOSE}]+{_CLOSE}|\\d+)[ -]*")
+    return _bound(F.regexp_extract_all(run, groups, F.lit(0)), marked)
+
+
 def _card(value: Column, key: str) -> Column:
     """The first digit (the network) stays, the others but the last are
     permuted, the last is the check digit of the new number. A number that
     fails its check is no card: unchanged."""
     d = digits_of(value)
     body = F.substr(d, F.lit(2), F.length(d) - 2)
-    valid = luhn_sum(d, F.length(d) % 2 == 0) % 10 == 0
     new = F.concat(F.substr(d, F.lit(1), F.lit(1)), permute_text(body, key, "card"))
     check = F.pmod(-luhn_sum(new, F.length(new) % 2 == 1), F.lit(10))
-    return F.when(valid, put_digits(value, F.concat(new, check.cast("string")))).otherwise(value)
+    return F.when(_valid_card(value), put_digits(value, F.concat(new, check.cast("string")))).otherwise(value)
 
 
 def _phone(value: Column, key: str) -> Column:
@@ -219,8 +288,9 @@ SHAPES = {
     "ssn": r"^\d{3}-\d{2}-\d{4}$",
     "date": r"^(?:\d{4}-\d\d-\d\d|\d\d/\d\d/\d{4}|\d\d\.\d\d\.\d{4})$",
     "phone": r"^(?:\+1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}$",
-    "card": r"^\d(?:[ -]?\d){12,18}$",
+    "card": CARD,
 }
+RUN = r"^\d[\d -]{11,}\d$"
 
 
 def pseudonymise(docs: DataFrame, key: str = DEFAULT_KEY, text_col: str = "text") -> DataFrame:
@@ -246,11 +316,25 @@ def pseudonymise(docs: DataFrame, key: str = DEFAULT_KEY, text_col: str = "text"
             new = F.when(v.rlike(shape), PERMUTE[k](v, key)).otherwise(new)
         return F.struct(kind.alias("kind"), v.alias("old"), new.alias("value"))
 
-    found = found.withColumn("__new", F.transform("__values", classify))
-    pieces = F.split(text, ANY, -1)
-    joined = F.array_join(F.zip_with(
-        pieces, F.col("__new")["value"], lambda p, v: F.concat(p, F.coalesce(v, F.lit("")))), "")
-    changed = F.filter(F.coalesce(F.col("__new"), F.array().cast("array<struct<kind:string,old:string,value:string>>")),
+    def between(pieces: Column, values: Column) -> Column:
+        return F.array_join(F.zip_with(pieces, values, lambda p, v: F.concat(p, F.coalesce(v, F.lit("")))), "")
+
+    def parts(v: Column) -> Column:
+        """What a found value holds: a run several things, others themselves."""
+        def of_run(m: Column) -> Column:
+            held = F.transform(F.regexp_extract_all(m, F.lit(IN_RUN), F.lit(0)),
+                               lambda x: classify(F.regexp_replace(x, f"[{_OPEN}{_CLOSE}]", "")))
+            return _bound(held, lambda h: F.struct(
+                h.alias("items"), between(F.split(m, IN_RUN, -1), h["value"]).alias("value")))
+        single = _bound(classify(v), lambda c: F.struct(F.array(c).alias("items"), c["value"].alias("value")))
+        # A number of one group or format is found whole.
+        plain = v.rlike(SHAPES["phone"]) | ~v.rlike(RUN)
+        return F.when(plain, single).otherwise(_bound(mark_cards(v), of_run))
+
+    found = found.withColumn("__new", F.transform("__values", parts))
+    joined = between(F.split(text, ANY, -1), F.col("__new")["value"])
+    changed = F.filter(F.coalesce(F.flatten(F.col("__new")["items"]),
+                                  F.array().cast("array<struct<kind:string,old:string,value:string>>")),
                        lambda x: x["value"] != x["old"])
     return (found
             .withColumn("pii_values", F.transform(changed, lambda x: F.struct(x["kind"].alias("kind"), x["value"].alias("value"))))
