@@ -8,11 +8,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from verity.llm.bands import score_quality
 from verity.llm.bpe import round_trip
+from verity.llm.centroids import cluster_vectors
+from verity.llm.counts import token_counts
 from verity.llm.ctw import score_texts
 from verity.llm.embed import near_duplicate_vectors
+from verity.llm.fim import fill_in_middle, restored
 from verity.llm.licenses import BLOCK, PHRASES, TEMPLATES, scan, template_words
 from verity.llm.minhash import near_duplicates
 from verity.llm.mixing import mix_plan
@@ -71,6 +75,20 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(documents(spark, sf_dir).select("doc_id", "text")).drop("text", "notices")
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return restored(fill_in_middle(documents(spark, sf_dir))).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_tree_bpe": op2_tree_bpe,
@@ -82,6 +100,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_compression_bands": op8_compression_bands,
     "op9_toxic_neighbours": op9_toxic_neighbours,
     "op10_license_scan": op10_license_scan,
+    "op11_token_counts": op11_token_counts,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_centroids": op13_centroids,
 }
 
 OP6_SQL = r"""
@@ -176,8 +197,67 @@ SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, c AS component_id, doc_id =
 FROM s JOIN least_one ON id = doc_id
 """
 
+OP12_SQL = r"""
+WITH units AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+         sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS d FROM documents),
+numbers AS (
+  SELECT *, len(u) AS n, [CAST('0x' || substr(d, 8 * i + 1, 8) AS BIGINT) FOR i IN range(4)] AS h FROM units),
+cuts AS (
+  SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+         CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                OR h[3] % 100 >= 90 THEN 'plain'
+              WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM numbers),
+pieces AS (
+  SELECT *, array_to_string(u[:a], '') AS p, array_to_string(u[a + 1:b], '') AS m,
+         array_to_string(u[b + 1:], '') AS s FROM cuts)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM pieces
+"""
+
+
+def _op13_sql(k: int = 40, dims: int = 64, rounds: int = 5) -> str:
+    """Every distance anew in every round; a vector is a row of ``v``."""
+    parts = [f"""
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id,
+         [CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT) FOR c IN embedding] AS x FROM embeddings
+  WHERE len(embedding) = {dims} AND len([c FOR c IN embedding IF isfinite(c)]) = {dims}),
+c0 AS (
+  SELECT CAST(row_number() OVER (ORDER BY sha256('2:' || coalesce(CAST(vec_id AS VARCHAR), '')), vec_id, x) - 1
+              AS INTEGER) AS c, x AS m
+  FROM v QUALIFY c < {k})"""]
+    for i in range(rounds + 1):
+        parts.append(f"""
+a{i} AS MATERIALIZED (
+  SELECT r, vec_id, x, c AS cluster, m, d AS distance
+  FROM (SELECT *, list_sum([CAST((x[j] - m[j]) * (x[j] - m[j]) AS BIGINT) FOR j IN range(1, {dims} + 1)]) AS d
+        FROM v, c{i})
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, c) = 1)""")
+        if i < rounds:
+            parts.append(f"""
+c{i + 1} AS (
+  SELECT c, coalesce(new, m) AS m FROM c{i} LEFT JOIN (
+    SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY j) AS new FROM (
+      SELECT cluster, j, CAST(sum(x[j]) AS BIGINT) AS s, count(*) AS n
+      FROM a{i}, range(1, {dims} + 1) t(j) GROUP BY cluster, j) GROUP BY cluster) ON c = cluster)""")
+    return ",".join(parts) + f"""
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance,
+       CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(m, ',')) AS centroid_sha256
+FROM a{rounds}
+"""
+
+
 ORACLE: dict[str, str] = {
     "op1_minhash_dedup": OP1_SQL,
     "op10_license_scan": _op10_sql(),
     "op6_source_mix": OP6_SQL,
+    "op12_fill_in_middle": OP12_SQL,
+    "op13_centroids": _op13_sql(),
 }
