@@ -35,11 +35,14 @@ def parse(argv: list[str]) -> argparse.Namespace:
     ap.add_argument("--merge", action="store_true", help="merge with stored rows of the same days")
     ap.add_argument("--merge-scope", choices=["days", "table"], default="days",
                     help="table: also rewrite days holding older copies of the batch's ids")
-    ap.add_argument("--curated-db", default="curated", help="catalog-and-publish: database of the curated tables")
-    ap.add_argument("--rejected-db", default="rejected", help="catalog-and-publish: database of the rejected table")
+    ap.add_argument("--curated-db", default="curated", help="database of the curated tables, in either stage")
+    ap.add_argument("--rejected-db", default="rejected", help="database of the rejected table, in either stage")
     ap.add_argument("--table", action="append",
                     help="catalog-and-publish: repair only this partitioned table (repeatable)")
     ap.add_argument("--no-register", action="store_true", help="skip catalog registration")
+    ap.add_argument("--release", action="store_true",
+                    help="write aside and point the catalog to the run's outputs after the last write")
+    ap.add_argument("--rollups", action="store_true", help="keep per-day totals of the curated rows")
     ap.add_argument("--materialize", choices=["staged", "persist"], default="staged",
                     help="staged: checked rows as Parquet under spark.checkpoint.dir")
     return ap.parse_args(argv)
@@ -65,8 +68,9 @@ def main(argv: list[str] | None = None) -> dict:
     config = replace(config, min_date=args.min_date or config.min_date,
                      max_date=args.max_date or config.max_date, ceiling_mode=args.ceiling_mode)
     counts = run_batch(spark, paths, args.run_id, config, register=not args.no_register,
-                       merge=args.merge, merge_scope=args.merge_scope,
-                       materialize=args.materialize)
+                       merge=args.merge, merge_scope=args.merge_scope, materialize=args.materialize,
+                       release=args.release, rollups=args.rollups, curated_db=args.curated_db,
+                       rejected_db=args.rejected_db)
     print(json.dumps(counts))
     return counts
 

@@ -52,8 +52,12 @@ def _monthly(curated: DataFrame, start=None, end=None) -> DataFrame:
 
 def monthly_revenue(curated: DataFrame, start=None, end=None) -> DataFrame:
     """Q1: revenue and order count per year and month."""
-    return (_monthly(curated, start, end)
-            .select("year", "month", _money("revenue").alias("revenue"), "orders")
+    return monthly_revenue_of(_monthly(curated, start, end))
+
+
+def monthly_revenue_of(monthly: DataFrame) -> DataFrame:
+    """Q1 from one row per month (year, month, revenue, orders)."""
+    return (monthly.select("year", "month", _money("revenue").alias("revenue"), "orders")
             .orderBy("year", "month"))
 
 
@@ -61,9 +65,13 @@ def mom_growth(curated: DataFrame, start=None, end=None) -> DataFrame:
     """Q5: change against the previous month present in the data. The
     unpartitioned window runs on the monthly aggregate only (one row per
     month), never on transaction rows."""
+    return mom_growth_of(_monthly(curated, start, end))
+
+
+def mom_growth_of(monthly: DataFrame) -> DataFrame:
+    """Q5 from one row per month."""
     w = Window.orderBy("year", "month")
-    m = _monthly(curated, start, end)
-    return (m.select("year", "month", _money("revenue").alias("revenue"),
+    return (monthly.select("year", "month", _money("revenue").alias("revenue"),
                      _money(F.col("revenue") - F.lag("revenue").over(w)).alias("mom_change"))
             .orderBy("year", "month"))
 
@@ -88,9 +96,16 @@ def top_products(curated: DataFrame, products: DataFrame, k: int | None = 10,
     ``measure``: revenue, orders (``transaction_count``) or units
     (``units_sold``). ``k=None`` returns every product.
     """
+    return top_products_of(_per_product(_date_range(curated, start, end)), products, k, measure, by,
+                           broadcast_max_rows)
+
+
+def top_products_of(per_id: DataFrame, products: DataFrame, k: int | None = 10, measure: str = "revenue",
+                    by: str = "name", broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+    """Q2 from one row of totals per product id."""
     col = MEASURES[measure]
     keys = ["product_name"] if by == "name" else ["product_id", "product_name"]
-    per_id = _per_product(_date_range(curated, start, end)).select("product_id", col)
+    per_id = per_id.select("product_id", col)
     dim = _dim(products, ("product_id", "product_name"), broadcast_max_rows)
     out = per_id.join(dim, "product_id").groupBy(*keys).agg(F.sum(col).alias(col))
     if measure == "revenue":
@@ -104,10 +119,16 @@ def top_customers(curated: DataFrame, customers: DataFrame, k: int | None = 20,
                   start=None, end=None) -> DataFrame:
     """Q3 (k=20) and the k=10 variant: lifetime spend and orders."""
     per_id = _date_range(curated, start, end).groupBy("customer_id").agg(
-        F.sum("amount").alias("lifetime_spend"), F.count(F.lit(1)).alias("orders"))
+        F.sum("amount").alias("revenue"), F.count(F.lit(1)).alias("transaction_count"))
+    return top_customers_of(per_id, customers, k, broadcast_max_rows)
+
+
+def top_customers_of(per_id: DataFrame, customers: DataFrame, k: int | None = 20,
+                     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+    """Q3 from one row of totals per customer id."""
     dim = _dim(customers, ("customer_id", "customer_name"), broadcast_max_rows)
     out = (per_id.join(dim, "customer_id").groupBy("customer_id", "customer_name")
-           .agg(F.sum("lifetime_spend").alias("lifetime_spend"), F.sum("orders").alias("orders"))
+           .agg(F.sum("revenue").alias("lifetime_spend"), F.sum("transaction_count").alias("orders"))
            .select("customer_id", "customer_name", _money("lifetime_spend").alias("lifetime_spend"),
                    "orders"))
     ordered = out.orderBy(F.col("lifetime_spend").desc(), F.col("customer_id").asc(),
@@ -120,11 +141,15 @@ def avg_order_value(curated: DataFrame, products: DataFrame,
                     start=None, end=None) -> DataFrame:
     """Q4: average amount per category, rounded to cents, from an exact sum
     and count (engines disagree on the type of a decimal AVG)."""
-    per_id = _date_range(curated, start, end).groupBy("product_id").agg(
-        F.sum("amount").alias("s"), F.count(F.lit(1)).alias("n"))
+    return avg_order_value_of(_per_product(_date_range(curated, start, end)), products, broadcast_max_rows)
+
+
+def avg_order_value_of(per_id: DataFrame, products: DataFrame,
+                       broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+    """Q4 from one row of totals per product id."""
     dim = _dim(products, ("product_id", "category"), broadcast_max_rows)
     out = (per_id.join(dim, "product_id")
-           .groupBy("category").agg(F.sum("s").alias("s"), F.sum("n").alias("orders")))
+           .groupBy("category").agg(F.sum("revenue").alias("s"), F.sum("transaction_count").alias("orders")))
     return (out.select("category",
                        F.round(_money("s") / F.col("orders"), 2).alias("avg_order_value"),
                        "orders")

@@ -145,3 +145,57 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether the file system has the path; any error to find out is raised."""
     hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))
+
+
+def versions_root(path: str) -> str:
+    """The folder beside a table's path that holds versions of its data."""
+    return f"{path.rstrip('/')}.versions"
+
+
+def rename_path(spark: SparkSession, old: str, new: str) -> None:
+    """Rename a folder; an error if the file system does not."""
+    jvm = spark.sparkContext._jvm
+    source, target = jvm.org.apache.hadoop.fs.Path(old), jvm.org.apache.hadoop.fs.Path(new)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(target.getParent())
+    if not fs.rename(source, target):
+        raise OSError(f"could not rename {old} to {new}")
+
+
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly under a path; none if it is not there."""
+    if not path_exists(spark, path):
+        return []
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in fs.listStatus(hpath) if s.isDirectory()]
+
+
+def swap_path(spark: SparkSession, new: str, path: str) -> None:
+    """Put a finished folder in the place of another. The old one is moved
+    aside first and comes back if the new one cannot be moved in."""
+    aside = f"{new.rstrip('/')}.replaced"
+    held = path_exists(spark, path)
+    if held:
+        rename_path(spark, path, aside)
+    try:
+        rename_path(spark, new, path)
+    except Exception:
+        if held:
+            rename_path(spark, aside, path)
+        raise
+    if held:
+        remove_path(spark, aside)
+
+
+def source_roots(df) -> list[str]:
+    """The paths the frame's file scans were opened with; no file is listed."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    roots = []
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.getClass().getSimpleName() == "LogicalRelation" \
+                and leaf.relation().getClass().getSimpleName() == "HadoopFsRelation":
+            paths = leaf.relation().location().rootPaths()
+            roots += [paths.apply(j).toString() for j in range(paths.size())]
+    return roots

@@ -16,7 +16,8 @@ import datetime as dt
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,7 +25,7 @@ from verity import constants as K
 from verity import schemas
 from verity.functions.names import standardize_column_names
 from verity.operators.conform import conform
-from verity.session import ensure_checkpoint_dir, qualified, remove_path
+from verity.session import path_exists, qualified, remove_path, source_roots, swap_path, versions_root
 
 
 def configure_dynamic_overwrite(spark: SparkSession) -> None:
@@ -34,40 +35,79 @@ def configure_dynamic_overwrite(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
 
 
-def _partitioned_write(df: DataFrame, path: str, partition_by: Sequence[str],
-                       max_records_per_file: int | None = None) -> None:
-    w = (df.hint("rebalance", *partition_by).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by))
+class Written:
+    """Row count and partitions of a frame, gathered by the write that
+    consumes it: one small row at the end, no second pass. Put last before
+    the write, so that its tasks are the writing ones, whose figures Spark
+    counts once however often a stage is repeated. The partitions of a batch
+    are bounded by the calendar (or are one run)."""
+
+    def __init__(self, columns: Sequence[str] = ()):
+        self.columns, self.seen = tuple(columns), Observation()
+
+    def of(self, df: DataFrame) -> DataFrame:
+        parts = [F.collect_set(F.struct(*self.columns)).alias("parts")] if self.columns else []
+        return df.observe(self.seen, F.count(F.lit(1)).alias("n"), *parts)
+
+    def _row(self) -> dict:
+        try:
+            return self.seen.get
+        except Py4JJavaError as e:
+            # A frame that AQE found empty was planned away with its
+            # observation, whose row has no schema: Spark asserts against it.
+            if e.java_exception.getClass().getName() != "java.lang.AssertionError":
+                raise
+            return {}
+
+    def rows(self) -> int:
+        return int(self._row().get("n") or 0)
+
+    def partitions(self) -> list[dict[str, str]]:
+        found = self._row().get("parts") or []
+        return sorted(({c: p[c] for c in self.columns} for p in found),
+                      key=lambda p: [p[c] or "" for c in self.columns])
+
+
+def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str], rebalance: Sequence[str] | None = None,
+                      max_records_per_file: int | None = None) -> Written:
+    """K1: replace the partitions present in the frame, and only these.
+    ``rebalance``: the columns that deal the rows to tasks (default: the
+    partition columns). Returns what was written."""
+    written = Written(partition_by)
+    w = (written.of(df.hint("rebalance", *(partition_by if rebalance is None else rebalance)))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by))
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     w.parquet(path)
+    return written
 
 
-def write_curated(df: DataFrame, path: str, max_records_per_file: int | None = 5_000_000) -> None:
+def write_curated(df: DataFrame, path: str, max_records_per_file: int | None = 5_000_000) -> Written:
     """K2: curated facts, partitioned by year, month, day (text)."""
-    _partitioned_write(df.select(*schemas.names(schemas.CURATED_TRANSACTIONS)), path,
-                       K.PARTITION_COLUMNS, max_records_per_file)
-
-
-# Characters that a partition folder's name holds as %XX.
-ESCAPED = frozenset("\"#%'*/:=?\\\x7f{}[]^") | frozenset(map(chr, range(1, 32)))
-
-
-def run_folder(path: str, run_id: str) -> str:
-    name = "".join(f"%{ord(c):02X}" if c in ESCAPED else c for c in run_id)
-    return f"{path.rstrip('/')}/run_id={name}"
+    return write_partitioned(df.select(*schemas.names(schemas.CURATED_TRANSACTIONS)), path,
+                             K.PARTITION_COLUMNS, max_records_per_file=max_records_per_file)
 
 
 def write_rejected(df: DataFrame, path: str, run_id: str,
-                   max_records_per_file: int | None = 5_000_000) -> None:
-    """K3: rejected rows of one run under ``run_id=<id>``. The run's folder
-    itself is overwritten, so a rerun without rejects leaves none behind. The
-    rows are rebalanced without a key: a run is one partition."""
-    columns = [c for c in schemas.names(schemas.REJECTED_TRANSACTIONS) if c != "run_id"]
-    w = df.select(*columns).hint("rebalance").write.mode("overwrite")
-    if max_records_per_file:
-        w = w.option("maxRecordsPerFile", max_records_per_file)
-    w.parquet(run_folder(path, run_id))
+                   max_records_per_file: int | None = 5_000_000) -> Written:
+    """K3: rejected rows of one run under ``run_id=<id>``, which all of them
+    must carry. Dynamic overwrite replaces the run's folder; a rerun without
+    rejects empties it. The rows are rebalanced without a key: a run is one
+    partition."""
+    spark = df.sparkSession
+    written = write_partitioned(df.select(*schemas.names(schemas.REJECTED_TRANSACTIONS)), path, ("run_id",), (),
+                                max_records_per_file)
+    if not written.partitions():
+        stale = run_folder(spark, path, run_id)
+        if path_exists(spark, stale):
+            spark.createDataFrame([], schemas.REJECTED_TRANSACTIONS).drop("run_id").write.mode("overwrite").parquet(stale)
+    return written
+
+
+def run_folder(spark: SparkSession, path: str, run_id: str) -> str:
+    """The folder Spark gives the partition of a run."""
+    name = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(run_id)
+    return f"{path.rstrip('/')}/run_id={name}"
 
 
 def metrics_frame(spark: SparkSession, counts: dict, stage: str, run_id: str,
@@ -94,16 +134,17 @@ def publish_frame(df: DataFrame, schema: T.StructType, key: str) -> DataFrame:
 
 def publish_dimension(df: DataFrame, schema: T.StructType, key: str, path: str) -> None:
     """K5: republish a dimension in full. Refuses a path the frame reads from,
-    however either is spelt. The typed rows are staged before the old table is
-    replaced, so a failing cast or read leaves it as it was."""
+    however either is spelt. The typed rows are written once, beside the path,
+    and the finished folder is put in its place, so a failing cast or read
+    leaves the old rows and no reader finds a half-written table."""
     spark = df.sparkSession
     target = qualified(spark, path) + "/"
-    if any((qualified(spark, f) + "/").startswith(target) for f in {f.rsplit("/", 1)[0] for f in df.inputFiles()}):
+    if any((qualified(spark, root) + "/").startswith(target) for root in source_roots(df)):
         raise ValueError(f"{path} is an input of the frame being published")
-    staging = f"{ensure_checkpoint_dir(spark).rstrip('/')}/verity-publish-{uuid.uuid4().hex}"
+    fresh = f"{versions_root(path)}/{uuid.uuid4().hex}"
     try:
-        frame = publish_frame(df, schema, key)
-        frame.write.parquet(staging)
-        spark.read.schema(frame.schema).parquet(staging).write.mode("overwrite").parquet(path)
+        publish_frame(df, schema, key).write.parquet(fresh)
+        swap_path(spark, fresh, path)
+        spark.catalog.refreshByPath(path)
     finally:
-        remove_path(spark, staging)
+        remove_path(spark, fresh)

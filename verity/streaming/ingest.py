@@ -11,9 +11,10 @@ from verity.plans.pipeline import CurationConfig
 
 def start_ingest(spark: SparkSession, paths: BatchPaths, checkpoint_location: str,
                  config: CurationConfig | None = None, run_prefix: str = "stream",
-                 available_now: bool = True, max_files_per_trigger: int | None = None
-                 ) -> StreamingQuery:
+                 available_now: bool = True, max_files_per_trigger: int | None = None,
+                 merge_scope: str = "days", **batch_options) -> StreamingQuery:
     """Start the stream; returns the query (``awaitTermination()`` to wait).
+    ``batch_options`` go to every ``run_batch``.
 
     A streaming file source maps columns by position, so landed files must
     carry the declared raw column order (the batch reader also matches
@@ -30,7 +31,7 @@ def start_ingest(spark: SparkSession, paths: BatchPaths, checkpoint_location: st
 
     def process(batch: DataFrame, batch_id: int) -> None:
         run_batch(batch.sparkSession, paths, f"{run_prefix}-{batch_id}", config,
-                  merge=True, transactions=batch)
+                  merge=True, merge_scope=merge_scope, transactions=batch, **batch_options)
 
     writer = stream.writeStream.foreachBatch(process).option("checkpointLocation",
                                                              checkpoint_location)
