@@ -127,7 +127,7 @@ def test_run_batch_all_rows_rejected(spark, tmpdir_path):
 
 def test_catalog_sql_matches_dataframe_analytics(spark, tmpdir_path):
     from verity.plans import analytics as A
-    from verity.plans.sql import CATALOG_QUERIES, run_catalog_query
+    from verity.plans.sql import CATALOG_QUERIES, CATALOG_VIEWS, register_views, run_catalog_query
     rows = [txn(f"T{i}", date=f"2025-0{1 + i % 3}-1{i % 9}", amount=f"{10 + i * 3}.50",
                 cust=f"C{1 + i % 2}", src=f"s{i % 2}.csv") for i in range(40)]
     rows += [txn("X1", amount="-1"), txn("X2", cust="C9"), txn("X3", date="bad")]
@@ -145,10 +145,14 @@ def test_catalog_sql_matches_dataframe_analytics(spark, tmpdir_path):
         "run_health": A.run_health(spark.table("curated.run_metrics")),
         "curated_count": A.curated_count(cur),
     }
-    assert set(frames) == set(CATALOG_QUERIES)
+    assert set(frames) == set(CATALOG_QUERIES) | set(CATALOG_VIEWS)
     for name, df in frames.items():
         assert [tuple(r) for r in df.collect()] == \
             [tuple(r) for r in run_catalog_query(spark, name).collect()], name
+        plan = run_catalog_query(spark, name)._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" not in plan and "NestedLoop" not in plan, name
+    assert "verity_reject_rate" in register_views(spark)
+    assert spark.sql("SELECT count(*) FROM verity_monthly_revenue").first()[0] == frames["monthly_revenue"].count()
     # A year filter prunes partitions at the scan.
     plan = A.monthly_revenue(cur, start="2025-02-01")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year" in plan

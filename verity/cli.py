@@ -32,6 +32,8 @@ def parse(argv: list[str]) -> argparse.Namespace:
     ap.add_argument("--min-date")
     ap.add_argument("--max-date")
     ap.add_argument("--ceiling-mode", choices=["exact", "approx", "stat"], default="exact")
+    ap.add_argument("--ceiling-scope", choices=["batch", "history"], default="batch",
+                    help="history: over the amounts of every run so far")
     ap.add_argument("--merge", action="store_true", help="merge with stored rows of the same days")
     ap.add_argument("--merge-scope", choices=["days", "table"], default="days",
                     help="table: also rewrite days holding older copies of the batch's ids")
@@ -66,7 +68,8 @@ def main(argv: list[str] | None = None) -> dict:
         raise SystemExit("--run-id is required for clean-and-curate")
     config = CurationConfig()
     config = replace(config, min_date=args.min_date or config.min_date,
-                     max_date=args.max_date or config.max_date, ceiling_mode=args.ceiling_mode)
+                     max_date=args.max_date or config.max_date, ceiling_mode=args.ceiling_mode,
+                     ceiling_scope=args.ceiling_scope)
     counts = run_batch(spark, paths, args.run_id, config, register=not args.no_register,
                        merge=args.merge, merge_scope=args.merge_scope, materialize=args.materialize,
                        release=args.release, rollups=args.rollups, curated_db=args.curated_db,

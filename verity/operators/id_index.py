@@ -40,10 +40,16 @@ def _rows(table: DataFrame, key: str, day: Sequence[str], run: str, buckets: int
                         bucket_of(F.col(key).cast("string"), buckets).alias("bucket"), F.lit(run).alias("run"))
 
 
-def _write(rows: DataFrame, path: str) -> None:
-    """Sorted by id within a file, so that Parquet's statistics help a lookup."""
-    (rows.hint("rebalance", "bucket").sortWithinPartitions("bucket", "id").write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "run").parquet(path))
+def _write(rows: DataFrame, path: str, fresh: bool = False) -> None:
+    """Sorted by id within a file, so that Parquet's statistics help a lookup.
+    Tasks put files into a new folder themselves; into one in use, the driver
+    moves them at the end."""
+    w = rows.hint("rebalance", "bucket").sortWithinPartitions("bucket", "id").write.partitionBy("bucket", "run")
+    if fresh:
+        w = w.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+    else:
+        w = w.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    w.parquet(path)
 
 
 def build_index(table: DataFrame, root: str, key: str, day: Sequence[str], buckets: int = BUCKETS) -> None:
@@ -51,7 +57,7 @@ def build_index(table: DataFrame, root: str, key: str, day: Sequence[str], bucke
     path = index_path(root, buckets)
     fresh = f"{path}.new"
     remove_path(table.sparkSession, fresh)
-    _write(_rows(table, key, day, "table", buckets), fresh)
+    _write(_rows(table, key, day, "table", buckets), fresh, fresh=True)
     swap_path(table.sparkSession, fresh, path)
 
 

@@ -7,7 +7,6 @@ are expected as views; the fixture views and the pipeline are CTEs.
 from __future__ import annotations
 
 from verity import constants as K
-from verity.operators.profile import DEFAULT_CANDIDATES
 from verity.sources.fixtures import FIXTURE_MAX_DATE, FIXTURE_MIN_DATE
 
 FIXTURES = r"""
@@ -121,6 +120,13 @@ def _with(body: str) -> str:
     return "WITH " + FIXTURES.strip() + ",\n" + PIPELINE.strip() + "\n" + body.strip()
 
 
+# What a value of each candidate type looks like, and the type it must cast to.
+SHAPES = (("bigint", "^[+-]?[0-9]+$", "BIGINT"),
+          ("double", "^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$", "DOUBLE"),
+          ("date", "^[0-9]{4}(-[0-9]{2}){2}$", "DATE"),
+          ("timestamp", "^[0-9]{4}(-[0-9]{2}){2}[ T][0-9]{2}(:[0-9]{2}){2}([.][0-9]{1,6})?$", "TIMESTAMP"))
+
+
 def _profile_sql() -> str:
     cols = ["transaction_id", "customer_id", "product_id", "transaction_date", "amount",
             "quantity", "promo_code", "ingestion_timestamp", "source_file"]
@@ -129,8 +135,8 @@ def _profile_sql() -> str:
         text = f"CAST({c} AS VARCHAR)"
         counts = ", ".join(
             f"COUNT(*) FILTER (WHERE regexp_matches({text}, '{shape}') "
-            f"AND TRY_CAST({text} AS {cast.upper()}) IS NOT NULL) AS n_{name}"
-            for name, shape, cast in DEFAULT_CANDIDATES)
+            f"AND TRY_CAST({text} AS {cast}) IS NOT NULL) AS n_{name}"
+            for name, shape, cast in SHAPES)
         parts.append(f"SELECT '{c}' AS column_name, COUNT(*) AS n_rows, "
                      f"COUNT(*) FILTER (WHERE {text} IS NULL) AS n_null, {counts}, "
                      f"'string' AS declared_type FROM raw_transactions")
@@ -294,3 +300,125 @@ SELECT (SELECT COUNT(*) FROM a) AS rows_a, (SELECT COUNT(*) FROM b) AS rows_b,
        (SELECT COUNT(*) FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)) AS only_b,
        NOT EXISTS (SELECT * FROM a EXCEPT ALL SELECT * FROM b)
          AND NOT EXISTS (SELECT * FROM b EXCEPT ALL SELECT * FROM a) AS identical"""
+
+
+def _over(raw: str, body: str, customers: str | None = None) -> str:
+    """``body`` over the pipeline with other raw transactions (a SELECT over
+    ``raw_all``) and perhaps other customers (over ``customers_all``)."""
+    fixtures = FIXTURES.strip().replace("raw_transactions AS (", "raw_all AS (")
+    if customers:
+        fixtures = fixtures.replace("customers AS (", "customers_all AS (", 1) + f",\ncustomers AS ({customers})"
+    return f"WITH {fixtures},\nraw_transactions AS ({raw}),\n{PIPELINE.strip()}\n{body.strip()}"
+
+
+# A merge that moves rows: the late batch wins for its ids, wherever they were.
+MONTH_DATE = r"""regexp_replace(regexp_replace(transaction_date, '^(\d{4}-\d\d)-\d\d$', '\1-01'),
+                 '^(\d\d)/\d\d/(\d{4})$', '\1/01/\2')"""
+MONTHS = f"SELECT * REPLACE ({MONTH_DATE} AS transaction_date) FROM raw_all"
+LATE = f"""SELECT * REPLACE (
+  CASE WHEN quantity % 2 = 0 THEN '1996-03-05' ELSE {MONTH_DATE} END AS transaction_date,
+  '2002-02-02 00:00:00' AS ingestion_timestamp, 'late.csv' AS source_file)
+FROM raw_all WHERE quantity % 7 = 3"""
+MERGED = f"""first_run AS ({_over(MONTHS, "SELECT * FROM curated")}),
+late_run AS ({_over(LATE, "SELECT * REPLACE ('fixture-late' AS run_id) FROM curated")}),
+merged AS (SELECT * FROM late_run
+           UNION ALL SELECT * FROM first_run WHERE transaction_id NOT IN (SELECT transaction_id FROM late_run)),
+dim_customers AS ({_with("SELECT * FROM pub_customers")}),
+dim_products AS ({_with("SELECT * FROM pub_products")})"""
+
+
+def _merged(body: str) -> str:
+    return f"WITH {MERGED}\n{body.strip()}"
+
+
+ORACLE["merge_moves"] = _merged("SELECT * REPLACE (CAST(amount AS DOUBLE) AS amount) FROM merged")
+ORACLE["released_rejects"] = f"""
+SELECT 'fixture' AS run_id, reject_reason, COUNT(*) AS rows_rejected
+FROM ({_with("SELECT * FROM rejected")}) GROUP BY reject_reason
+UNION ALL SELECT 'fixture-late', reject_reason, COUNT(*)
+FROM ({_over(LATE, "SELECT * FROM rejected")}) GROUP BY reject_reason"""
+_METRICS = """SELECT '{run}' AS run_id, '{stage}' AS stage, (SELECT COUNT(*) FROM tagged) AS raw_count,
+  (SELECT COUNT(*) FROM rejected) AS rejected_count, (SELECT COUNT(*) FROM curated) AS curated_count"""
+ORACLE["released_metrics"] = (
+    f"SELECT * FROM ({_with(_METRICS.format(run='fixture', stage=K.STAGE_CLEAN_AND_CURATE))}) UNION ALL "
+    f"SELECT * FROM ({_over(LATE, _METRICS.format(run='fixture-late', stage=K.STAGE_CLEAN_AND_CURATE))})")
+ORACLE["rollup_monthly_revenue"] = _merged("""
+SELECT year, month, CAST(SUM(amount) AS DOUBLE) AS revenue, COUNT(*) AS orders FROM merged GROUP BY year, month""")
+ORACLE["rollup_mom_growth"] = _merged("""
+SELECT year, month, CAST(revenue AS DOUBLE) AS revenue,
+       CAST(revenue - LAG(revenue) OVER (ORDER BY year, month) AS DOUBLE) AS mom_change
+FROM (SELECT year, month, SUM(amount) AS revenue FROM merged GROUP BY year, month)""")
+ORACLE["rollup_top_products"] = _merged("""
+SELECT product_name, CAST(SUM(amount) AS DOUBLE) AS revenue FROM merged JOIN dim_products USING (product_id)
+GROUP BY product_name ORDER BY revenue DESC, product_name LIMIT 10""")
+ORACLE["rollup_top_customers"] = _merged("""
+SELECT customer_id, customer_name, CAST(SUM(amount) AS DOUBLE) AS lifetime_spend, COUNT(*) AS orders
+FROM merged JOIN dim_customers USING (customer_id) GROUP BY customer_id, customer_name
+ORDER BY lifetime_spend DESC, customer_id, customer_name LIMIT 20""")
+ORACLE["rollup_avg_order_value"] = _merged("""
+SELECT category, ROUND(CAST(SUM(amount) AS DOUBLE) / COUNT(*), 2) AS avg_order_value, COUNT(*) AS orders
+FROM merged JOIN dim_products USING (product_id) GROUP BY category""")
+ORACLE["run_difference_by_day"] = _merged("""
+, one AS (SELECT * FROM first_run EXCEPT ALL SELECT * FROM merged),
+two AS (SELECT * FROM merged EXCEPT ALL SELECT * FROM first_run),
+days AS (SELECT year, month, day FROM one UNION SELECT year, month, day FROM two)
+SELECT *, (SELECT COUNT(*) FROM first_run t WHERE (t.year, t.month, t.day) = (d.year, d.month, d.day)) AS rows_a,
+       (SELECT COUNT(*) FROM merged t WHERE (t.year, t.month, t.day) = (d.year, d.month, d.day)) AS rows_b,
+       (SELECT COUNT(*) FROM one t WHERE (t.year, t.month, t.day) = (d.year, d.month, d.day)) AS only_a,
+       (SELECT COUNT(*) FROM two t WHERE (t.year, t.month, t.day) = (d.year, d.month, d.day)) AS only_b
+FROM days d""")
+ORACLE["ceiling_by_day"] = _with("""
+SELECT CAST(quantile_disc(CASE WHEN year(transaction_date) = 1996 THEN amount::DECIMAL(18,2) ELSE 2 * amount::DECIMAL(18,2) END,
+                          0.99) * 3 AS DOUBLE) AS amount_ceiling FROM typed""")
+
+
+def _drift_sql() -> str:
+    landings = {"a": (0, ["transaction_id", "customer_id", "product_id", "transaction_date", "amount", "quantity",
+                          "promo_code", "ingestion_timestamp", "source_file"])}
+    declared = landings["a"][1]
+    landings["b"] = (1, declared[:4] + ["quantity", "amount"] + declared[6:])
+    landings["c"] = (2, [c for c in declared if c != "promo_code"] + ["channel_name"])
+    types = {"transaction_date": "DATE", "amount": "DECIMAL(10,2)", "quantity": "INTEGER",
+             "ingestion_timestamp": "TIMESTAMP"}
+    parts = []
+    for name, (rest, cols) in landings.items():
+        for i, c in enumerate(cols):
+            text = "'web'" if c == "channel_name" else f"NULLIF(CAST({c} AS VARCHAR), '')"
+            shapes = ", ".join(
+                f"COUNT(*) FILTER (WHERE regexp_matches({text}, '{shape}') AND TRY_CAST({text} AS {kind}) IS NOT NULL) "
+                f"AS n_{label}" for label, shape, kind in SHAPES)
+            fails = f"COUNT(*) FILTER (WHERE {text} IS NOT NULL AND TRY_CAST({text} AS {types[c]}) IS NULL)" \
+                if c in types else "CAST(NULL AS BIGINT)"
+            moved = c not in declared or declared.index(c) != i
+            parts.append(
+                f"SELECT '{name}' AS landing, '{c}' AS column_name, {i} AS position, {str(c in declared).lower()} AS declared, "
+                f"COUNT(*) AS n_rows, COUNT(*) FILTER (WHERE {text} IS NULL) AS n_null, {shapes}, {fails} AS n_uncastable, "
+                f"{str(moved).lower()} OR {fails if c in types else '0'} > 0 AS departs "
+                f"FROM raw_transactions WHERE quantity % 3 = {rest}")
+    zeros = ", ".join(f"0 AS n_{label}" for label, _, _ in SHAPES)
+    parts.append(f"SELECT 'c' AS landing, 'promo_code' AS column_name, NULL AS position, true AS declared, 0 AS n_rows, "
+                 f"0 AS n_null, {zeros}, CAST(NULL AS BIGINT) AS n_uncastable, true AS departs")
+    sums = ", ".join(f"CAST({c} AS BIGINT) AS {c}" for c in
+                     ("n_rows", "n_null", "n_bigint", "n_double", "n_date", "n_timestamp", "n_uncastable"))
+    return _with(f"SELECT landing, column_name, CAST(position AS INTEGER) AS position, declared, {sums}, departs FROM (\n"
+                 + "\nUNION ALL\n".join(parts) + ")")
+
+
+ORACLE["file_drift"] = _drift_sql()
+
+HARD = """SELECT * REPLACE (
+  CASE quantity % 10 WHEN 1 THEN 'not-a-time' WHEN 2 THEN '' WHEN 3 THEN '2025-02-30 10:00:00'
+       ELSE ingestion_timestamp END AS ingestion_timestamp,
+  CASE WHEN quantity % 10 = 4 THEN '1/5/1997' ELSE transaction_date END AS transaction_date,
+  CASE quantity % 10 WHEN 5 THEN 'NONE' WHEN 6 THEN '  ' ELSE promo_code END AS promo_code,
+  CASE WHEN quantity % 20 = 7 THEN NULL ELSE transaction_id END AS transaction_id)
+FROM raw_all"""
+PADDED = "SELECT * REPLACE (' ' || customer_id || '  ' AS customer_id) FROM customers_all"
+ORACLE["curated_hard"] = _over(HARD, CURATED_OUT, PADDED)
+ORACLE["rejected_hard"] = _over(
+    HARD, "SELECT * REPLACE (CAST(amount AS DOUBLE) AS amount) FROM rejected", PADDED)
+ORACLE["conform_raw"] = _over(HARD, """
+SELECT transaction_id, customer_id, product_id, TRY_CAST(transaction_date AS DATE) AS transaction_date,
+       CAST(TRY_CAST(amount AS DECIMAL(10,2)) AS DOUBLE) AS amount, quantity, promo_code,
+       TRY_CAST(ingestion_timestamp AS TIMESTAMP) AS ingestion_timestamp, source_file
+FROM raw_transactions""")

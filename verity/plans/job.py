@@ -13,6 +13,7 @@ import logging
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from verity import constants as K
 from verity import schemas
 from verity.operators.dedupe import dedupe
+from verity.operators.histogram import ceiling_of, read_value_counts, write_value_counts
 from verity.operators.id_index import add_to_index, build_index, has_index, lookup, read_index
 from verity.plans.pipeline import (
     DEDUPE_TIE_BREAK, CurationConfig, CurationResult, amount_ceiling, check_references, clean_and_curate,
@@ -35,7 +37,7 @@ from verity.sinks.catalog import (
 )
 from verity.sinks.release import Release, finish_pending
 from verity.sinks.writers import (
-    Written, metrics_frame, publish_dimension, publish_frame, write_curated, write_rejected,
+    Written, metrics_frame, publish_dimension, publish_frame, run_folder, write_curated, write_rejected,
     write_run_metrics,
 )
 from verity.sources.curated import read_curated
@@ -72,6 +74,11 @@ class BatchPaths:
         """Per-day rollups (kept once a batch has asked for them)."""
         return f"{self.curated.rstrip('/')}.daily"
 
+    @property
+    def amounts(self) -> str:
+        """Value counts of every run's amounts (for ``ceiling_scope="history"``)."""
+        return f"{self.curated.rstrip('/')}.amounts"
+
     @property
     def releases(self) -> str:
         """Records of runs published as a whole."""
@@ -164,6 +171,8 @@ def run_batch(spark: SparkSession, paths: BatchPaths, run_id: str,
         raise ValueError(f"unknown merge scope {merge_scope!r}")
     if materialize not in ("staged", "persist"):
         raise ValueError(f"unknown materialize mode {materialize!r}")
+    if config.ceiling_scope not in ("batch", "history"):
+        raise ValueError(f"unknown ceiling scope {config.ceiling_scope!r}")
     if release and not register:
         raise ValueError("a release is published through the catalog")
     if not release and path_exists(spark, paths.releases):
@@ -174,7 +183,10 @@ def run_batch(spark: SparkSession, paths: BatchPaths, run_id: str,
     scratch = staging_root(spark, run_id)
     with session_settings(spark, spark__sql__session__timeZone="UTC",
                           spark__sql__legacy__timeParserPolicy="CORRECTED",
-                          spark__sql__shuffle__partitions=shuffles):
+                          spark__sql__shuffle__partitions=shuffles,
+                          # By bytes alone a small batch over many days would be
+                          # coalesced into one task that writes every day's file.
+                          spark__sql__adaptive__coalescePartitions__enabled="false"):
         try:
             if transactions is None:
                 # Shuffle partitions sized from the raw input (only ever raised).
@@ -190,7 +202,8 @@ def run_batch(spark: SparkSession, paths: BatchPaths, run_id: str,
             else:
                 checked = checked.persist(storage_level)
             try:
-                ceiling = amount_ceiling(checked, config)
+                ceiling = amount_ceiling(checked, config) if config.ceiling_scope == "batch" \
+                    else _history_ceiling(checked, paths.amounts, run_id, config)
                 result = clean_and_curate(transactions, customers, products, run_id, config=config,
                                           ceiling=ceiling, checked=checked)
                 dimensions = {}
@@ -209,6 +222,20 @@ def run_batch(spark: SparkSession, paths: BatchPaths, run_id: str,
     return counts
 
 
+def _history_ceiling(checked: DataFrame, path: str, run_id: str, config: CurationConfig) -> Decimal:
+    """The ceiling over the amounts of every run so far, this one included: a
+    run's value counts replace what it left before, and the percentile is
+    found in the counts; no earlier run's rows are read."""
+    spark, by = checked.sparkSession, ("run_id",)
+    mine = checked.select("amount", F.lit(run_id).alias("run_id"))
+    if not write_value_counts(mine, path, "amount", by).partitions():
+        remove_path(spark, run_folder(spark, path, run_id))
+    counts = read_value_counts(spark, path, by)
+    found = ceiling_of(counts, config.ceiling_percentile, config.ceiling_factor, config.ceiling_fallback,
+                       schemas.MONEY.precision)
+    return found.first()["ceiling"]
+
+
 @dataclass
 class _Batch:
     """The output side of one run."""

@@ -39,6 +39,7 @@ class CurationConfig:
     ceiling_fallback: Decimal = K.CEILING_FALLBACK
     ceiling_mode: str = "exact"          # "approx" (one sketch pass) or "stat" (original call)
     ceiling_accuracy: int = 10_000
+    ceiling_scope: str = "batch"         # "history": over the stored counts of every run (run_batch)
     promo_default: str = K.PROMO_DEFAULT
     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS
     dedupe_keys: tuple[str, ...] = ("transaction_id",)

@@ -4,6 +4,8 @@ For users who keep their questions as SQL: after ``run_batch`` (or
 ``create_tables`` + ``repair_partitions``) these run unchanged through
 ``spark.sql``. They compute the same values as ``verity.plans.analytics``;
 money is summed exactly and cast to DOUBLE, top-k cuts have a tie-breaker.
+Questions over one table have no text of their own: ``register_views`` offers
+the DataFrame API's plans as views.
 
 A question that needs a dimension first totals the facts per key
 (``per_product``, ``per_customer``) and joins those totals, so a key that holds
@@ -11,8 +13,12 @@ much of the table meets the join as one row.
 """
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
+from verity.plans import analytics as A
+
 
 def _totals(name: str, key: str) -> str:
     return (f"WITH {name} AS (SELECT {key}, SUM(amount) AS money, COUNT(*) AS n, SUM(quantity) AS units "
@@ -30,10 +36,6 @@ def _by_product(measure: str, label: str, out: str) -> str:
 
 
 CATALOG_QUERIES: dict[str, str] = {
-    "monthly_revenue": """
-        FROM curated.transactions
-        |> AGGREGATE CAST(SUM(amount) AS DOUBLE) AS revenue, COUNT(*) AS orders GROUP BY year, month
-        |> ORDER BY year, month""",
     "top_products": _by_product("money", "revenue", "CAST({} AS DOUBLE)"),
     "top_products_by_volume": _by_product("n", "transaction_count", "{}"),
     "top_products_by_units": _by_product("units", "units_sold", "{}"),
@@ -46,29 +48,26 @@ CATALOG_QUERIES: dict[str, str] = {
         SELECT category, ROUND(CAST(SUM(money) AS DOUBLE) / SUM(n), 2) AS avg_order_value, SUM(n) AS orders
         FROM per_product JOIN curated.products USING (product_id)
         GROUP BY category ORDER BY avg_order_value DESC, category""",
-    "mom_growth": """
-        FROM curated.transactions
-        |> AGGREGATE SUM(amount) AS total GROUP BY year, month
-        |> SELECT year, month, CAST(total AS DOUBLE) AS revenue,
-                  CAST(total - LAG(total) OVER (ORDER BY year, month) AS DOUBLE) AS mom_change
-        |> ORDER BY year, month""",
-    "reject_rate": """
-        WITH reasons AS (
-            SELECT reject_reason, COUNT(*) AS rows_rejected FROM rejected.transactions GROUP BY reject_reason),
-        everything AS (SELECT SUM(rows_rejected) AS n FROM reasons)
-        SELECT reject_reason, rows_rejected,
-               CAST(ROUND(rows_rejected * CAST(100.0 AS DECIMAL(4,1)) / n, 2) AS DOUBLE) AS pct_of_all_rejects
-        FROM reasons CROSS JOIN everything
-        ORDER BY rows_rejected DESC, reject_reason""",
-    "run_health": """
-        FROM curated.run_metrics
-        |> SELECT run_id, stage, raw_count, rejected_count, curated_count,
-                  CAST(ROUND(try_divide(rejected_count * CAST(100.0 AS DECIMAL(4,1)), raw_count), 2) AS DOUBLE)
-                    AS pct_rejected, ts
-        |> ORDER BY ts DESC, run_id, stage""",
-    "curated_count": "FROM curated.transactions |> AGGREGATE COUNT(*) AS curated_count",
 }
 
+# Questions over one table: views over the DataFrame API's own plans.
+CATALOG_VIEWS: dict[str, Callable[[SparkSession], DataFrame]] = {
+    "monthly_revenue": lambda spark: A.monthly_revenue(spark.table("curated.transactions")),
+    "mom_growth": lambda spark: A.mom_growth(spark.table("curated.transactions")),
+    "curated_count": lambda spark: A.curated_count(spark.table("curated.transactions")),
+    "reject_rate": lambda spark: A.reject_rate(spark.table("rejected.transactions")),
+    "run_health": lambda spark: A.run_health(spark.table("curated.run_metrics")),
+}
+
+
+def register_views(spark: SparkSession, prefix: str = "verity_") -> list[str]:
+    """Session views ``<prefix><question>`` for SQL users; returns their names."""
+    names = []
+    for name, ask in CATALOG_VIEWS.items():
+        ask(spark).createOrReplaceTempView(f"{prefix}{name}")
+        names.append(f"{prefix}{name}")
+    return names
+
 
 def run_catalog_query(spark: SparkSession, name: str) -> DataFrame:
-    return spark.sql(CATALOG_QUERIES[name])
+    return CATALOG_VIEWS[name](spark) if name in CATALOG_VIEWS else spark.sql(CATALOG_QUERIES[name])

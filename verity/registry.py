@@ -1,13 +1,15 @@
 """Registered queries over the fixture tables, one per operator key.
 
 Each callable takes ``(spark, sf_dir)`` and returns a DataFrame over the
-whole fixture (keys that need the amount ceiling compute it while the frame is
-built) (derived from every row of ``lineitem`` and ``orders``). Money
+whole fixture (derived from every row of ``lineitem`` and ``orders``). Keys
+over validated rows compute the amount ceiling while the frame is built; those
+over stored outputs run the batch job first, once per session and folder. Money
 leaves as DOUBLE after exact decimal work; counts are BIGINT.
 """
 from __future__ import annotations
 
 import uuid
+import zlib
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -23,15 +25,19 @@ from verity.functions.predicates import date_in_range
 from verity.functions.parsing import parse_amount, parse_date, parse_timestamp, partition_columns
 from verity.operators.compare import compare_outputs, fingerprint
 from verity.operators.conform import conform
+from verity.operators.digest import compare_by_digest, read_digests, write_digests
+from verity.operators.file_profile import file_profile
+from verity.operators.histogram import ceiling_of, read_value_counts, value_counts, write_value_counts
 from verity.operators.profile import schema_profile
 from verity.operators.references import orphans
 from verity.plans import analytics as A
+from verity.plans import rollups as R
 from verity.plans.job import BatchPaths, publish_catalog, run_batch
 from verity.plans.pipeline import (
-    CurationConfig, CurationResult, amount_ceiling, check_references, clean_and_curate, standardize,
+    CurationConfig, CurationResult, check_references, clean_and_curate, standardize,
 )
 from verity.session import ensure_checkpoint_dir
-from verity.sinks.writers import publish_frame
+from verity.sinks.writers import publish_frame, write_curated
 from verity.sources.curated import read_curated, read_rejected, read_run_metrics
 from verity.sources.fixtures import FIXTURE_MAX_DATE, FIXTURE_MIN_DATE
 from verity.sources.fixtures import fixture_tables as _fixture_tables
@@ -73,10 +79,19 @@ def _run(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None) -> Cura
     _prepare(spark)
     t, c, p = fixture_tables(spark, sf_dir)
     txns = raw if raw is not None else t
-    checked = check_references(standardize(txns, FIXTURE_CONFIG), c, p, FIXTURE_CONFIG).persist()
+    checked = _shared(spark, sf_dir) if raw is None else \
+        check_references(standardize(txns, FIXTURE_CONFIG), c, p, FIXTURE_CONFIG).persist()
     return clean_and_curate(txns, c, p, RUN_ID, config=FIXTURE_CONFIG, checked=checked)
 
 
+def _shared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The persisted checked frame that the queries of a session share."""
+    key = (id(spark), spark.conf.get("spark.app.id", ""), sf_dir, "checked")
+    if key not in _FIXTURE_PLANS:
+        _FIXTURE_PLANS[key] = _checked(spark, sf_dir).persist()
+    return _FIXTURE_PLANS[key]
+
+
 def _money_out(df: DataFrame, cols=("amount",)) -> DataFrame:
     """Output representation for the oracle comparison: money as DOUBLE and
     timestamps as wall-clock values without a zone (what SQL ``TIMESTAMP``
@@ -234,10 +249,12 @@ def q_funnel(spark, sf_dir):
 
 
 def q_amount_ceiling(spark, sf_dir):
-    # The histogram passes over the typed rows run while the frame is built;
-    # the frame is their one-row result.
-    found = amount_ceiling(_typed(spark, sf_dir), FIXTURE_CONFIG)
-    return spark.createDataFrame([(float(found),)], "amount_ceiling double")
+    """One lazy plan over the shared checked rows."""
+    _prepare(spark)
+    counts = value_counts(_shared(spark, sf_dir), "amount")
+    found = ceiling_of(counts, FIXTURE_CONFIG.ceiling_percentile, FIXTURE_CONFIG.ceiling_factor,
+                       FIXTURE_CONFIG.ceiling_fallback, schemas.MONEY.precision)
+    return found.select(F.col("ceiling").cast("double").alias("amount_ceiling"))
 
 
 def q_dedupe(spark, sf_dir):
@@ -383,6 +400,200 @@ def q_run_difference(spark, sf_dir):
     return compare_outputs(a.curated, half.curated)
 
 
+# --- kept up to date over several runs ---------------------------------------
+
+def _once(spark, sf_dir, name: str, make):
+    """What ``make`` returns, built once per session and folder."""
+    _prepare(spark)
+    key = (id(spark), spark.conf.get("spark.app.id", ""), sf_dir, name)
+    if key not in _WRITTEN:
+        _WRITTEN[key] = make()
+    return _WRITTEN[key]
+
+
+def _folder(spark, name: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/verity-{name}/{uuid.uuid4().hex}"
+
+
+def _land(df: DataFrame, path: str) -> None:
+    (df.select(*[df[c].cast("string") for c in df.columns]).write.option("header", True)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+
+
+LATE_RUN = "fixture-late"
+
+
+def by_month(raw: DataFrame) -> DataFrame:
+    """Every row with its date moved to the first of the month: 84 days to
+    write instead of 2,500, for the queries that store several runs."""
+    date = F.regexp_replace("transaction_date", r"^([0-9]{4}-[0-9]{2})-[0-9]{2}$", "$1-01")
+    return raw.withColumn("transaction_date", F.regexp_replace(date, r"^([0-9]{2})/[0-9]{2}/([0-9]{4})$", "$1/01/$2"))
+
+
+def late_rows(raw: DataFrame) -> DataFrame:
+    """A later batch over the same ids: a seventh of the transactions come
+    again, half of these under another date."""
+    return raw.where("quantity % 7 = 3").withColumns({
+        "transaction_date": F.when(F.expr("quantity % 2 = 0"), F.lit("1996-03-05")).otherwise(F.col("transaction_date")),
+        "ingestion_timestamp": F.lit("2002-02-02 00:00:00"), "source_file": F.lit("late.csv")})
+
+
+def _moved(spark, sf_dir) -> str:
+    """Two runs, published as a whole through the catalog; the second merges
+    by id, so rows leave days it does not carry. Returns the database."""
+    def make():
+        t, c, p = fixture_tables(spark, sf_dir)
+        t = by_month(t)
+        db = f"moved_{zlib.crc32(sf_dir.encode()):08x}"
+        root = _folder(spark, "moved")
+        for run, rows, how in ((RUN_ID, t, {}),
+                               (LATE_RUN, late_rows(t), {"merge": True, "merge_scope": "table", "rollups": True})):
+            paths = BatchPaths.under(f"{root}/{run}", f"{root}/out")
+            for df, path in zip((rows, c, p), (paths.raw_transactions, paths.raw_customers, paths.raw_products)):
+                _land(df, path)
+            run_batch(spark, paths, run, FIXTURE_CONFIG, release=True, curated_db=db, rejected_db=f"{db}_rejected", **how)
+        return db
+    return _once(spark, sf_dir, "moved", make)
+
+
+def q_merge_moves(spark, sf_dir):
+    return _money_out(spark.table(f"{_moved(spark, sf_dir)}.transactions"))
+
+
+def q_released_rejects(spark, sf_dir):
+    """Rejects per run, by the partitions the catalog points to."""
+    out = spark.table(f"{_moved(spark, sf_dir)}_rejected.transactions")
+    return out.groupBy("run_id", "reject_reason").agg(F.count(F.lit(1)).alias("rows_rejected"))
+
+
+def q_released_metrics(spark, sf_dir):
+    return spark.table(f"{_moved(spark, sf_dir)}.run_metrics").select(
+        "run_id", "stage", "raw_count", "rejected_count", "curated_count")
+
+
+def _daily(spark, sf_dir, name):
+    return spark.table(f"{_moved(spark, sf_dir)}.{name}")
+
+
+def q_rollup_monthly_revenue(spark, sf_dir):
+    return R.monthly_revenue(_daily(spark, sf_dir, "daily_products"))
+
+
+def q_rollup_mom_growth(spark, sf_dir):
+    return R.mom_growth(_daily(spark, sf_dir, "daily_products"))
+
+
+def q_rollup_top_products(spark, sf_dir):
+    return R.top_products(_daily(spark, sf_dir, "daily_products"), _published_products(spark, sf_dir))
+
+
+def q_rollup_top_customers(spark, sf_dir):
+    return R.top_customers(_daily(spark, sf_dir, "daily_customers"), _published_customers(spark, sf_dir))
+
+
+def q_rollup_avg_order_value(spark, sf_dir):
+    return R.avg_order_value(_daily(spark, sf_dir, "daily_products"), _published_products(spark, sf_dir))
+
+
+def q_run_difference_by_day(spark, sf_dir):
+    """The first batch's rows against the table after the late run, by kept
+    digests: per day that differs, the rows that only one of them has."""
+    by = list(K.PARTITION_COLUMNS)
+    b = spark.table(f"{_moved(spark, sf_dir)}.transactions")
+
+    def make():
+        root = _folder(spark, "digests")
+        t, c, p = fixture_tables(spark, sf_dir)
+        write_curated(clean_and_curate(by_month(t), c, p, RUN_ID, config=FIXTURE_CONFIG).curated, f"{root}/rows")
+        for side, name in ((read_curated(spark, f"{root}/rows"), "a"), (b, "b")):
+            write_digests(side, f"{root}/{name}", by)
+        return root
+    root = _once(spark, sf_dir, "digests", make)
+    a = read_curated(spark, f"{root}/rows")
+    return compare_by_digest(a, b, read_digests(spark, f"{root}/a", by), read_digests(spark, f"{root}/b", by),
+                             by, each=True)
+
+
+def q_ceiling_by_day(spark, sf_dir):
+    """The ceiling from stored counts by month, after the counts of one year
+    were replaced: doubled amounts, but for 1996."""
+    by = ["year", "month"]
+
+    def make():
+        path = f"{_folder(spark, 'counts')}/amounts"
+        typed = _typed(spark, sf_dir)
+        dated = typed.select("amount", *partition_columns("transaction_date")[:2])
+        doubled = dated.withColumn("amount", F.col("amount").cast("decimal(18,2)") * 2)
+        write_value_counts(doubled.withColumn("amount", F.col("amount").cast("decimal(18,2)")), path, "amount", by)
+        write_value_counts(dated.where("year = '1996'"), path, "amount", by)
+        return path
+    counts = read_value_counts(spark, _once(spark, sf_dir, "counts", make), by)
+    return ceiling_of(counts, FIXTURE_CONFIG.ceiling_percentile, FIXTURE_CONFIG.ceiling_factor,
+                      FIXTURE_CONFIG.ceiling_fallback, 11).select(F.col("ceiling").cast("double").alias("amount_ceiling"))
+
+
+TYPED_RAW = T.StructType([T.StructField("transaction_date", T.DateType()), T.StructField("amount", schemas.MONEY),
+                          T.StructField("quantity", T.IntegerType()),
+                          T.StructField("ingestion_timestamp", T.TimestampType())])
+
+
+def q_file_drift(spark, sf_dir):
+    """Three landings of a third of the fixture each: as declared; amount and
+    quantity swapped; without promo_code and with a channel. Files of a
+    landing are added up."""
+    def make():
+        root = _folder(spark, "drift")
+        raw = _raw(spark, sf_dir)
+        cols = raw.columns
+        swapped = [{"amount": "quantity", "quantity": "amount"}.get(c, c) for c in cols]
+        _land(raw.where("quantity % 3 = 0"), f"{root}/a")
+        _land(raw.where("quantity % 3 = 1").select(*swapped), f"{root}/b")
+        _land(raw.where("quantity % 3 = 2").drop("promo_code").withColumn("Channel-Name", F.lit("web")), f"{root}/c")
+        return root
+    found = file_profile(spark, _once(spark, sf_dir, "drift", make), schemas.RAW_TRANSACTIONS, TYPED_RAW)
+    counts = ["n_rows", "n_null", "n_bigint", "n_double", "n_date", "n_timestamp", "n_uncastable"]
+    return (found.withColumn("landing", F.element_at(F.split("file", "/"), -2))
+            .groupBy("landing", "column_name", "position", "declared")
+            .agg(*[F.sum(c).alias(c) for c in counts], F.bool_or("departs").alias("departs")))
+
+
+def _hard(spark, sf_dir):
+    """The fixture with the rarer defects: malformed and missing timestamps,
+    one-digit dates, the literal default promo code and blank ones, null
+    transaction ids, padded dimension keys."""
+    _prepare(spark)
+    t, c, p = fixture_tables(spark, sf_dir)
+    q = F.col("quantity") % 10
+    ts, date = F.col("ingestion_timestamp"), F.col("transaction_date")
+    hard = t.withColumns({
+        "ingestion_timestamp": F.when(q == 1, F.lit("not-a-time")).when(q == 2, F.lit(""))
+        .when(q == 3, F.lit("2025-02-30 10:00:00")).otherwise(ts),
+        "transaction_date": F.when(q == 4, F.lit("1/5/1997")).otherwise(date),
+        "promo_code": F.when(q == 5, F.lit("NONE")).when(q == 6, F.lit("  ")).otherwise(F.col("promo_code")),
+        "transaction_id": F.when(F.col("quantity") % 20 == 7, F.lit(None).cast("string")).otherwise(F.col("transaction_id"))})
+    padded = c.withColumn("customer_id", F.concat(F.lit(" "), F.col("customer_id"), F.lit("  ")))
+    return hard, padded, p
+
+
+def _hard_run(spark, sf_dir):
+    return clean_and_curate(*_hard(spark, sf_dir), RUN_ID, config=FIXTURE_CONFIG)
+
+
+def q_curated_hard(spark, sf_dir):
+    return _money_out(_hard_run(spark, sf_dir).curated)
+
+
+def q_rejected_hard(spark, sf_dir):
+    return _money_out(_hard_run(spark, sf_dir).rejected)
+
+
+def q_conform_raw(spark, sf_dir):
+    """Every raw column to its curated type, casts that fail included."""
+    raw = _hard(spark, sf_dir)[0]
+    text = raw.select(*[F.col(c).cast("string").alias(c) for c in raw.columns])
+    return _money_out(conform(text, T.StructType([schemas.CURATED_TRANSACTIONS[c] for c in raw.columns])))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "schema_profile": q_schema_profile,
     "publish_customers": q_publish_customers,
@@ -427,4 +638,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "metrics_readback": q_metrics_readback,
     "catalog_counts": q_catalog_counts,
     "run_difference": q_run_difference,
+    "merge_moves": q_merge_moves,
+    "released_rejects": q_released_rejects,
+    "released_metrics": q_released_metrics,
+    "rollup_monthly_revenue": q_rollup_monthly_revenue,
+    "rollup_mom_growth": q_rollup_mom_growth,
+    "rollup_top_products": q_rollup_top_products,
+    "rollup_top_customers": q_rollup_top_customers,
+    "rollup_avg_order_value": q_rollup_avg_order_value,
+    "run_difference_by_day": q_run_difference_by_day,
+    "ceiling_by_day": q_ceiling_by_day,
+    "file_drift": q_file_drift,
+    "curated_hard": q_curated_hard,
+    "rejected_hard": q_rejected_hard,
+    "conform_raw": q_conform_raw,
 }

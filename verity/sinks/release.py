@@ -18,9 +18,11 @@ import datetime as dt
 import json
 import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from verity.session import (
     list_folders, path_exists, qualified, remove_path, rename_path, versions_root,
@@ -28,17 +30,20 @@ from verity.session import (
 from verity.sinks.catalog import add_partitions, drop_partitions, location, partitions, set_location
 from verity.sinks.writers import Written, write_partitioned
 
-RECORD = "table string, partition string, folder string, old string"
+RECORD = "table string, partition string, folder string, old string, known boolean"
+AT_ONCE = 8  # catalog statements under way together
 
 
 @dataclass(frozen=True)
 class Change:
     """Point a partition (or, with none named, a whole table) to ``folder``;
-    without a folder the partition goes. ``old``: where it was."""
+    without a folder the partition goes. ``known``: the catalog has it
+    already; ``old``: where its files are, if any."""
     table: str
     partition: dict[str, str]
     folder: str | None
     old: str | None = None
+    known: bool = False
 
 
 class Release:
@@ -70,7 +75,7 @@ class Release:
                          rebalance: Sequence[str] | None = None, max_records_per_file: int | None = 5_000_000) -> Written:
         """The partitions present in ``df``."""
         folder = self.folder(path)
-        written = write_partitioned(df, folder, keys, rebalance, max_records_per_file)
+        written = write_partitioned(df, folder, keys, rebalance, max_records_per_file, fresh=True)
         for part in written.partitions():
             place = "/".join(f"{c}={_folder_text(self.spark, v)}" for c, v in part.items())
             self.changes.append(Change(table, part, f"{folder}/{place}"))
@@ -82,13 +87,14 @@ class Release:
 
     def commit(self) -> None:
         """Publish everything written."""
-        known = {t: partitions(self.spark, t) for t in {c.table for c in self.changes if c.partition}}
         rows = []
-        for c in self.changes:
-            old = location(self.spark, c.table, c.partition or None) \
-                if not c.partition or c.partition in known[c.table] else None
-            if c.folder or old:
-                rows.append((c.table, json.dumps(c.partition), c.folder, old))
+        for table in dict.fromkeys(c.table for c in self.changes):
+            mine = [c for c in self.changes if c.table == table]
+            held = _held_folders(self.spark, table, mine)
+            for c in mine:
+                key = tuple(c.partition.values())
+                if c.folder or key in held:
+                    rows.append((table, json.dumps(c.partition), c.folder, held.get(key), key in held))
         draft = f"{self.control}/draft/{self.token}"
         self.spark.createDataFrame(rows, RECORD).coalesce(1).write.parquet(draft)
         rename_path(self.spark, draft, f"{self.control}/pending/{self.token}")
@@ -108,8 +114,25 @@ def _folder_text(spark: SparkSession, value: str | None) -> str:
     return utils.DEFAULT_PARTITION_NAME() if value is None else utils.escapePathName(value)
 
 
+def _held_folders(spark: SparkSession, table: str, changes: list[Change]) -> dict[tuple, str | None]:
+    """The changed partitions that the catalog has, each with the folder of its
+    files (None if it holds none); a whole table under the empty key."""
+    if not changes[0].partition:
+        return {(): location(spark, table)}
+    names = list(changes[0].partition)
+    wanted = {tuple(c.partition.values()) for c in changes}
+    held: dict[tuple, str | None] = {key: None for key in (tuple(p.values()) for p in partitions(spark, table))
+                                     if key in wanted}
+    if held:
+        mark = "\x1f"
+        folders = (spark.table(table).where(F.concat_ws(mark, *names).isin([mark.join(k) for k in held]))
+                   .groupBy(*names).agg(F.max(F.regexp_extract("_metadata.file_path", "^(.*)/[^/]*$", 1)).alias("f")))
+        held.update({tuple(r[c] for c in names): r.f for r in folders.collect()})  # as many as changed partitions
+    return held
+
+
 def _record(spark: SparkSession, folder: str) -> list[Change]:
-    return [Change(r.table, json.loads(r.partition), r.folder, r.old)
+    return [Change(r.table, json.loads(r.partition), r.folder, r.old, r.known)
             for r in spark.read.schema(RECORD).parquet(folder).collect()]
 
 
@@ -120,15 +143,14 @@ def finish_pending(spark: SparkSession, control: str) -> list[str]:
     tokens = sorted(list_folders(spark, f"{control}/pending"))
     for token in tokens:
         changes = _record(spark, f"{control}/pending/{token}")
-        for table in sorted({c.table for c in changes}):
+        for table in dict.fromkeys(c.table for c in changes):
             mine = [c for c in changes if c.table == table]
-            fresh = [c for c in mine if c.partition and c.folder and c.old is None]
+            fresh = [c for c in mine if c.partition and c.folder and not c.known]
             add_partitions(spark, table, [c.partition for c in fresh], [c.folder for c in fresh])
-            for c in mine:
-                if c.folder and c not in fresh:
-                    set_location(spark, table, c.folder, c.partition)
-            gone = [c for c in mine if c.folder is None]
-            drop_partitions(spark, table, [c.partition for c in gone])
+            moved = [c for c in mine if c.folder and (c.known or not c.partition)]
+            with ThreadPoolExecutor(max_workers=AT_ONCE) as pool:
+                list(pool.map(lambda c: set_location(spark, c.table, c.folder, c.partition), moved))
+            drop_partitions(spark, table, [c.partition for c in mine if c.folder is None])
             spark.catalog.refreshTable(table)
         rename_path(spark, f"{control}/pending/{token}", f"{control}/done/{token}")
     return tokens

@@ -69,13 +69,19 @@ class Written:
 
 
 def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str], rebalance: Sequence[str] | None = None,
-                      max_records_per_file: int | None = None) -> Written:
+                      max_records_per_file: int | None = None, fresh: bool = False) -> Written:
     """K1: replace the partitions present in the frame, and only these.
     ``rebalance``: the columns that deal the rows to tasks (default: the
-    partition columns). Returns what was written."""
+    partition columns). ``fresh``: the folder is new and nobody reads it yet,
+    so every task puts its files in place itself, instead of the driver moving
+    one folder after the other at the end. Returns what was written."""
     written = Written(partition_by)
     w = (written.of(df.hint("rebalance", *(partition_by if rebalance is None else rebalance)))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by))
+         .write.partitionBy(*partition_by))
+    if fresh:
+        w = w.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+    else:
+        w = w.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     w.parquet(path)
