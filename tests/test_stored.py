@@ -178,3 +178,30 @@ def test_file_profile_names_the_departing_files(spark, tmpdir_path):
 def test_file_profile_of_nothing(spark, tmpdir_path):
     open(f"{tmpdir_path}/nothing.csv", "w").close()
     assert file_profile(spark, tmpdir_path, schemas.RAW_PRODUCTS).collect() == []
+
+
+# --- U1 through the writers -------------------------------------------------------
+
+def test_rerun_proof(spark, tmpdir_path, monkeypatch):
+    from verity.cli import main
+    from verity.plans import proof
+    one, = batches(tmpdir_path, [txn("T1"), txn("T2", date="2025-01-16"), txn("B1", amount="-1")])
+    args = [x for name in ("raw_transactions", "raw_customers", "raw_products", "curated", "rejected", "metrics",
+                           "customers", "products") for x in (f"--{name.replace('_', '-')}-path", getattr(one, name))]
+    assert main(["rerun-proof", *args, "--run-id", "one"]) == {"curated.transactions": 2, "rejected.transactions": 1}
+    honest, runs = proof.run_batch, []
+
+    def drifting(spark, paths, run_id, *args, **kw):
+        """A second run that stores another row."""
+        runs.append(run_id)
+        if len(runs) == 2:
+            with open(f"{paths.raw_transactions}/late.csv", "w", newline="") as f:
+                csv.writer(f).writerows([schemas.names(schemas.RAW_TRANSACTIONS), txn("T3")])
+            for old in [f for f in os.listdir(paths.raw_transactions) if f == "batch.csv"]:
+                with open(f"{paths.raw_transactions}/{old}", "w", newline="") as f:
+                    csv.writer(f).writerows([schemas.names(schemas.RAW_TRANSACTIONS), txn("T1"), txn("T2", date="2025-01-16")])
+        return honest(spark, paths, run_id, *args, **kw)
+
+    monkeypatch.setattr(proof, "run_batch", drifting)
+    with pytest.raises(proof.RerunDifference, match="curated.transactions: .*rejected.transactions: 1 buckets differ"):
+        proof.rerun_proof(spark, one, "one", register=False, publish=False)

@@ -7,6 +7,9 @@
 
     spark-submit verity/cli.py catalog-and-publish --curated-path ... (same paths)
 
+    spark-submit verity/cli.py rerun-proof ... (as clean-and-curate; runs the batch
+        twice and fails if the second run left other rows)
+
 The session comes from ``spark-submit`` (cluster settings, checkpoint
 folder); this module only parses arguments and calls the library.
 """
@@ -25,7 +28,7 @@ PATH_ARGS = ("raw_transactions", "raw_customers", "raw_products", "curated", "re
 
 def parse(argv: list[str]) -> argparse.Namespace:
     ap = argparse.ArgumentParser(prog="verity")
-    ap.add_argument("command", choices=["clean-and-curate", "catalog-and-publish"])
+    ap.add_argument("command", choices=["clean-and-curate", "catalog-and-publish", "rerun-proof"])
     for a in PATH_ARGS:
         ap.add_argument(f"--{a.replace('_', '-')}-path", required=True)
     ap.add_argument("--run-id")
@@ -65,11 +68,18 @@ def main(argv: list[str] | None = None) -> dict:
                         tuple(args.table) if args.table else None)
         return {"published": True}
     if not args.run_id:
-        raise SystemExit("--run-id is required for clean-and-curate")
+        raise SystemExit(f"--run-id is required for {args.command}")
     config = CurationConfig()
     config = replace(config, min_date=args.min_date or config.min_date,
                      max_date=args.max_date or config.max_date, ceiling_mode=args.ceiling_mode,
                      ceiling_scope=args.ceiling_scope)
+    if args.command == "rerun-proof":
+        from verity.plans.proof import rerun_proof
+        proof = rerun_proof(spark, paths, args.run_id, config, register=False, publish=False,
+                            merge=args.merge, merge_scope=args.merge_scope, materialize=args.materialize)
+        found = {r.table_name: r.n_rows for r in proof.collect()}
+        print(json.dumps(found))
+        return found
     counts = run_batch(spark, paths, args.run_id, config, register=not args.no_register,
                        merge=args.merge, merge_scope=args.merge_scope, materialize=args.materialize,
                        release=args.release, rollups=args.rollups, curated_db=args.curated_db,

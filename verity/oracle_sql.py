@@ -367,6 +367,9 @@ SELECT *, (SELECT COUNT(*) FROM first_run t WHERE (t.year, t.month, t.day) = (d.
        (SELECT COUNT(*) FROM one t WHERE (t.year, t.month, t.day) = (d.year, d.month, d.day)) AS only_a,
        (SELECT COUNT(*) FROM two t WHERE (t.year, t.month, t.day) = (d.year, d.month, d.day)) AS only_b
 FROM days d""")
+ORACLE["rerun_proof"] = _over(MONTHS, """
+SELECT 'curated.transactions' AS table_name, COUNT(*) AS n_rows, true AS identical FROM curated
+UNION ALL SELECT 'rejected.transactions', COUNT(*), true FROM rejected""")
 ORACLE["ceiling_by_day"] = _with("""
 SELECT CAST(quantile_disc(CASE WHEN year(transaction_date) = 1996 THEN amount::DECIMAL(18,2) ELSE 2 * amount::DECIMAL(18,2) END,
                           0.99) * 3 AS DOUBLE) AS amount_ceiling FROM typed""")

@@ -33,6 +33,7 @@ from verity.operators.references import orphans
 from verity.plans import analytics as A
 from verity.plans import rollups as R
 from verity.plans.job import BatchPaths, publish_catalog, run_batch
+from verity.plans.proof import rerun_proof
 from verity.plans.pipeline import (
     CurationConfig, CurationResult, check_references, clean_and_curate, standardize,
 )
@@ -532,6 +533,17 @@ def q_ceiling_by_day(spark, sf_dir):
                       FIXTURE_CONFIG.ceiling_fallback, 11).select(F.col("ceiling").cast("double").alias("amount_ceiling"))
 
 
+def q_rerun_proof(spark, sf_dir):
+    """The fixture's batch through the writers twice; raises on a difference."""
+    def make():
+        paths = BatchPaths.under(*(f"{_folder(spark, 'proof')}/{part}" for part in ("raw", "out")))
+        t, c, p = fixture_tables(spark, sf_dir)
+        for df, path in ((by_month(t), paths.raw_transactions), (c, paths.raw_customers), (p, paths.raw_products)):
+            _land(df, path)
+        return rerun_proof(spark, paths, RUN_ID, FIXTURE_CONFIG, register=False, publish=False)
+    return _once(spark, sf_dir, "proof", make)
+
+
 TYPED_RAW = T.StructType([T.StructField("transaction_date", T.DateType()), T.StructField("amount", schemas.MONEY),
                           T.StructField("quantity", T.IntegerType()),
                           T.StructField("ingestion_timestamp", T.TimestampType())])
@@ -648,6 +660,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rollup_avg_order_value": q_rollup_avg_order_value,
     "run_difference_by_day": q_run_difference_by_day,
     "ceiling_by_day": q_ceiling_by_day,
+    "rerun_proof": q_rerun_proof,
     "file_drift": q_file_drift,
     "curated_hard": q_curated_hard,
     "rejected_hard": q_rejected_hard,
