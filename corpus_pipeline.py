@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from verity.llm.bpe import round_trip
 from verity.llm.common import Staging
-from verity.llm.minhash import near_duplicates
+from verity.llm.minhash import drop_near_duplicates
 from verity.llm.mixing import mix
 from verity.llm.pii import pseudonymise
 from verity.llm.queries import documents, tokenizer_path
@@ -23,9 +23,7 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Only documents with a smaller near duplicate go; a null id stays."""
-    copies = near_duplicates(docs).filter("NOT kept").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    return drop_near_duplicates(docs)
 
 
 def with_pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
