@@ -57,7 +57,7 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = DEFAULT_WEIGHTS,
 
 
 def mix_plan(docs: DataFrame, weights: Sequence[int] = DEFAULT_WEIGHTS, max_epochs: int = 3,
-             seed: str = "mix", staging: Staging | None = None) -> DataFrame:
+             seed: str = "mix", staging: Staging | None = None, carry: Sequence[str] = ()) -> DataFrame:
     """What the mix takes of every document: ``doc_id, source, size,
     source_size, target, taken, epochs, part``.
 
@@ -66,13 +66,14 @@ def mix_plan(docs: DataFrame, weights: Sequence[int] = DEFAULT_WEIGHTS, max_epoc
     rounded down. Order: MD5 of seed and doc_id, then doc_id, then size, so
     reruns agree; repeated rows are separate documents that swap freely. A
     null text has size 0; a null doc_id or source is a value of its own; an
-    empty table gives an empty plan. Other columns are not read.
+    empty table gives an empty plan. Other columns are not read, but for those
+    named by ``carry``, which the plan keeps.
     """
     spark = docs.sparkSession
     staging = staging or Staging(spark, "mix")
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     sizes = staging.write(
-        docs.select("doc_id", "source", word_count("text").alias("size"), key.alias("key")), "sizes")
+        docs.select("doc_id", "source", word_count("text").alias("size"), key.alias("key"), *carry), "sizes")
     n = sizes.count()
     buckets = max(1, math.isqrt(n))
     # A null source becomes a key of its own, so that join and window share
@@ -103,7 +104,7 @@ def mix_plan(docs: DataFrame, weights: Sequence[int] = DEFAULT_WEIGHTS, max_epoc
             .withColumn("epochs", F.col("epochs").cast("long"))
             .select("doc_id", "source", "size", "source_size", "target",
                     (F.col("epochs") * F.col("size") + F.col("part")).alias("taken"),
-                    "epochs", "part"))
+                    "epochs", "part", *carry))
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = DEFAULT_WEIGHTS, max_epochs: int = 3,
@@ -112,15 +113,18 @@ def mix(docs: DataFrame, weights: Sequence[int] = DEFAULT_WEIGHTS, max_epochs: i
     whole epoch, and the document at a source's cut once more with the words
     that the budget still covers. Documents the budget does not reach go.
 
-    The cut document keeps its first words, joined by single spaces. Rows that
-    share a doc_id all follow the largest plan among them. A document of size
-    0 is never taken; null ids match each other.
+    The cut document keeps its first words, joined by single spaces. Every row
+    follows its own plan, also where rows share a doc_id or have none, so the
+    words of a source add up to its target rounded down. A document of size 0
+    is never taken. An empty table stays empty.
     """
-    plan = (mix_plan(docs, weights, max_epochs, seed).filter("taken > 0")
-            .groupBy(F.col("doc_id").alias("__id"))
-            .agg(F.max("epochs").alias("__epochs"), F.max("part").alias("__part"),
-                 F.max("size").alias("__size")))
-    joined = docs.join(plan, docs["doc_id"].eqNullSafe(plan["__id"]))
+    staging = Staging(docs.sparkSession, "mix")
+    # The write settles the numbers that tell the rows apart.
+    rows = staging.write(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    plan = (mix_plan(rows, weights, max_epochs, seed, staging, ("__row",)).filter("taken > 0")
+            .select("__row", F.col("epochs").alias("__epochs"), F.col("part").alias("__part"),
+                    F.col("size").alias("__size")))
+    joined = rows.join(plan, "__row")
     cut = F.when(F.col("__part") >= F.col("__size"), F.col("text")).otherwise(
         F.array_join(F.slice(F.regexp_extract_all(text_of("text"), F.lit(f"({WORD})"), 1), 1,
                              F.greatest(F.col("__part"), F.lit(1)).cast("int")), " "))
