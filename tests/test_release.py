@@ -129,6 +129,19 @@ def test_release_moves_emptied_days_and_superseded_folders(spark, tmpdir_path):
     assert spark.table(f"{db['rejected_db']}.transactions").count() == 0
 
 
+def test_a_day_that_left_the_tables_own_path_stays_away(spark, tmpdir_path):
+    """The first run was an ordinary one; the second, released, empties one of
+    its days. A repair does not bring it back."""
+    db = names("own")
+    one, two = batches(tmpdir_path, ONE, [txn("T2", date="2025-01-17", ts="2025-01-18 10:00:00")])
+    run_batch(spark, one, "one", **db)
+    run_batch(spark, two, "two", merge=True, merge_scope="table", release=True, **db)
+    job.publish_catalog(spark, two, **db)
+    table = f"{db['curated_db']}.transactions"
+    assert sorted((r.transaction_id, r.day) for r in spark.table(table).collect()) == [("T1", "15"), ("T2", "17")]
+    assert [p["day"] for p in catalog.partitions(spark, table)] == ["15", "17"]
+
+
 def test_released_tables_refuse_other_runs(spark, tmpdir_path):
     db = names("refuse")
     one, two = batches(tmpdir_path, ONE, TWO)

@@ -150,7 +150,13 @@ def finish_pending(spark: SparkSession, control: str) -> list[str]:
             moved = [c for c in mine if c.folder and (c.known or not c.partition)]
             with ThreadPoolExecutor(max_workers=AT_ONCE) as pool:
                 list(pool.map(lambda c: set_location(spark, c.table, c.folder, c.partition), moved))
-            drop_partitions(spark, table, [c.partition for c in mine if c.folder is None])
+            gone = [c for c in mine if c.folder is None]
+            drop_partitions(spark, table, [c.partition for c in gone])
+            # A folder at its usual place would come back with a repair.
+            root = location(spark, table) if gone else ""
+            for c in gone:
+                if c.old and qualified(spark, c.old).startswith(qualified(spark, root) + "/"):
+                    remove_path(spark, c.old)
             spark.catalog.refreshTable(table)
         rename_path(spark, f"{control}/pending/{token}", f"{control}/done/{token}")
     return tokens
