@@ -15,9 +15,13 @@ double precision. A pair that shares several clusters counts in the smallest
 one, so counts add up without listing pairs: a task returns one row a member,
 with its number of links and its local component.
 
-Recall is audited against brute force on a bounded sample of nodes; below
-``TARGET`` the search is repeated with twice the beam and one more cluster a
-node.
+Only vectors of one length can be compared. Each length of more than ``SHARD``
+nodes has medoids and clusters of its own; a rarer one is one cluster of one
+shard.
+
+Recall is audited against brute force on a bounded sample of nodes, half of
+them with links found; below ``TARGET`` the search is repeated with twice the
+beam and one more cluster a node. If it stays below ``LEAST`` the query fails.
 """
 from __future__ import annotations
 
@@ -26,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from verity.llm.common import Staging, bound_arrow_batches
@@ -44,6 +48,7 @@ ALPHA = 1.2
 BEAM = 16
 AUDIT = 256  # nodes compared with all others
 TARGET = 0.98
+LEAST = 0.9
 
 NODE = "vec_id long, d1 long, d2 long, v binary"
 
@@ -264,16 +269,35 @@ def _audit(vectors: np.ndarray):
     return run
 
 
-def _found(spark: SparkSession, nodes: DataFrame, n: int, overlap: int, beam: int, staging: Staging,
+MEMBER = "cluster int, rep long, copies long, v binary, clusters array<int>"
+
+
+def _members(nodes: DataFrame, common: list[tuple[int, int]], overlap: int) -> DataFrame:
+    """One row for each cluster of a node. ``common``: the lengths (in bytes)
+    of more than ``SHARD`` nodes, with their number of nodes; at most nodes /
+    SHARD of them. The clusters of each have numbers of their own."""
+    rare = nodes.filter(~F.col("n_bytes").isin([length for length, _ in common]))
+    out = rare.select((-F.col("n_bytes")).alias("cluster"), "rep", "copies", "v",
+                      F.array(-F.col("n_bytes")).alias("clusters"))
+    for i, (length, n) in enumerate(common):
+        mine = nodes.filter(F.col("n_bytes") == length).select("rep", "copies", "v")
+        sample = mine.orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE).select("v").toArrow()
+        k = max(1, min(MEDOIDS, math.ceil(n * overlap / PER_CLUSTER), sample.num_rows))
+        assigned = mine.mapInArrow(_assign(fit_medoids(matrix(sample["v"]), k), overlap), MEMBER)
+        shift = lambda c: c + F.lit(i * MEDOIDS)  # noqa: E731, B023 - used at once
+        out = out.unionByName(assigned.withColumns({"cluster": shift(F.col("cluster")),
+                                                    "clusters": F.transform("clusters", shift)}))
+    return out
+
+
+def _found(nodes: DataFrame, common: list[tuple[int, int]], overlap: int, beam: int, staging: Staging,
            name: str) -> DataFrame:
     """rep, links (without the node's own copies), label: one row a node and task."""
-    sample = nodes.orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE).select("v").toArrow()
-    k = max(1, min(MEDOIDS, math.ceil(n * overlap / PER_CLUSTER), sample.num_rows))
-    medoids = fit_medoids(matrix(sample["v"]), k)
-    members = staging.write(nodes.select("rep", "copies", "v").mapInArrow(
-        _assign(medoids, overlap), "cluster int, rep long, copies long, v binary, clusters array<int>"), f"{name}-members")
-    shards = members.groupBy("cluster").agg(F.ceil(F.count("*") / SHARD).cast("int").alias("shards"))
-    placed = (members.join(F.broadcast(shards), "cluster")  # at most MEDOIDS rows
+    members = staging.write(_members(nodes, common, overlap), f"{name}-members")
+    shards = (members.filter("cluster >= 0").groupBy("cluster")
+              .agg(F.ceil(F.count("*") / SHARD).cast("int").alias("shards")))
+    placed = (members.join(F.broadcast(shards), "cluster", "left")  # at most MEDOIDS rows a common length
+              .withColumn("shards", F.coalesce("shards", F.lit(1)))
               .withColumn("own", F.pmod(F.xxhash64("rep"), F.col("shards")).cast("int")))
     lists = placed.groupBy("cluster", "own").applyInArrow(_build, "rep long, near array<long>")
     flat = staging.write(lists.groupBy("rep").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")),
@@ -287,57 +311,87 @@ def _found(spark: SparkSession, nodes: DataFrame, n: int, overlap: int, beam: in
     return staging.write(met.groupBy("cluster", "i", "j").applyInArrow(_search(beam), PART), f"{name}-found")
 
 
+def _exact(nodes: DataFrame, found: DataFrame, lengths: list[int], audit: int) -> dict[int, int]:
+    """Links of up to ``audit`` nodes of each length by brute force (without
+    the node's own copies): half of them with links found, half any."""
+    out: dict[int, int] = {}
+    linked = found.filter("links > 0").select("rep").distinct()
+    for length in lengths:
+        mine = nodes.filter(F.col("n_bytes") == length)
+        picked = [side.orderBy(F.xxhash64(F.lit(1), "rep"), "rep").limit(-(-audit // 2))
+                  for side in (mine, mine.join(linked, "rep", "left_semi"))]
+        asked = picked[0].unionByName(picked[1]).dropDuplicates(["rep"]).select("rep", "copies", "v").toArrow()
+        if not asked.num_rows:
+            continue
+        totals = dict(mine.select("copies", "v").mapInArrow(_audit(matrix(asked["v"])), "i long, links long")
+                      .groupBy("i").agg(F.sum("links")).collect())
+        for i, (rep, copies) in enumerate(zip(asked["rep"].to_pylist(), asked["copies"].to_pylist())):
+            out[rep] = totals[i] - copies
+    return out
+
+
+def _recall(found: DataFrame, exact: dict[int, int]) -> float | None:
+    """Share of the audited links that were found: of all, or the mean over
+    the nodes that have any, whichever is less, so that neither one large
+    group nor many small ones hides a loss. None without any link."""
+    want = {rep: n for rep, n in exact.items() if n}
+    if not want:
+        return None
+    got = {r["rep"]: r["n"] for r in found.filter(F.col("rep").isin(list(want))).groupBy("rep")
+           .agg(F.sum("links").alias("n")).collect()}
+    hit = {rep: min(got.get(rep, 0), n) for rep, n in want.items()}
+    return min(sum(hit.values()) / sum(want.values()), sum(hit[rep] / n for rep, n in want.items()) / len(want))
+
+
 def near_duplicate_vectors(vectors: DataFrame, audit: int = AUDIT, staging: Staging | None = None) -> DataFrame:
     """One row per vector: ``vec_id, n_links, component_id, kept, recall``.
 
     Vectors link when their cosine in double precision is at least 0.9 and the
     search finds them; ``n_links`` counts the other rows linked directly,
     ``component_id`` is the smallest vec_id reachable and the one ``kept``.
-    ``recall`` is the audited share of all links (1 when the audited nodes
-    have none). A vector that is null, empty or zero, or holds null or
-    non-finite components, links with nothing, nor does one whose length is
-    not the most frequent one. Rows with equal components are copies and link;
-    rows that share a vec_id are rows of their own. A null vec_id links with
-    nothing. Other columns are not read.
+    ``recall`` is the audited share of the links (null when the audited nodes
+    have none); below 0.9 the query fails. Vectors of different lengths do not
+    link. A vector that is null, empty or zero, or holds null or non-finite
+    components, links with nothing. Rows with equal directions are copies and
+    link; rows that share a vec_id are rows of their own. A null vec_id links
+    with nothing. An empty table gives no rows. Other columns are not read,
+    whatever their names.
     """
     spark = vectors.sparkSession
     bound_arrow_batches(spark)
     staging = staging or Staging(spark, "vectors")
     rows = staging.write(vectors.select(F.col("vec_id").cast("long"), "embedding").mapInArrow(_normalise, NODE), "rows")
     usable = rows.filter("v IS NOT NULL AND vec_id IS NOT NULL")
-    length = (usable.groupBy(F.octet_length("v").alias("n")).count()
-              .orderBy(F.desc("count"), "n").select("n").first() or [0])[0]
-    nodes = staging.write(usable.filter(F.octet_length("v") == length).groupBy("d1", "d2").agg(
-        F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.min("v").alias("v")), "nodes")
-    n = nodes.count()
-    overlap, beam, recall = OVERLAP, BEAM, 1.0
+    # A node is a direction; its number is settled by the write, its label is
+    # the smallest vec_id.
+    nodes = usable.groupBy("d1", "d2").agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"), F.min("v").alias("v"))
+    nodes = staging.write(nodes.withColumns({"n_bytes": F.octet_length("v"), "rep": F.monotonically_increasing_id()}), "nodes")
+    sizes = nodes.groupBy("n_bytes").agg(F.count("*").alias("n"))
+    common = sorted(tuple(r) for r in sizes.filter(F.col("n") > SHARD).collect())
+    most = sizes.orderBy(F.desc("n"), "n_bytes").limit(1).collect()
+    audited = [length for length, _ in common] or [r.n_bytes for r in most]
+    overlap, beam, recall, exact = OVERLAP, BEAM, None, None
     found = spark.createDataFrame([], PART)
-    asked = nodes.orderBy(F.xxhash64(F.lit(1), "rep"), "rep").limit(audit).select("rep", "copies", "v").toArrow()
-    exact = np.zeros(asked.num_rows, np.int64)
-    if asked.num_rows:
-        for i, x in (nodes.select("copies", "v").mapInArrow(_audit(matrix(asked["v"])), "i long, links long")
-                     .groupBy("i").agg(F.sum("links")).collect()):
-            exact[i] = x
-        exact -= asked["copies"].to_numpy()
-    while n:
-        found = _found(spark, nodes, n, overlap, beam, staging, f"try-{overlap}")
-        reps = asked["rep"].to_pylist()
-        got = {r["rep"]: r["n"] for r in found.filter(F.col("rep").isin(reps)).groupBy("rep")
-               .agg(F.sum("links").alias("n")).collect()}
-        links = np.minimum([got.get(r, 0) for r in reps], exact)
-        recall = float(links.sum() / exact.sum()) if exact.sum() else 1.0
-        if recall >= TARGET or overlap >= 2 * OVERLAP:
+    while most:
+        found = _found(nodes, common, overlap, beam, staging, f"try-{overlap}")
+        exact = _exact(nodes, found, audited, audit) if exact is None else exact
+        recall = _recall(found, exact)
+        if recall is None or recall >= TARGET or overlap >= 2 * OVERLAP:
             break
         overlap, beam = overlap + 1, 2 * beam
+    if recall is not None and recall < LEAST:
+        raise RuntimeError(f"audited recall {recall:.3f} is below {LEAST}")
     total = found.groupBy("rep").agg(F.sum("links").alias("links"))
     groups = components(found.filter("rep <> label").select(F.col("rep").alias("a"), F.col("label").alias("b")), staging)
-    named = (nodes.select("d1", "d2", "rep", "copies").join(total, "rep", "left")
-             .join(groups.withColumnRenamed("id", "rep"), "rep", "left")
-             .select("d1", "d2", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
-                     F.coalesce("component", "rep").alias("component")))
-    linked = F.col("v").isNotNull() & F.col("vec_id").isNotNull() & (F.octet_length("v") == length)
-    return (rows.withColumn("linked", F.coalesce(linked, F.lit(False))).join(named, ["d1", "d2"], "left")
+    joined = (nodes.select("d1", "d2", "rep", "copies", "least").join(total, "rep", "left")
+              .join(groups.withColumnRenamed("id", "rep"), "rep", "left")
+              .withColumn("component", F.coalesce("component", "rep")))
+    smallest = joined.groupBy("component").agg(F.min("least").alias("label"))
+    named = joined.join(smallest, "component").select(
+        "d1", "d2", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.col("label").alias("component"))
+    linked = F.col("v").isNotNull() & F.col("vec_id").isNotNull()
+    return (rows.withColumn("linked", linked).join(named, ["d1", "d2"], "left")
             .select("vec_id", F.when(F.col("linked"), F.col("n_links")).otherwise(0).cast("long").alias("n_links"),
                     F.when(F.col("linked"), F.col("component")).otherwise(F.col("vec_id")).alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
-            .withColumn("recall", F.lit(recall)))
+            .withColumn("recall", F.lit(recall).cast("double")))
