@@ -20,8 +20,9 @@ nodes has medoids and clusters of its own; a rarer one is one cluster of one
 shard.
 
 Recall is audited against brute force on a bounded sample of nodes, half of
-them with links found; below ``TARGET`` the search is repeated with twice the
-beam and one more cluster a node. If it stays below ``LEAST`` the query fails.
+them with links found; with less than ``TARGET`` of all links, or ``LEAST`` as
+the mean over nodes, the search is repeated with twice the beam and one more
+cluster a node. If either stays below ``LEAST`` the query fails.
 """
 from __future__ import annotations
 
@@ -330,17 +331,17 @@ def _exact(nodes: DataFrame, found: DataFrame, lengths: list[int], audit: int) -
     return out
 
 
-def _recall(found: DataFrame, exact: dict[int, int]) -> float | None:
-    """Share of the audited links that were found: of all, or the mean over
-    the nodes that have any, whichever is less, so that neither one large
-    group nor many small ones hides a loss. None without any link."""
+def _recall(found: DataFrame, exact: dict[int, int]) -> tuple[float, float] | None:
+    """Share of the audited links that were found: of all, and the mean over
+    the nodes that have any, so that neither one large group nor many small
+    ones hides a loss. None without any link."""
     want = {rep: n for rep, n in exact.items() if n}
     if not want:
         return None
     got = {r["rep"]: r["n"] for r in found.filter(F.col("rep").isin(list(want))).groupBy("rep")
            .agg(F.sum("links").alias("n")).collect()}
     hit = {rep: min(got.get(rep, 0), n) for rep, n in want.items()}
-    return min(sum(hit.values()) / sum(want.values()), sum(hit[rep] / n for rep, n in want.items()) / len(want))
+    return sum(hit.values()) / sum(want.values()), sum(hit[rep] / n for rep, n in want.items()) / len(want)
 
 
 def near_duplicate_vectors(vectors: DataFrame, audit: int = AUDIT, staging: Staging | None = None) -> DataFrame:
@@ -375,8 +376,9 @@ def near_duplicate_vectors(vectors: DataFrame, audit: int = AUDIT, staging: Stag
     while most:
         found = _found(nodes, common, overlap, beam, staging, f"try-{overlap}")
         exact = _exact(nodes, found, audited, audit) if exact is None else exact
-        recall = _recall(found, exact)
-        if recall is None or recall >= TARGET or overlap >= 2 * OVERLAP:
+        shares = _recall(found, exact)
+        recall = min(shares) if shares else None
+        if shares is None or (shares[0] >= TARGET and recall >= LEAST) or overlap >= 2 * OVERLAP:
             break
         overlap, beam = overlap + 1, 2 * beam
     if recall is not None and recall < LEAST:
