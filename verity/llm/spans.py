@@ -1,7 +1,7 @@
 """Substring near-verbatim dedup by sliding sentence spans.
 
 A text is cut into sentences, one of more than ``LONG`` words into parts. The
-parts begin where the words themselves say so (see ``_parts``), so a passage is
+parts begin where the words themselves say so (see ``cut``), so a passage is
 cut the same way wherever it stands in a sentence. From every sentence or part
 on, and up to every one, the shortest run of at least ``MIN_SENTENCES`` of them and ``MIN_WORDS``
 words (``MIN_WORDS_INSIDE`` within a single sentence) is a span; it is hashed by its
@@ -19,10 +19,8 @@ splits. Spans that occur once end there.
 """
 from __future__ import annotations
 
-import functools
-import re
-import zlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -37,63 +35,108 @@ MIN_WORDS = 16
 MIN_WORDS_INSIDE = 25
 LONG = 12
 
-# A sentence ends after stops before white space, or at a line's end.
-# The first character stands alone, as a search for one set is fast.
-_END = re.compile(r"[.!?\n](?:(?<=\n)\n*|(?<!\n)[.!?]*(?=\s))")
-_WORD = re.compile(r"\S+")
+# Code points that str.split() splits at; all lie below 0x3001.
+_SPACE = np.array([chr(c).isspace() for c in range(0x3001)])
 
 
-def sentences(text: str) -> list[tuple[int, int, list[str], int]]:
-    """(start, end, folded words, number of the sentence) of the sentences with
-    a word, in order; of a sentence above ``LONG`` words, of its parts."""
-    pieces = []
-    start = 0
-    for end in [*(m.end() for m in _END.finditer(text)), len(text)]:
-        piece = text[start:end]
-        words = piece.lower().split()
-        if words:
-            pieces.append((start, piece, words))
-        start = end
-    parts = _parts([words for _, _, words in pieces if len(words) > LONG])
-    out = []
-    for n, (start, piece, words) in enumerate(pieces):
-        if len(words) <= LONG:
-            lead = len(piece) - len(piece.lstrip())
-            out.append((start + lead, start + len(piece.rstrip()), words, n))
-        else:
-            found = [m.span() for m in _WORD.finditer(piece)]
-            cuts = next(parts)
-            for k, end in zip(cuts, [*cuts[1:], len(words)]):
-                out.append((start + found[k][0], start + found[end - 1][1], words[k:end], n))
-    return out
-
-
-@functools.lru_cache(1 << 16)
-def _word_hash(word: str) -> int:
-    return zlib.crc32(word.encode("utf-8", "surrogatepass"))
-
-
-def _parts(long: list[list[str]]) -> Iterator[list[int]]:
-    """The first words of the parts of each sentence. In every window of
-    ``LONG`` words the one with the smallest hash (the first of equals) begins
-    a part, so no cut depends on words ``LONG`` or more away."""
-    if not long:
-        return
-    hashes = np.array([_word_hash(w) for words in long for w in words], np.uint32)
-    windows = np.lib.stride_tricks.sliding_window_view(hashes, LONG)
-    least = (np.arange(len(windows)) + windows.argmin(1)).tolist()
-    at = 0
-    for words in long:
-        yield sorted({0, *(k - at for k in least[at:at + len(words) - LONG + 1])})
-        at += len(words)
+_BASE, _INVERSE, _MIX = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64), np.uint64(0xBF58476D1CE4E5B9)
 
 
-def spans(units: list[tuple[int, int, list[str], int]]) -> Iterator[tuple[int, int, int]]:
-    """(first sentence, one past the last, 128-bit hash) of every span."""
-    lengths = [len(u[2]) for u in units]
-    joined = [" ".join(u[2]) for u in units]
-    sentence = [u[3] for u in units]
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def _words_at(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First character of every word, and one past its last."""
+    space = np.ones(len(code) + 2, bool)
+    space[1:-1] = _SPACE[np.minimum(code, 0x3000)] & (code <= 0x3000)
+    turn = np.flatnonzero(space[1:] != space[:-1])
+    return turn[::2], turn[1::2]
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+def _word_hashes(code: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The upper 32 bits of a mixed polynomial (modulo 2^64) in the characters
+    of each word, from prefix sums over all of them."""
+    total = np.zeros(len(code) + 1, np.uint64)
+    np.cumsum(code * _powers(_BASE, len(code)), dtype=np.uint64, out=total[1:])
+    value = (total[end] - total[start]) * _powers(_INVERSE, len(code) + 1)[start]
+    value = (value ^ (value >> np.uint64(29))) * _MIX
+    return (value ^ (value >> np.uint64(32))) * _MIX >> np.uint64(32)
+
+
+class Cut(NamedTuple):
+    """The units of some texts, one after the other: sentences with a word, of
+    a sentence above ``LONG`` words its parts. ``edge``, ``begin`` and ``end``
+    are by unit, ``unit`` by text."""
+    words: list[str]  # folded, of all texts
+    edge: np.ndarray  # first word of each unit, and the number of words
+    begin: np.ndarray  # characters within the text
+    end: np.ndarray
+    sentence: np.ndarray  # number of its sentence
+    unit: np.ndarray  # first unit of each text, and the number of units
+
+
+def cut(texts: list[str]) -> Cut:
+    """A sentence ends after a word that ends in stops, or at a line's end. In
+    every window of ``LONG`` words within a longer sentence the word with the
+    smallest hash (the first of equals) begins a part, so no cut depends on
+    words ``LONG`` or more away."""
+    # Texts meet at line ends, where a sentence ends anyway.
+    whole = "\n".join(texts)
+    low = whole.lower()
+    words = low.split()
+    n = len(words)
+    code = _codes(whole)
+    start, end = _words_at(code)
+    at = np.cumsum([0, *(len(text) + 1 for text in texts)])
+    first = np.searchsorted(start, at)
+    last = code[end - 1]
+    opens = np.ones(n + 1, bool)
+    opens[1:] = (last == 46) | (last == 33) | (last == 63)
+    opens[np.searchsorted(end, np.flatnonzero(code == 10), "right")] = True
+    opens = opens[:n]
+    number = np.cumsum(opens) - 1  # of the sentence of each word
+    cuts = opens.copy()
+    if n > LONG:
+        # No character becomes fewer: with equal lengths, words keep their places.
+        hashes = (_word_hashes(_codes(low), start, end) if len(low) == len(whole) else
+                  _word_hashes(_codes(low), *_words_at(_codes(low))))
+        key = hashes << np.uint64(32) | np.arange(n, dtype=np.uint64)
+        width = 1
+        while 2 * width <= LONG:
+            key, width = np.minimum(key[:-width], key[width:]), 2 * width
+        key = np.minimum(key[:n - LONG + 1], key[LONG - width:])
+        inside = (number[:n - LONG + 1] == number[LONG - 1:]) & (np.bincount(number)[number[:n - LONG + 1]] > LONG)
+        cuts[(key[inside] & np.uint64(0xFFFFFFFF)).astype(np.int64)] = True
+    begins = np.flatnonzero(cuts)
+    edge = np.append(begins, n)
+    unit = np.searchsorted(begins, first)
+    shift = np.repeat(at[:-1], np.diff(unit))
+    return Cut(words, edge, start[begins] - shift, (end[edge[1:] - 1] if n else end) - shift, number[begins], unit)
 
+
+def units_of(found: Cut, k: int) -> list[tuple[int, int, list[str], int]]:
+    """(start, end, folded words, number of the sentence) of the units of the
+    ``k``-th text, in order."""
+    low, high = found.unit[k], found.unit[k + 1]
+    edge = found.edge[low:high + 1].tolist()
+    return [(s, e, found.words[a:b], n) for s, e, a, b, n in zip(
+        found.begin[low:high].tolist(), found.end[low:high].tolist(), edge, edge[1:], found.sentence[low:high].tolist())]
+
+
+def sentences(text: str) -> list[tuple[int, int, list[str], int]]:
+    return units_of(cut([text]), 0)
+
+
+def runs(lengths: list[int], sentence: list[int]) -> Iterator[tuple[int, int]]:
+    """(first unit, one past the last) of every span, from the words and the
+    sentence of each unit."""
     def enough(i: int, j: int, held: int) -> bool:
         return j - i >= MIN_SENTENCES and held >= MIN_WORDS and (
             held >= MIN_WORDS_INSIDE or sentence[i] != sentence[j - 1])
@@ -101,12 +144,12 @@ def spans(units: list[tuple[int, int, list[str], int]]) -> Iterator[tuple[int, i
     # held: words of i to j; new: no run from i on is out yet. The shortest run
     # up to j begins where the next beginning is too late for one.
     i, held, new = 0, 0, True
-    for j in range(1, len(units) + 1):
+    for j in range(1, len(lengths) + 1):
         held += lengths[j - 1]
-        while enough(i, j, held):
+        while held >= MIN_WORDS and enough(i, j, held):
             last = not enough(i + 1, j, held - lengths[i])
             if new or last:
-                yield i, j, xxhash.xxh3_128_intdigest(" ".join(joined[i:j]).encode("utf-8", "surrogatepass"))
+                yield i, j
             if last:
                 new = False
                 break
@@ -114,6 +157,27 @@ def spans(units: list[tuple[int, int, list[str], int]]) -> Iterator[tuple[int, i
             i, new = i + 1, True
 
 
+def spans_of(found: Cut) -> Iterator[tuple[int, int, int, bytes]]:
+    """(text, first unit, one past the last, 128-bit hash of the words with
+    one space between) of every span."""
+    joined = " ".join(found.words).encode("utf-8", "surrogatepass")
+    gaps = np.flatnonzero(np.frombuffer(joined, np.uint8) == 32)
+    start = np.append(0, gaps + 1)[found.edge[:-1]].tolist()
+    end = np.append(gaps, len(joined))[found.edge[1:] - 1].tolist()
+    lengths, sentence = np.diff(found.edge).tolist(), found.sentence.tolist()
+    view, bounds = memoryview(joined), found.unit.tolist()
+    for k, (low, high) in enumerate(zip(bounds, bounds[1:])):
+        for i, j in runs(lengths[low:high], sentence[low:high]):
+            yield k, i, j, xxhash.xxh3_128_digest(view[start[low + i]:end[low + j - 1]])
+
+
+def spans(units: list[tuple[int, int, list[str], int]]) -> Iterator[tuple[int, int, int]]:
+    """The spans of one text's units, with the same hash as a number."""
+    for i, j in runs([len(u[2]) for u in units], [u[3] for u in units]):
+        words = " ".join(w for u in units[i:j] for w in u[2])
+        yield i, j, xxhash.xxh3_128_intdigest(words.encode("utf-8", "surrogatepass"))
+
+
 def text_key(text: str) -> int:
     """31 bits that tell rows of one doc_id apart."""
     return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) >> 33
@@ -126,19 +190,18 @@ def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """doc_id, text to one row a span: hash, place (text key and first
     sentence), number of sentences."""
     for batch in batches:
-        h, ids, places, n = [], [], [], []
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            if doc_id is None:
-                continue
-            key = text_key(text) << 32
-            for i, j, value in spans(sentences(text)):
-                h.append(value)
-                ids.append(doc_id)
-                places.append(key | i)
-                n.append(j - i)
-        halves = np.array([(x >> 64, x & 0xFFFFFFFFFFFFFFFF) for x in h], np.uint64).reshape(-1, 2).view(np.int64)
+        batch = batch.filter(batch.column(0).is_valid())
+        ids, texts = (c.to_pylist() for c in batch.columns)
+        keys = [text_key(text) << 32 for text in texts]
+        h, owner, places, n = [], [], [], []
+        for k, i, j, digest in spans_of(cut(texts)):
+            h.append(digest)
+            owner.append(ids[k])
+            places.append(keys[k] | i)
+            n.append(j - i)
+        halves = np.frombuffer(b"".join(h), ">i8").astype(np.int64).reshape(-1, 2)
         yield pa.RecordBatch.from_arrays([
-            pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.array(ids, pa.int64()), pa.array(places, pa.int64()),
+            pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.array(owner, pa.int64()), pa.array(places, pa.int64()),
             pa.array(n, pa.int32())], names=["h1", "h2", "doc_id", "place", "n_units"])
 
 
@@ -151,8 +214,10 @@ def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     cleaned rows."""
     for batch in batches:
         rows = []
-        for doc_id, text, covered in zip(*(c.to_pylist() for c in batch.columns)):
-            units = sentences(text)
+        ids, texts, later = (c.to_pylist() for c in batch.columns)
+        done = cut(texts)
+        for k, (doc_id, text, covered) in enumerate(zip(ids, texts, later)):
+            units = range(done.unit[k], done.unit[k + 1])
             gone = np.zeros(len(units), bool)
             key = text_key(text) if covered else 0
             for c in covered or ():
@@ -161,7 +226,7 @@ def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     gone[i:i + c["n_units"]] = True
             removed, kept, at = [], [], 0
             for i in np.flatnonzero(gone):
-                start, end = units[i][0], units[i][1]
+                start, end = int(done.begin[units[i]]), int(done.end[units[i]])
                 if removed and i and gone[i - 1]:
                     removed[-1]["end"] = end
                 else:
@@ -202,7 +267,8 @@ def remove_repeated_spans(docs: DataFrame, staging: Staging | None = None) -> Da
     twice = staging.write(places.groupBy("h1", "h2").agg(F.count("*").alias("n")).filter("n > 1").select("h1", "h2"),
                           "twice")
     found = staging.write(places.join(twice, ["h1", "h2"]), "found")
-    first = found.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "place")).alias("first"))
+    # A table of its own, so that the join back may split a hot hash.
+    first = staging.write(found.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "place")).alias("first")), "first")
     later = (found.join(first, ["h1", "h2"])
              .filter(F.struct("doc_id", "place") != F.col("first")).select("doc_id", "place", "n_units").distinct())
     covered = later.groupBy("doc_id").agg(F.collect_list(F.struct("place", "n_units")).alias("covered"))
