@@ -19,6 +19,7 @@ splits. Spans that occur once end there.
 """
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -54,12 +55,18 @@ def _words_at(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return turn[::2], turn[1::2]
 
 
-def _powers(base: int, n: int) -> np.ndarray:
+@functools.lru_cache(2)
+def _powers_up_to(base: int, n: int) -> np.ndarray:
     out = np.full(n, base, np.uint64)
     out[:1] = 1
     return np.cumprod(out, dtype=np.uint64)
 
 
+def _powers(base: int, n: int) -> np.ndarray:
+    # Kept for the next batch, in a rounded size.
+    return _powers_up_to(base, 1 << n.bit_length())[:n]
+
+
 def _word_hashes(code: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """The upper 32 bits of a mixed polynomial (modulo 2^64) in the characters
     of each word, from prefix sums over all of them."""
@@ -74,7 +81,7 @@ class Cut(NamedTuple):
     """The units of some texts, one after the other: sentences with a word, of
     a sentence above ``LONG`` words its parts. ``edge``, ``begin`` and ``end``
     are by unit, ``unit`` by text."""
-    words: list[str]  # folded, of all texts
+    words: list[str]  # folded, of all texts; none if not asked for
     edge: np.ndarray  # first word of each unit, and the number of words
     begin: np.ndarray  # characters within the text
     end: np.ndarray
@@ -82,7 +89,7 @@ class Cut(NamedTuple):
     unit: np.ndarray  # first unit of each text, and the number of units
 
 
-def cut(texts: list[str]) -> Cut:
+def cut(texts: list[str], with_words: bool = True) -> Cut:
     """A sentence ends after a word that ends in stops, or at a line's end. In
     every window of ``LONG`` words within a longer sentence the word with the
     smallest hash (the first of equals) begins a part, so no cut depends on
@@ -90,10 +97,10 @@ def cut(texts: list[str]) -> Cut:
     # Texts meet at line ends, where a sentence ends anyway.
     whole = "\n".join(texts)
     low = whole.lower()
-    words = low.split()
-    n = len(words)
+    words = low.split() if with_words else []
     code = _codes(whole)
     start, end = _words_at(code)
+    n = len(start)
     at = np.cumsum([0, *(len(text) + 1 for text in texts)])
     first = np.searchsorted(start, at)
     last = code[end - 1]
@@ -134,48 +141,50 @@ def sentences(text: str) -> list[tuple[int, int, list[str], int]]:
     return units_of(cut([text]), 0)
 
 
-def runs(lengths: list[int], sentence: list[int]) -> Iterator[tuple[int, int]]:
-    """(first unit, one past the last) of every span, from the words and the
-    sentence of each unit."""
-    def enough(i: int, j: int, held: int) -> bool:
-        return j - i >= MIN_SENTENCES and held >= MIN_WORDS and (
-            held >= MIN_WORDS_INSIDE or sentence[i] != sentence[j - 1])
-
-    # held: words of i to j; new: no run from i on is out yet. The shortest run
-    # up to j begins where the next beginning is too late for one.
-    i, held, new = 0, 0, True
-    for j in range(1, len(lengths) + 1):
-        held += lengths[j - 1]
-        while held >= MIN_WORDS and enough(i, j, held):
-            last = not enough(i + 1, j, held - lengths[i])
-            if new or last:
-                yield i, j
-            if last:
-                new = False
-                break
-            held -= lengths[i]
-            i, new = i + 1, True
-
-
-def spans_of(found: Cut) -> Iterator[tuple[int, int, int, bytes]]:
-    """(text, first unit, one past the last, 128-bit hash of the words with
-    one space between) of every span."""
-    joined = " ".join(found.words).encode("utf-8", "surrogatepass")
+def runs(edge: np.ndarray, sentence: np.ndarray, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First unit, and one past the last, of every span, in order; the
+    arguments are those of ``Cut``. A run is long enough when it holds two
+    units, and ``MIN_WORDS`` over a sentence's end or ``MIN_WORDS_INSIDE``;
+    longer ones around it then are, too."""
+    n = len(sentence)
+    if not n:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    opens = np.flatnonzero(np.append(True, sentence[1:] != sentence[:-1]))
+    own = np.searchsorted(opens, np.arange(n), "right") - 1
+    each = np.arange(n)
+    # From each unit on: the least end.
+    after = np.append(opens, n + 1)[own + 1] + 1  # holds the next sentence's first unit
+    end = np.minimum(np.searchsorted(edge, edge[:-1] + MIN_WORDS_INSIDE),
+                     np.maximum(np.searchsorted(edge, edge[:-1] + MIN_WORDS), after))
+    end = np.maximum(end, each + MIN_SENTENCES)
+    last = unit[np.searchsorted(unit, each, "right")]  # of the text
+    # Up to each unit: the greatest beginning.
+    before = opens[own] - 1
+    begin = np.maximum(np.searchsorted(edge, edge[1:] - MIN_WORDS_INSIDE, "right") - 1,
+                       np.minimum(np.searchsorted(edge, edge[1:] - MIN_WORDS, "right") - 1, before))
+    begin = np.minimum(begin, each + 1 - MIN_SENTENCES)
+    low = unit[np.searchsorted(unit, each, "right") - 1]
+    on, up = end <= last, begin >= low
+    both = np.unique(np.concatenate([each[on] * (n + 1) + end[on], begin[up] * (n + 1) + each[up] + 1]))
+    return both // (n + 1), both % (n + 1)
+
+
+def digests(words: list[str], edge: np.ndarray, i: np.ndarray, j: np.ndarray) -> bytes:
+    """The 128-bit hashes of the spans' words, with one space between."""
+    joined = " ".join(words).encode("utf-8", "surrogatepass")
     gaps = np.flatnonzero(np.frombuffer(joined, np.uint8) == 32)
-    start = np.append(0, gaps + 1)[found.edge[:-1]].tolist()
-    end = np.append(gaps, len(joined))[found.edge[1:] - 1].tolist()
-    lengths, sentence = np.diff(found.edge).tolist(), found.sentence.tolist()
-    view, bounds = memoryview(joined), found.unit.tolist()
-    for k, (low, high) in enumerate(zip(bounds, bounds[1:])):
-        for i, j in runs(lengths[low:high], sentence[low:high]):
-            yield k, i, j, xxhash.xxh3_128_digest(view[start[low + i]:end[low + j - 1]])
+    start = np.append(0, gaps + 1)[edge[i]].tolist()
+    end = np.append(gaps, len(joined))[edge[j] - 1].tolist()
+    return b"".join([xxhash.xxh3_128_digest(joined[a:b]) for a, b in zip(start, end)])
 
 
 def spans(units: list[tuple[int, int, list[str], int]]) -> Iterator[tuple[int, int, int]]:
-    """The spans of one text's units, with the same hash as a number."""
-    for i, j in runs([len(u[2]) for u in units], [u[3] for u in units]):
-        words = " ".join(w for u in units[i:j] for w in u[2])
-        yield i, j, xxhash.xxh3_128_intdigest(words.encode("utf-8", "surrogatepass"))
+    """(first unit, one past the last, hash) of the spans of one text."""
+    edge = np.cumsum([0, *(len(u[2]) for u in units)])
+    i, j = runs(edge, np.array([u[3] for u in units], np.int64), np.array([0, len(units)]))
+    found = digests([w for u in units for w in u[2]], edge, i, j)
+    for k, (a, b) in enumerate(zip(i.tolist(), j.tolist())):
+        yield a, b, int.from_bytes(found[16 * k:16 * k + 16], "big")
 
 
 def text_key(text: str) -> int:
@@ -183,26 +192,30 @@ def text_key(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) >> 33
 
 
-PLACES = "h1 long, h2 long, doc_id long, place long, n_units int"
+HASHES = "h1 long, h2 long"
+PLACES = f"{HASHES}, doc_id long, place long, n_units int"
 
 
-def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, text to one row a span: hash, place (text key and first
-    sentence), number of sentences."""
+def _places(batches: Iterator[pa.RecordBatch], whole: bool = True) -> Iterator[pa.RecordBatch]:
+    """doc_id, text to one row a span: hash, and with ``whole`` the document,
+    place (text key and first sentence) and number of sentences."""
     for batch in batches:
         batch = batch.filter(batch.column(0).is_valid())
-        ids, texts = (c.to_pylist() for c in batch.columns)
-        keys = [text_key(text) << 32 for text in texts]
-        h, owner, places, n = [], [], [], []
-        for k, i, j, digest in spans_of(cut(texts)):
-            h.append(digest)
-            owner.append(ids[k])
-            places.append(keys[k] | i)
-            n.append(j - i)
-        halves = np.frombuffer(b"".join(h), ">i8").astype(np.int64).reshape(-1, 2)
-        yield pa.RecordBatch.from_arrays([
-            pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.array(owner, pa.int64()), pa.array(places, pa.int64()),
-            pa.array(n, pa.int32())], names=["h1", "h2", "doc_id", "place", "n_units"])
+        texts = batch.column(1).to_pylist()
+        found = cut(texts)
+        i, j = runs(found.edge, found.sentence, found.unit)
+        halves = np.frombuffer(digests(found.words, found.edge, i, j), ">i8").astype(np.int64).reshape(-1, 2)
+        columns = [pa.array(halves[:, 0]), pa.array(halves[:, 1])]
+        if whole:
+            text = np.searchsorted(found.unit, i, "right") - 1
+            keys = np.array([text_key(t) << 32 for t in texts], np.int64)
+            columns += [batch.column(0).take(pa.array(text)), pa.array(keys[text] | (i - found.unit[text])),
+                        pa.array(j - i, pa.int32())]
+        yield pa.RecordBatch.from_arrays(columns, names=["h1", "h2", "doc_id", "place", "n_units"][:len(columns)])
+
+
+def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _places(batches, whole=False)
 
 
 CLEANED = ("doc_id long, n_sentences long, n_removed long, changed boolean, "
@@ -213,35 +226,30 @@ def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """doc_id, text, covered (place and sentences of the later spans) to the
     cleaned rows."""
     for batch in batches:
-        rows = []
-        ids, texts, later = (c.to_pylist() for c in batch.columns)
-        done = cut(texts)
-        for k, (doc_id, text, covered) in enumerate(zip(ids, texts, later)):
-            units = range(done.unit[k], done.unit[k + 1])
-            gone = np.zeros(len(units), bool)
-            key = text_key(text) if covered else 0
-            for c in covered or ():
+        texts = batch.column(1).to_pylist()
+        done = cut(texts, with_words=False)
+        unit = done.unit.tolist()
+        n_removed, ranges = [0] * len(texts), [[] for _ in texts]
+        for k, (text, covered) in enumerate(zip(texts, batch.column(2).to_pylist())):
+            if not covered:
+                continue
+            gone = np.zeros(unit[k + 1] - unit[k], bool)
+            key = text_key(text)
+            for c in covered:
                 if c["place"] >> 32 == key:
                     i = c["place"] & 0xFFFFFFFF
                     gone[i:i + c["n_units"]] = True
-            removed, kept, at = [], [], 0
-            for i in np.flatnonzero(gone):
-                start, end = int(done.begin[units[i]]), int(done.end[units[i]])
-                if removed and i and gone[i - 1]:
-                    removed[-1]["end"] = end
-                else:
-                    removed.append({"start": start, "end": end})
-            for r in removed:
-                kept.append(text[at:r["start"]])
-                at = r["end"]
-            kept.append(text[at:])
-            rows.append((doc_id, len(units), int(gone.sum()), bool(gone.any()), removed,
-                         "".join(kept) if removed else text))
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(),
-                 pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])), pa.string()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 6, kinds)],
-            names=["doc_id", "n_sentences", "n_removed", "changed", "removed", "text"])
+            turn = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]])))
+            starts, ends = done.begin[unit[k] + turn[::2]].tolist(), done.end[unit[k] + turn[1::2] - 1].tolist()
+            n_removed[k] = int(gone.sum())
+            ranges[k] = [{"start": a, "end": b} for a, b in zip(starts, ends)]
+            texts[k] = "".join([text[a:b] for a, b in zip([0, *ends], [*starts, len(text)])])
+        changed = [n > 0 for n in n_removed]
+        yield pa.RecordBatch.from_arrays([
+            batch.column(0), pa.array(np.diff(done.unit), pa.int64()), pa.array(n_removed, pa.int64()),
+            pa.array(changed, pa.bool_()),
+            pa.array(ranges, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
+            pa.array(texts, pa.string())], names=["doc_id", "n_sentences", "n_removed", "changed", "removed", "text"])
 
 
 def remove_repeated_spans(docs: DataFrame, staging: Staging | None = None) -> DataFrame:
@@ -264,7 +272,8 @@ def remove_repeated_spans(docs: DataFrame, staging: Staging | None = None) -> Da
     places = rows.mapInArrow(_places, PLACES)
     # First only the hashes, to know which occur twice; the rest of a place
     # travels for those alone.
-    twice = staging.write(places.groupBy("h1", "h2").agg(F.count("*").alias("n")).filter("n > 1").select("h1", "h2"),
+    hashes = rows.mapInArrow(_hashes, HASHES)
+    twice = staging.write(hashes.groupBy("h1", "h2").agg(F.count("*").alias("n")).filter("n > 1").select("h1", "h2"),
                           "twice")
     found = staging.write(places.join(twice, ["h1", "h2"]), "found")
     # A table of its own, so that the join back may split a hot hash.
