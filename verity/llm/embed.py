@@ -9,7 +9,8 @@ searchable. The adjacency lists of all shards a node is in are united into one
 flat graph.
 
 Every node then searches the shards of its clusters: greedily from the shard's
-medoid with a beam, and, once inside the range, through every node in range
+medoids (its own, and one of each group too large for its members' lists) with
+a beam, and, once inside the range, through every node in range
 (the beam expands with the result). What is found is verified by the cosine in
 double precision. A pair that shares several clusters counts in the smallest
 one, so counts add up without listing pairs: a task returns one row a member,
@@ -151,9 +152,28 @@ def _build(table: pa.Table) -> pa.Table:
     return pa.table({"rep": reps[order], "near": pa.array([reps[order][x].tolist() for x in lists], pa.list_(pa.int64()))})
 
 
+def entries(nodes: np.ndarray, table: np.ndarray) -> list[int]:
+    """Where searches begin: the shard's medoid, and the medoid of every group
+    of more than ``DEGREE`` nodes that edges in range connect. The members of
+    so large a group may fill their lists with each other, and then no edge
+    need lead there."""
+    out = [int((nodes @ nodes.mean(0)).argmax())]
+    a, at = np.nonzero(table >= 0)
+    b = table[a, at]
+    close = np.zeros(len(a), bool)
+    for i in range(0, len(a), 65536):
+        part = slice(i, i + 65536)
+        close[part] = np.einsum("ij,ij->i", nodes[a[part]], nodes[b[part]]) >= COSINE
+    label = local_components(len(nodes), a[close], b[close])
+    for group in np.flatnonzero(np.bincount(label, minlength=len(nodes)) > DEGREE):
+        own = np.flatnonzero(label == group)
+        out.append(int(own[(nodes[own] @ nodes[own].mean(0)).argmax()]))
+    return sorted(set(out))
+
+
 def search(queries: np.ndarray, nodes: np.ndarray, lists: list[np.ndarray], beam: int) -> np.ndarray:
     """Boolean queries x nodes: the nodes in range that a greedy search from
-    the medoid reaches. All queries advance together; in each round a query
+    the medoids reaches. All queries advance together; in each round a query
     opens its best unopened nodes while they are within its beam, and every
     unopened node in range."""
     q, n = len(queries), len(nodes)
@@ -165,8 +185,8 @@ def search(queries: np.ndarray, nodes: np.ndarray, lists: list[np.ndarray], beam
         table[i, :len(x)] = x
     near = np.full((q, n), -2.0)
     opened = np.zeros((q, n), bool)
-    start = int((nodes @ nodes.mean(0)).argmax())
-    near[:, start] = queries @ nodes[start]
+    start = entries(nodes, table)
+    near[:, start] = queries @ nodes[start].T
     active = np.arange(q)
     while len(active):
         seen = near[active]
