@@ -164,6 +164,39 @@ def test_spans(docs, texts):
         assert gone or r.text == texts[r.doc_id]
 
 
+def test_cut_of_a_batch():
+    """Texts cut together equal each cut alone, by a plain statement of it."""
+    rng = random.Random(12)
+
+    def plain(text):
+        out, n, at = [], 0, 0
+        for piece in re.split(r"(?<=\n)|(?<=[.!?])(?=\s)", text):
+            found = [(at + m.start(), at + m.end(), m.group().lower()) for m in re.finditer(r"\S+", piece)]
+            at += len(piece)
+            begins = {0}
+            if len(found) > spans.LONG:
+                h = [int(spans._word_hashes(c := spans._codes(w), np.array([0]), np.array([len(c)]))[0]) for _, _, w in found]
+                for k in range(len(h) - spans.LONG + 1):
+                    begins.add(min(range(k, k + spans.LONG), key=lambda i: (h[i], i)))
+            cuts = [*sorted(begins), len(found)]
+            if found:
+                out += [(found[a][0], found[b - 1][1], [w for _, _, w in found[a:b]], n) for a, b in zip(cuts, cuts[1:])]
+                n += 1
+        return out
+
+    texts = ["", " \n ", "İ. A"]
+    for _ in range(600):
+        some = ["a", "B?", "c.", "d.e", "...", "\n", "İx", "🙂", "é!"] + [f"w{i}" for i in range(30)] * rng.randrange(3)
+        texts.append("".join(rng.choice(some) + rng.choice([" ", " ", "  ", "\t", "\x1c", "\n" if rng.random() < .1 else " "])
+                             for _ in range(rng.randrange(60))))
+    found = spans.cut(texts)
+    base = [u[0][3] if (u := spans.units_of(found, k)) else 0 for k in range(len(texts))]
+    for k, text in enumerate(texts):
+        want = plain(text)
+        assert spans.sentences(text) == want
+        assert [(a, b, w, n - base[k]) for a, b, w, n in spans.units_of(found, k)] == want
+
+
 def test_passage_is_caught_and_clean_text_left(spark):
     rng = random.Random(2)
     sentence = lambda: " ".join(f"q{rng.randrange(10**6)}" for _ in range(rng.randrange(6, 16))).capitalize() + "."
