@@ -96,3 +96,16 @@ def test_orders_are_not_broadcast_by_the_fixture(spark, monkeypatch):
     monkeypatch.setattr(fixtures, "fits_broadcast", lambda df, *rest: bool(measured.append(df.columns)) or True)
     fixtures.raw_transactions(spark, SF)
     assert ["o_orderkey", "o_custkey"] not in measured
+
+
+def test_tally_equals_merge():
+    """op5: the counts of a slice by one plain sort."""
+    import numpy as np
+
+    from verity.llm.ctw import merge, tally
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 5000):
+        grams = rng.integers(0, 1 << 56, 700)[rng.integers(0, 700, n)] if n else np.zeros(0, np.int64)
+        train = rng.integers(0, 2, n)
+        for got, want in zip(tally(grams, train), merge([grams], [train.astype(float)])):
+            assert got.dtype == want.dtype == np.int64 and (got == want).all()

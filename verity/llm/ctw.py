@@ -196,6 +196,15 @@ def merge(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray,
     return distinct, np.bincount(at, weights=np.concatenate([np.zeros(0), *counts]), minlength=len(distinct)).astype(np.int64)
 
 
+def tally(grams: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``merge`` of one array whose counts are 0 or 1: the count goes in the
+    lowest bit, so that a plain sort does. Grams have at most 56 bits."""
+    marked = np.sort((grams << 1) | train)
+    keys = marked >> 1
+    first = np.flatnonzero(np.diff(keys, prepend=-1))
+    return keys[first], np.add.reduceat(marked & 1, first) if len(first) else first
+
+
 def slices(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about ``SLICE`` bytes."""
     start, held = 0, 0
@@ -248,7 +257,7 @@ def _chunk_keys(depth: int, parts: int):
         found = []
         for a, b in slices(text_sizes(texts)):
             grams, sizes = coded_bytes(texts.slice(a, b - a), depth)
-            found.append(merge([grams], [np.repeat(train[a:b], sizes)]))
+            found.append(tally(grams, np.repeat(train[a:b].astype(np.int64), sizes)))
         counts, at, hashes = words_of(texts)
         return [merge(*map(list, zip(*found))), merge([hashes[at] if len(at) else hashes], [np.repeat(train, counts)]),
                 int(train.sum())]
