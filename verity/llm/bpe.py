@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verity.llm.common import Staging, bound_arrow_batches, text_of
+from verity.llm.common import Staging, bound_arrow_batches, releasing, text_of
 
 LEAF = 32_768  # characters of a leaf
 PIECE = 2_048  # characters of a piece of a long pre-token
@@ -186,6 +186,7 @@ def _token_rows(v: Vocabulary, doc_ids: pa.Array, ids: pa.ListArray, digest: boo
 
 def _leaf_mapper(path: str, digest: bool, keep_ids: bool):
     """doc_id and text to doc_id and ids, their digests, or both."""
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
         for batch in batches:
@@ -195,6 +196,7 @@ def _leaf_mapper(path: str, digest: bool, keep_ids: bool):
 
 
 def _token_mapper(path: str, digest: bool, keep_ids: bool):
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
         for batch in batches:
@@ -232,6 +234,7 @@ def cut_leaves(text: str, leaf: int) -> list[tuple[bool, str]]:
 def _leaf_rows(path: str, leaf: int, piece: int):
     """doc_id, uid, copies, text to one row a leaf: a stretch of text (part
     null), an added token, or a piece of a pre-token."""
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
         for batch in batches:
@@ -262,6 +265,7 @@ PIECES = "doc_id long, uid long, copies long, seq long, part long, piece long, p
 
 
 def _encode_leaves(path: str):
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
         for batch in batches:
@@ -276,6 +280,7 @@ def _encode_leaves(path: str):
 
 def _join_pairs(path: str):
     """Key, piece, pieces and one or two neighbours' ids to the joined ids."""
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
         for batch in batches:
@@ -311,7 +316,7 @@ def encode_long(docs: DataFrame, path: str, staging: Staging, leaf: int = LEAF,
 
 
 def _rows(docs: DataFrame) -> DataFrame:
-    bound_arrow_batches(docs.sparkSession, rows=2000, nbytes=4 << 20)
+    bound_arrow_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long"), text_of("text").cast("string").alias("text"))
 
 
@@ -336,6 +341,7 @@ def encode(docs: DataFrame, path: str, leaf: int = LEAF) -> DataFrame:
 
 
 def _decode_mapper(path: str):
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
         for batch in batches:

@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from verity.llm.common import Staging, bound_arrow_batches
+from verity.llm.common import Staging, bound_arrow_batches, releasing
 
 EXAMPLES = 2000  # per class
 CHI2 = 20.0  # least chi-square of a term, p about 1e-5
@@ -76,6 +76,7 @@ def _count(rows: np.ndarray, terms: np.ndarray, n_terms: int) -> tuple[np.ndarra
     return keys // max(1, n_terms), keys % max(1, n_terms), counts
 
 
+@releasing
 def _sample_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Columns doc_id, toxic, text to doc_id, toxic, terms and four min-hashes
     of the 5-word runs."""
@@ -232,13 +233,14 @@ def fit(docs: DataFrame, labels: DataFrame, staging: Staging, examples: int = EX
     known = (train_rows(labels.filter("doc_id IS NOT NULL AND toxic IN (0, 1)"))
              .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")))
     totals = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    # Twice as many as needed: copies are thinned out below. At most
-    # 4 * examples ids reach the driver.
+    # Twice as many as needed: copies are thinned out below. The 4 * examples
+    # ids stay a staged table: one made of local rows starts Python workers of
+    # its own on every executor.
     sample = None
     for toxic in (0, 1):
         part = known.filter(F.col("toxic") == toxic).orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * examples)
         sample = part if sample is None else sample.unionAll(part)
-    ids = spark.createDataFrame(sample.collect(), "doc_id long, toxic int")
+    ids = staging.write(sample.select(F.col("doc_id").cast("long"), "toxic"), "ids")
     rows = (docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(ids), "doc_id")
             .select("doc_id", "toxic", "text")
             .mapInArrow(_sample_terms, "doc_id long, toxic int, terms array<string>, hashes array<long>"))
@@ -264,16 +266,15 @@ def fit(docs: DataFrame, labels: DataFrame, staging: Staging, examples: int = EX
     names = [r["term"] for r in chosen]
     counted = staging.write(
         docs.select(F.col("doc_id").cast("long"), "text")
-        .mapInArrow(_feature_counts(names), "doc_id long, features array<int>, counts array<int>"), "counts")
+        .mapInArrow(releasing(_feature_counts(names)), "doc_id long, features array<int>, counts array<int>"), "counts")
     n_docs = counted.count()
     df = np.zeros(len(names))
     for r in counted.select(F.explode("features").alias("f")).groupBy("f").count().collect():
         df[r["f"]] = r["count"]
     idf = np.log((1 + n_docs) / (1 + df))
     matrix, order = np.zeros((n, len(names))), {r["doc_id"]: i for i, r in enumerate(picked)}
-    chosen_ids = spark.createDataFrame([(i,) for i in order], "doc_id long")
     held = {r["doc_id"]: r for r in counted.filter(F.size("features") > 0)
-            .join(F.broadcast(chosen_ids), "doc_id").dropDuplicates(["doc_id"]).collect()}
+            .join(F.broadcast(seen.select("doc_id")), "doc_id").dropDuplicates(["doc_id"]).collect()}
     for i, r in held.items():
         f, c = np.array(r["features"]), np.array(r["counts"])
         w = (1 + np.log(c)) * idf[f]
@@ -289,6 +290,7 @@ def fit(docs: DataFrame, labels: DataFrame, staging: Staging, examples: int = EX
 
 
 def _scorer(index: Index):
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             scores, near = [], []
@@ -309,6 +311,7 @@ def _keeper(index: Index, text_at: int):
     """All columns to the rows that are not predicted toxic."""
     count = _feature_counts(index.names)
 
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             text = batch.column(text_at).cast(pa.string())
