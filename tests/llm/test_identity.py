@@ -85,6 +85,37 @@ def test_a_failed_candidate_leaves_no_link_behind():
     assert len(minhash._confirm(merged)) == 1
 
 
+def members_of_components(spark):
+    """Components {0, 1} and {2, 3} whose likeliest candidate, 0 and 2, fails,
+    while 1 and 3 link: (lists, labels, members, suspects)."""
+    rng = np.random.default_rng(9)
+    random_set = lambda: np.unique(rng.integers(1, 2**63, 400, dtype=np.uint64))
+    sets = [random_set() for _ in range(4)]
+    sets[3] = np.unique(np.concatenate([sets[1][:380], sets[3][:20]]))
+    fine = rng.integers(0, 256, (4, minhash.FINE), dtype=np.uint8)
+    fine[2] = fine[0]
+    fine[3, :400] = fine[1, :400]
+    rows = [(r, 400, [5] * minhash.COORDINATES, bytearray(fine[r].tobytes()), r, 0.0, -1, bytearray(sets[r].tobytes()), 5)
+            for r in range(4)]
+    df = spark.createDataFrame(rows, "rep long, n_shingles long, sig array<int>, fine binary, hub long, far double, "
+                                     "mask long, shingles binary, key long")
+    labels = spark.createDataFrame([(0, 0), (1, 0), (2, 2), (3, 2)], "id long, component long")
+    return df.select("key", "rep", "n_shingles"), labels, df.drop("key"), df.select("rep", "sig", "mask", "fine", "shingles")
+
+
+@pytest.mark.parametrize("block", [1, 2, 1024])
+def test_all_members_of_a_failed_tree_meet_again(spark, monkeypatch, block):
+    """Also those whose pair the forest had no need of."""
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    lists, labels, members, suspects = members_of_components(spark)
+    staging = minhash.Staging(spark, "test")
+    crossing = minhash.cross_pairs(lists, labels, members, staging)
+    pairs = {tuple(sorted((r.a, r.b))) for r in crossing.filter("a IS NOT NULL AND b IS NOT NULL").collect()}
+    assert (0, 2) in pairs
+    links = {tuple(sorted(r)) for r in minhash.cross_links(crossing, labels, suspects, staging).collect()}
+    assert links == {(1, 3)}
+
+
 def test_mixed_words_equal_the_plan(spark):
     """Also where a third of the rows share an id or have none."""
     rng = random.Random(4)
